@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martwright.functions import buckets, days_between, flag, surrogate_key
-from martwright.schemas import MONEY, WIDE_MONEY
+from martwright.functions import buckets, days_between, flag, round_ratio, surrogate_key
+from martwright.schemas import AVERAGE, MONEY, WIDE_MONEY
 
 # Codes, labels and thresholds of the domain.
 HIGH_PRIORITIES = ("1-URGENT", "2-HIGH")
@@ -182,7 +182,7 @@ def order_rollup(orders: DataFrame, lineitems: DataFrame) -> DataFrame:
 
 def fct_orders_v1(rollup: DataFrame) -> DataFrame:
     """One row per order that has lines."""
-    mean_rate = F.col("discount_rates").cast("double") / F.nullif("discounted_lines", F.lit(0))
+    mean_rate = round_ratio("discount_rates", "discounted_lines", 8).cast(AVERAGE)
     return rollup.select(
         *ORDER_ATTRIBUTES,
         "gross_revenue",
@@ -246,9 +246,9 @@ def int_customer_orders(rollup: DataFrame) -> DataFrame:
             "total_quantity",
             "lifetime_gross_revenue",
             "lifetime_net_revenue",
-            (
-                F.col("lifetime_gross_revenue").cast("double") / F.nullif("priced", F.lit(0))
-            ).alias("avg_line_gross_revenue"),
+            round_ratio("lifetime_gross_revenue", "priced", 8)
+            .cast(AVERAGE)
+            .alias("avg_line_gross_revenue"),
             "first_order_date",
             "last_order_date",
             days_between("first_order_date", "last_order_date").alias("customer_tenure_days"),

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martwright.functions import buckets
-from martwright.schemas import WIDE_MONEY
+from martwright.functions import buckets, round_ratio
+from martwright.schemas import AVERAGE, WIDE_MONEY
 
 # Segment thresholds.
 FREQUENCY_STEPS = [(10, "high"), (3, "medium")]
@@ -46,8 +46,7 @@ def fct_attribution_v1(customers: DataFrame) -> DataFrame:
     """Per segment combination: sizes, revenue, order counts, averages."""
 
     def mean(name: str):
-        total = F.sum(name)
-        return (total.cast("double") / F.nullif(F.count(name), F.lit(0)))
+        return round_ratio(F.sum(name), F.count(name), 8).cast(AVERAGE)
 
     def members(name: str):
         return F.sum(F.when(F.col(name), 1).otherwise(0))

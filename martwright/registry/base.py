@@ -99,57 +99,67 @@ class Domain:
         return product.fct_usage_v1(self.usage())
 
     def published(self) -> Published:
-        """The stored marts, built on first use in a session and read as tables from then on."""
+        """Marts stored as tables: built on first use in a session, read from then on."""
         key = (self.spark.sparkContext.applicationId, self.folder)
         if key not in _PUBLISHED:
-            folder = f"{shared_folder(self.spark)}/marts-{uuid.uuid4().hex}"
-            publish(self, folder)
-            _PUBLISHED[key] = folder
-        return Published(self.spark, _PUBLISHED[key])
+            _PUBLISHED[key] = f"{shared_folder(self.spark)}/marts-{uuid.uuid4().hex}"
+        return Published(self, _PUBLISHED[key])
+
+
+_PUBLISHED: dict[tuple[str, str], str] = {}
+_STORED: set[tuple[str, str]] = set()
 
 
 class Published:
-    """Marts read back across the domain boundary as pinned contract versions."""
+    """Stored marts, each built from the stored tables above it and read at a pinned version.
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark = spark
+    The order rollup is stored as well: lines are scanned and shuffled once for the order fact, the
+    customer history and everything downstream of either.
+    """
+
+    def __init__(self, domain: Domain, folder: str):
+        self.domain = domain
         self.folder = folder
 
-    def read(self, name: str, version: int | None = 1) -> DataFrame:
-        return read_contract(self.spark, name, version, self.folder)
+    def _stored(self, name: str, version: int | None, build: Callable[[], DataFrame]) -> DataFrame:
+        table = name if version is None else f"{name}_v{version}"
+        if (self.folder, table) not in _STORED:
+            write_table(build(), table, self.folder)
+            _STORED.add((self.folder, table))
+        return read_contract(self.domain.spark, name, version, self.folder)
 
-    def enriched(self) -> DataFrame:
-        return self.read("fct_orders_enriched", version=None)
+    def rollup(self) -> DataFrame:
+        return self._stored("order_rollup", None, self.domain.rollup)
 
+    def fct_orders(self, version: int = 1) -> DataFrame:
+        shape = {1: commercial.fct_orders_v1, 2: commercial.fct_orders_v2}[version]
+        return self._stored("fct_orders", version, lambda: shape(self.rollup()))
 
-_PUBLISHED: dict[tuple[str, str], str] = {}
+    def dim_customers(self) -> DataFrame:
+        def build():
+            history = commercial.int_customer_orders(self.rollup())
+            return commercial.dim_customers_v1(self.domain.customers(), history)
 
+        return self._stored("dim_customers", 1, build)
 
-def publish(domain: Domain, folder: str) -> None:
-    """Build the marts once, in domain order, each from stored upstream tables.
+    def fct_revenue(self) -> DataFrame:
+        def build():
+            return finance.fct_revenue_v1(finance.stg_finance__orders(self.fct_orders()))
 
-    The order rollup is stored first: lines are scanned and shuffled once for the order fact, the
-    customer history and everything downstream of either.
-    """
-    spark = domain.spark
-    write_table(domain.rollup(), "order_rollup", folder)
-    rollup = read_contract(spark, "order_rollup", folder=folder)
-    write_table(commercial.fct_orders_v1(rollup), "fct_orders_v1", folder)
-    history = commercial.int_customer_orders(rollup)
-    write_table(
-        commercial.dim_customers_v1(domain.customers(), history), "dim_customers_v1", folder
-    )
-    fct_orders = read_contract(spark, "fct_orders", 1, folder)
-    dim_customers = read_contract(spark, "dim_customers", 1, folder)
-    write_table(
-        finance.fct_revenue_v1(finance.stg_finance__orders(fct_orders)), "fct_revenue_v1", folder
-    )
-    write_table(
-        marketing.fct_attribution_v1(marketing.stg_marketing__customers(dim_customers)),
-        "fct_attribution_v1",
-        folder,
-    )
-    write_table(domain.fct_usage(), "fct_usage_v1", folder)
-    write_table(
-        analytics.fct_orders_enriched(fct_orders, dim_customers), "fct_orders_enriched", folder
-    )
+        return self._stored("fct_revenue", 1, build)
+
+    def fct_attribution(self) -> DataFrame:
+        def build():
+            customers = marketing.stg_marketing__customers(self.dim_customers())
+            return marketing.fct_attribution_v1(customers)
+
+        return self._stored("fct_attribution", 1, build)
+
+    def fct_usage(self) -> DataFrame:
+        return self._stored("fct_usage", 1, self.domain.fct_usage)
+
+    def enriched(self) -> DataFrame:
+        def build():
+            return analytics.fct_orders_enriched(self.fct_orders(), self.dim_customers())
+
+        return self._stored("fct_orders_enriched", None, build)

@@ -1 +1,238 @@
-"""Cases to come."""
+"""Metric queries over the stored order mart."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from martwright.operators.metrics import (
+    ORDERS,
+    fill_gaps,
+    flag_discount_rate,
+    list_metrics,
+    query_metrics,
+    reconcile_by,
+    reconcile_totals,
+)
+from martwright.registry.base import case
+from martwright.registry.sqltext import part, sql
+from martwright.sources.spine import time_spine_from
+
+# SQL of each metric
+GROSS = "cast(sum(gross_revenue) as decimal(38,2)) as gross_revenue"
+NET = "cast(sum(net_revenue) as decimal(38,2)) as net_revenue"
+DISCOUNT = "cast(sum(gross_revenue - net_revenue) as decimal(38,2)) as total_discount"
+ORDER_COUNT = "count(distinct order_key) as order_count"
+AOV = "cast(sum(gross_revenue) as double) / count(gross_revenue) as avg_order_value"
+ACTIVE = "count(distinct customer_key) as active_customers"
+DISCOUNT_RATE = (
+    "cast(sum(gross_revenue - net_revenue) as double)"
+    " / nullif(cast(sum(gross_revenue) as double), 0) as discount_rate"
+)
+PER_CUSTOMER = (
+    "cast(sum(gross_revenue) as double)"
+    " / nullif(cast(count(distinct customer_key) as double), 0) as revenue_per_customer"
+)
+ALL_METRICS = [m.name for m in ORDERS.metrics]
+ALL_SQL = ", ".join(
+    [GROSS, NET, DISCOUNT, ORDER_COUNT, AOV, DISCOUNT_RATE, ACTIVE, PER_CUSTOMER]
+)
+
+part("totals", f"select {ALL_SQL} from enriched")
+part(
+    "days",
+    """
+    select cast(day as date) as date_day
+    from generate_series(date '2000-01-01', date '2029-12-31', interval 1 day) as s(day),
+         (select max(cast(o_orderdate as date)) as d from orders)
+    where day > d - interval 5 year and day < d + interval 30 day""",
+)
+
+
+def metric(name: str, text: str, *args, **kwargs) -> None:
+    case(name, sql(text))(lambda d: query_metrics(d.published().enriched(), *args, **kwargs))
+
+
+metric(
+    "metric_gross_revenue_by_month",
+    f"select order_month as metric_time__month, {GROSS} from enriched group by 1",
+    ["gross_revenue"],
+    ["metric_time__month"],
+    order=["metric_time__month"],
+)
+metric(
+    "metric_gross_net_by_segment",
+    f"select market_segment as order__market_segment, {GROSS}, {NET} from enriched group by 1",
+    ["gross_revenue", "net_revenue"],
+    ["order__market_segment"],
+)
+metric(
+    "metric_aov_by_tier",
+    f"select customer_tier as order__customer_tier, {AOV} from enriched group by 1",
+    ["avg_order_value"],
+    ["order__customer_tier"],
+)
+metric(
+    "metric_aov_by_tier_month",
+    f"select customer_tier, order_month, {AOV} from enriched group by 1, 2",
+    ["avg_order_value"],
+    ["customer_tier", "order_month"],
+)
+metric(
+    "metric_discount_rate_by_segment",
+    f"select market_segment as order__market_segment, {DISCOUNT_RATE} from enriched group by 1",
+    ["discount_rate"],
+    ["order__market_segment"],
+)
+metric(
+    "metric_active_customers_by_segment",
+    f"select market_segment, {ACTIVE} from enriched group by 1",
+    ["active_customers"],
+    ["market_segment"],
+)
+metric(
+    "metric_revenue_per_customer_by_tier",
+    f"select customer_tier as order__customer_tier, {PER_CUSTOMER} from enriched group by 1",
+    ["revenue_per_customer"],
+    ["order__customer_tier"],
+)
+metric(
+    "metric_order_count_by_status",
+    f"select order_status, order_status_label, {ORDER_COUNT} from enriched group by 1, 2",
+    ["order_count"],
+    ["order_status", "order_status_label"],
+)
+metric("metric_all_total", "select * from totals", ALL_METRICS)
+metric(
+    "metric_by_quarter_and_priority",
+    f"""
+    select order_quarter as metric_time__quarter, order_priority as order__order_priority,
+           {DISCOUNT}, {ORDER_COUNT}, {ACTIVE}
+    from enriched group by 1, 2""",
+    ["total_discount", "order_count", "active_customers"],
+    ["metric_time__quarter", "order__order_priority"],
+)
+metric(
+    "metric_by_year_and_value",
+    f"""
+    select cast(date_trunc('year', order_date) as date) as metric_time__year,
+           is_high_value as order__is_high_value, {NET}, {PER_CUSTOMER}
+    from enriched group by 1, 2""",
+    ["net_revenue", "revenue_per_customer"],
+    ["metric_time__year", "order__is_high_value"],
+)
+metric(
+    "metric_where_high_priority",
+    f"""
+    select market_segment as order__market_segment, {GROSS}, {ORDER_COUNT}
+    from enriched where is_high_priority and order_date >= date '1997-01-01' group by 1""",
+    ["gross_revenue", "order_count"],
+    ["order__market_segment"],
+    where="order__is_high_priority = true and metric_time >= date '1997-01-01'",
+)
+metric(
+    "metric_top_months",
+    f"""
+    select order_month as metric_time__month, {GROSS} from enriched
+    group by 1 order by gross_revenue desc, 1 limit 10""",
+    ["gross_revenue"],
+    ["metric_time__month"],
+    order=["-gross_revenue", "metric_time__month"],
+    limit=10,
+)
+
+
+@case(
+    "metric_daily_gap_filled",
+    sql(f"""
+        select date_day as metric_time__day, m.gross_revenue, m.order_count
+        from days left join (
+          select order_date, {GROSS}, {ORDER_COUNT} from enriched group by 1) m
+          on order_date = date_day"""),
+)
+def daily_gap_filled(d):
+    daily = query_metrics(
+        d.published().enriched(), ["gross_revenue", "order_count"], ["metric_time__day"]
+    )
+    spine = time_spine_from(d.raw("orders").agg(F.max("o_orderdate").alias("as_of")))
+    return fill_gaps(daily, spine, "metric_time__day")
+
+
+@case(
+    "metric_discount_flag",
+    sql(f"""
+        select market_segment as order__market_segment, customer_tier as order__customer_tier,
+               {DISCOUNT_RATE}, coalesce({DISCOUNT_RATE.split(' as discount_rate')[0]} > 0.10, false)
+                 as is_over_limit
+        from enriched group by 1, 2"""),
+)
+def discount_flag(d):
+    groups = ["order__market_segment", "order__customer_tier"]
+    return flag_discount_rate(query_metrics(d.published().enriched(), ["discount_rate"], groups))
+
+
+@case(
+    "metric_reconciliation",
+    sql("""
+        select commercial, finance, marketing, analytics,
+               cast(greatest(commercial, finance, marketing, analytics)
+                    - least(commercial, finance, marketing, analytics) as decimal(38,2))
+                 as widest_gap,
+               commercial = finance and finance = marketing and marketing = analytics as all_agree
+        from (select cast(sum(gross_revenue) as decimal(38,2)) as commercial from fact),
+             (select cast(sum(gross_revenue) as decimal(38,2)) as finance from revenue),
+             (select cast(sum(segment_revenue) as decimal(38,2)) as marketing from attribution),
+             (select cast(sum(gross_revenue) as decimal(38,2)) as analytics from enriched)"""),
+)
+def reconciliation(d):
+    """The same lifetime revenue out of four domains' tables, each at its own grain."""
+    marts = d.published()
+    return reconcile_totals(
+        {
+            "commercial": (marts.fct_orders(), "gross_revenue"),
+            "finance": (marts.fct_revenue(), "gross_revenue"),
+            "marketing": (marts.fct_attribution(), "segment_revenue"),
+            "analytics": (marts.enriched(), "gross_revenue"),
+        }
+    )
+
+
+@case(
+    "metric_reconciliation_by_month",
+    sql("""
+        select coalesce(f.order_month, a.order_month) as order_month, finance, analytics,
+               cast(coalesce(finance, 0) - coalesce(analytics, 0) as decimal(38,2)) as gap
+        from (select order_month, cast(sum(gross_revenue) as decimal(38,2)) as finance
+              from revenue group by 1) f
+        full join (select order_month, cast(sum(gross_revenue) as decimal(38,2)) as analytics
+              from enriched group by 1) a on f.order_month = a.order_month"""),
+)
+def reconciliation_by_month(d):
+    """Last month's revenue, from finance and from the metric."""
+    marts = d.published()
+    finance = marts.fct_revenue().groupBy("order_month").agg(
+        F.sum("gross_revenue").cast("decimal(38,2)").alias("gross_revenue")
+    )
+    metric_rows = query_metrics(marts.enriched(), ["gross_revenue"], ["order_month"])
+    return reconcile_by(
+        finance, metric_rows, ["order_month"], "gross_revenue", ("finance", "analytics")
+    )
+
+
+_LIST_SQL = "\n union all ".join(
+    f"select '{m.name}' as metric, '{m.label}' as label, '{m.kind}' as type,"
+    f" {repr(m.measure) if m.measure else 'null'} as measure,"
+    f" {repr(m.numerator) if m.numerator else 'null'} as numerator,"
+    f" {repr(m.denominator) if m.denominator else 'null'} as denominator,"
+    f" '{m.owner}' as owner, cast({m.name} as double) as current_total from totals"
+    for m in ORDERS.metrics
+)
+
+
+@case("metric_list", sql(_LIST_SQL))
+def metric_list(d):
+    """The registry with each metric's current total over the whole mart."""
+    totals = query_metrics(d.published().enriched(), ALL_METRICS)
+    current = totals.select([F.col(m).cast("double").alias(m) for m in ALL_METRICS]).unpivot(
+        [], ALL_METRICS, "metric", "current_total"
+    )
+    return list_metrics(d.spark).join(current, "metric")

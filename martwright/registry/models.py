@@ -136,7 +136,7 @@ case(
     sql("select * exclude (gross_revenue), gross_revenue as total_revenue from fact"),
 )(lambda d: commercial.fct_orders_v2(d.rollup()))
 case("fct_orders_pinned_v1", sql("select * from fact"))(
-    lambda d: d.published().read("fct_orders", version=1)
+    lambda d: d.published().fct_orders(version=1)
 )
 case("dim_customers_v1", sql("select * from dim"))(lambda d: d.dim_customers())
 case("fct_revenue_v1", sql("select * from revenue"))(lambda d: d.fct_revenue())

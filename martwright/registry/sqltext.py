@@ -4,6 +4,20 @@ from __future__ import annotations
 
 import re
 
+
+
+def half_up(numerator: str, denominator: str, scale: int, units: int, type: str) -> str:
+    """``numerator / 10^units / denominator`` rounded half up on whole numbers, exactly."""
+    lift = 10 ** (scale - units)
+    whole = f"(2 * cast({numerator} as hugeint) * {lift} + {denominator}) // (2 * {denominator})"
+    step = f"{10.0**-scale:.{scale}f}"
+    return f"cast(cast({whole} as decimal(24,0)) * {step} as {type})"
+
+
+def mean(total: str, count: str, units: int = 0) -> str:
+    return half_up(f"{total} * {10**units}", count, 8, units, "decimal(24,8)")
+
+
 PARTS: dict[str, str] = {
     # -- raw rows with exact money and the stand-in columns of the generated data --
     "line": """
@@ -43,7 +57,7 @@ PARTS: dict[str, str] = {
         select priced.*, o_custkey, odate, o_orderstatus, label, o_orderpriority, urgent
         from head, priced where o_orderkey = l_orderkey""",
     # -- marts --
-    "fact": """
+    "fact": f"""
         select l_orderkey as order_key, o_custkey as customer_key, odate as order_date,
                o_orderstatus as order_status, label as order_status_label,
                o_orderpriority as order_priority, urgent as is_high_priority,
@@ -52,19 +66,19 @@ PARTS: dict[str, str] = {
                cast(sum(ext) as decimal(18,2)) as extended_revenue,
                cast(sum(qty) as decimal(18,2)) as total_quantity,
                count(*) as line_item_count,
-               cast(sum(disc) as double) / count(disc) as avg_discount_rate,
+               {mean("sum(disc)", "count(disc)", 2)} as avg_discount_rate,
                min(ship) as first_ship_date, max(received) as last_receipt_date,
                count(*) filter (l_returnflag = 'R') as returned_lines,
                count(*) filter (received > due) as late_lines
         from item group by all""",
-    "history": """
+    "history": f"""
         select o_custkey as customer_key,
                count(distinct l_orderkey) as total_orders,
                count(*) as total_line_items,
                cast(sum(qty) as decimal(38,2)) as total_quantity,
                cast(sum(gross) as decimal(38,2)) as lifetime_gross_revenue,
                cast(sum(net) as decimal(38,2)) as lifetime_net_revenue,
-               cast(sum(gross) as double) / count(gross) as avg_line_gross_revenue,
+               {mean("sum(gross)", "count(gross)", 2)} as avg_line_gross_revenue,
                min(odate) as first_order_date, max(odate) as last_order_date,
                date_diff('day', min(odate), max(odate)) as customer_tenure_days,
                count(*) filter (l_returnflag = 'R') as total_returns,
@@ -87,34 +101,30 @@ PARTS: dict[str, str] = {
                     else 'bronze' end as customer_tier,
                total_orders is null as is_never_ordered
         from cust left join history on customer_key = c_custkey""",
-    # half-up rounding on whole cents: (20000 * discount + gross) // (2 * gross)
-    "finance": """
+    "finance": f"""
         select order_key, customer_key, order_date, order_status, order_status_label,
                gross_revenue, net_revenue, extended_revenue, line_item_count,
                cast(gross_revenue - net_revenue as decimal(18,2)) as total_discount_amount,
-               cast(case when gross_revenue > 0
-                 then cast((20000 * cast((gross_revenue - net_revenue) * 100 as bigint)
-                            + cast(gross_revenue * 100 as bigint))
-                           // (2 * cast(gross_revenue * 100 as bigint)) as decimal(14,0))
-                 else 0 end * cast(0.0001 as decimal(4,4)) as decimal(18,4))
+               case when gross_revenue > 0
+                 then {half_up("(gross_revenue - net_revenue) * 100",
+                               "cast(gross_revenue * 100 as hugeint)", 4, 0, "decimal(18,4)")}
+                 else cast(0 as decimal(18,4)) end
                  as effective_discount_rate,
                cast(date_trunc('month', order_date) as date) as order_month,
                cast(date_trunc('quarter', order_date) as date) as order_quarter,
                extract(year from order_date) as order_year
         from fact""",
-    "revenue": """
+    "revenue": f"""
         select customer_key, order_month, order_quarter, order_year,
                cast(sum(gross_revenue) as decimal(38,2)) as gross_revenue,
                cast(sum(net_revenue) as decimal(38,2)) as net_revenue,
                cast(sum(total_discount_amount) as decimal(38,2)) as total_discount_amount,
                count(distinct order_key) as order_count,
                cast(sum(line_item_count) as bigint) as total_line_items,
-               cast(cast((2 * cast(sum(effective_discount_rate) * 10000 as bigint) + count(*))
-                         // (2 * count(*)) as decimal(14,0))
-                    * cast(0.0001 as decimal(4,4)) as decimal(18,4)) as avg_discount_rate,
-               cast(cast((2 * cast(sum(gross_revenue) * 100 as bigint) + count(distinct order_key))
-                         // (2 * count(distinct order_key)) as decimal(16,0))
-                    * cast(0.01 as decimal(2,2)) as decimal(18,2)) as avg_order_value
+               {half_up("sum(effective_discount_rate) * 10000", "count(*)", 4, 4, "decimal(18,4)")}
+                 as avg_discount_rate,
+               {half_up("sum(gross_revenue) * 100", "count(distinct order_key)", 2, 2,
+                        "decimal(18,2)")} as avg_order_value
         from finance group by all""",
     "segmented": """
         select customer_key, nation_key, market_segment, account_balance, is_high_value,
@@ -127,17 +137,17 @@ PARTS: dict[str, str] = {
                     when lifetime_gross_revenue < 500000 then 'medium'
                     else 'high' end as monetary_segment
         from dim""",
-    "attribution": """
+    "attribution": f"""
         select market_segment, customer_tier, nation_key, frequency_segment, monetary_segment,
                count(customer_key) as customer_count,
                cast(sum(lifetime_gross_revenue) as decimal(38,2)) as segment_revenue,
-               cast(sum(lifetime_gross_revenue) as double) / count(*) as avg_customer_revenue,
+               {mean("sum(lifetime_gross_revenue)", "count(*)", 2)} as avg_customer_revenue,
                cast(sum(total_orders) as bigint) as segment_order_count,
-               cast(sum(total_orders) as double) / count(*) as avg_orders_per_customer,
+               {mean("sum(total_orders)", "count(*)")} as avg_orders_per_customer,
                count(*) filter (is_high_value) as high_value_count,
                count(*) filter (is_never_ordered) as never_ordered_count,
                count(*) filter (is_delinquent) as delinquent_count,
-               cast(sum(customer_tenure_days) as double) / count(*) as avg_tenure_days
+               {mean("sum(customer_tenure_days)", "count(*)")} as avg_tenure_days
         from segmented group by all""",
     "usage": """
         select md5(l_orderkey || '-' || l_linenumber) as usage_event_key,
@@ -146,14 +156,13 @@ PARTS: dict[str, str] = {
                cast(date_trunc('month', ship) as date) as usage_month,
                l_returnflag as usage_status, coalesce(l_returnflag = 'R', false) as is_churned
         from line where ship is not null""",
-    "usage_month": """
+    "usage_month": f"""
         select feature_id, feature_category, usage_month, count(*) as total_events,
                count(distinct order_key) as unique_users,
                cast(sum(usage_quantity) as decimal(38,2)) as total_quantity,
                cast(sum(usage_value) as decimal(38,2)) as total_usage_value,
                count(*) filter (is_churned) as churned_events,
-               cast(cast((20000 * count(*) filter (is_churned) + count(*)) // (2 * count(*))
-                         as decimal(14,0)) * cast(0.0001 as decimal(4,4)) as decimal(18,4))
+               {half_up("count(*) filter (is_churned)", "count(*)", 4, 0, "decimal(18,4)")}
                  as churn_rate
         from usage group by all""",
     "enriched": """

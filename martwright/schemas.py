@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 MONEY = "decimal(18,2)"
 RATE = "decimal(4,2)"
+AVERAGE = "decimal(24,8)"  # exact means, rounded half up once
 WIDE_MONEY = "decimal(38,2)"  # totals above customer grain: no overflow however many rows
 
 
