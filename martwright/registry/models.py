@@ -69,40 +69,47 @@ STAGING_SQL = {
 }
 
 for _table, _text in STAGING_SQL.items():
+    part(f"stg_tpch__{_table}", _text)
     case(f"stg_tpch_{_table}", sql(_text))(lambda d, t=_table: d.staged(t))
 
-case(
-    "stg_commercial_orders",
-    sql("""
+part(
+    "stg_commercial__orders",
+    """
         select o_orderkey as order_key, o_custkey as customer_key, o_orderstatus as order_status,
                o_orderpriority as order_priority, 'Clerk#' || (o_custkey % 1000) as clerk_name,
                cast(0 as integer) as ship_priority, total as order_total_price,
                odate as order_date, urgent as is_high_priority, label as order_status_label,
                cast(null as varchar) as order_comment
-        from head"""),
-)(lambda d: d.orders())
-
-case(
-    "stg_commercial_customers",
-    sql("""
+        from head""",
+)
+part(
+    "stg_commercial__customers",
+    """
         select c_custkey as customer_key, c_nationkey as nation_key, c_name as customer_name,
                cast(null as varchar) as customer_address, cast(null as varchar) as customer_phone,
                c_mktsegment as market_segment, balance as account_balance,
                delinquent as is_delinquent, valued as is_high_value,
                cast(null as varchar) as customer_comment
-        from cust"""),
-)(lambda d: d.customers())
-
-case(
-    "stg_commercial_lineitems",
-    sql("""
+        from cust""",
+)
+part(
+    "stg_commercial__lineitems",
+    """
         select line_id as lineitem_key, l_orderkey as order_key, l_linenumber as line_number,
                l_returnflag as return_flag, l_linestatus as line_status, mode as ship_mode,
                qty as quantity, ext as extended_price, disc as discount_rate, tax as tax_rate,
                net as net_price, gross as gross_price, ship as ship_date, due as commit_date,
                received as receipt_date
-        from priced"""),
-)(lambda d: d.lineitems())
+        from priced""",
+)
+
+case("stg_commercial_orders", sql("select * from stg_commercial__orders"))(lambda d: d.orders())
+case("stg_commercial_customers", sql("select * from stg_commercial__customers"))(
+    lambda d: d.customers()
+)
+case("stg_commercial_lineitems", sql("select * from stg_commercial__lineitems"))(
+    lambda d: d.lineitems()
+)
 
 case("stg_finance_orders", sql("select * from finance"))(lambda d: d.finance_orders())
 case("stg_marketing_customers", sql("select * from segmented"))(lambda d: d.marketing_customers())
