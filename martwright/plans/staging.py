@@ -62,3 +62,17 @@ STAGING = {
     "region": stg_tpch__region,
     "supplier": stg_tpch__supplier,
 }
+
+
+def auto_stage(
+    df: DataFrame, table: str, key_columns: tuple[str, str] | None = None
+) -> DataFrame:
+    """A staging model for any table: its first two columns make the surrogate key.
+
+    A first column already spelled ``...KEY`` is a key of its own, so none is added then unless the
+    key columns are given.
+    """
+    if key_columns is None and df.columns[0].endswith("KEY"):
+        staged = stage(df, f"{table}_key", tuple(df.columns[:1]))
+        return staged.drop(f"{table}_key")
+    return stage(df, f"{table}_key", key_columns or tuple(df.columns[:2]))
