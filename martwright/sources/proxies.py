@@ -83,3 +83,111 @@ def generated_source(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def present_columns(name: str) -> list[str]:
     """Declared columns of a table that hold data, real or by formula."""
     return [c for c in RAW[name] if c not in ABSENT[name]]
+
+
+def generated_catalog(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Catalog metadata derived from the generated tables, so that it grows with them.
+
+    Regions, nations, customers and orders form the model graph (region -> nation -> customer ->
+    order). Orders are the columns of their customer's model, fulfilled orders its tests, documents
+    its description and, where labelled, its source; suppliers are sources of their nation's model.
+    """
+
+    def read(name: str) -> DataFrame:
+        return spark.read.parquet(f"{folder}/{name}.parquet")
+
+    def ident(kind: str, key: str) -> F.Column:
+        return F.concat(F.lit(f"{kind}."), F.col(key).cast("string"))
+
+    def link(df: DataFrame, parent: F.Column, child: F.Column) -> DataFrame:
+        return df.select(
+            parent.alias("parent_id"), child.alias("child_id"), F.lit("model").alias("child_type")
+        )
+
+    region, nation, customer = read("region"), read("nation"), read("customer")
+    orders, supplier, documents = read("orders"), read("supplier"), read("documents")
+    text = documents.select(F.col("doc_id").alias("c_custkey"), F.col("text").alias("description"))
+    order_model = ident("model.customer", "o_custkey")
+    models = (
+        region.select(
+            ident("model.region", "r_regionkey").alias("model_id"),
+            F.col("r_name").alias("name"),
+            F.lit("platform").alias("project"),
+            F.lit("staging").alias("layer"),
+            F.lit("public").alias("access"),
+            F.lit(None).cast("string").alias("description"),
+            F.lit(False).alias("enforced"),
+        )
+        .unionByName(
+            nation.select(
+                ident("model.nation", "n_nationkey").alias("model_id"),
+                F.col("n_name").alias("name"),
+                F.lit("platform").alias("project"),
+                F.lit("intermediate").alias("layer"),
+                F.lit("protected").alias("access"),
+                F.col("n_name").alias("description"),
+                F.lit(False).alias("enforced"),
+            )
+        )
+        .unionByName(
+            customer.join(text, "c_custkey", "left").select(
+                ident("model.customer", "c_custkey").alias("model_id"),
+                F.col("c_name").alias("name"),
+                F.lower("c_mktsegment").alias("project"),
+                F.lit("marts").alias("layer"),
+                F.when(F.col("c_acctbal") >= 0, "public").otherwise("protected").alias("access"),
+                "description",
+                F.coalesce(F.col("c_acctbal") >= 5000, F.lit(False)).alias("enforced"),
+            )
+        )
+    )
+    columns = orders.select(
+        order_model.alias("model_id"),
+        ident("order", "o_orderkey").alias("name"),
+        F.col("o_orderpriority").alias("description"),
+        F.when(F.col("o_orderstatus") == "F", "number")
+        .when(F.col("o_orderstatus") == "O", "varchar")
+        .alias("data_type"),
+    )
+    tests = orders.filter("o_orderstatus = 'F'").select(
+        ident("test", "o_orderkey").alias("test_id"), order_model.alias("model_id")
+    )
+    sources = supplier.select(
+        ident("source.supplier", "s_suppkey").alias("source_id"),
+        (F.col("s_acctbal") >= 0).alias("has_freshness"),
+    ).unionByName(
+        documents.select(
+            ident("source.document", "doc_id").alias("source_id"),
+            (F.col("lang") == "en").alias("has_freshness"),
+        )
+    )
+    edges = (
+        link(nation, ident("model.region", "n_regionkey"), ident("model.nation", "n_nationkey"))
+        .unionByName(
+            link(
+                customer, ident("model.nation", "c_nationkey"), ident("model.customer", "c_custkey")
+            )
+        )
+        .unionByName(link(orders, order_model, ident("model.order", "o_orderkey")))
+        .unionByName(
+            link(
+                supplier,
+                ident("source.supplier", "s_suppkey"),
+                ident("model.nation", "s_nationkey"),
+            )
+        )
+        .unionByName(
+            link(
+                read("labels"),
+                ident("source.document", "doc_id"),
+                ident("model.customer", "doc_id"),
+            )
+        )
+    )
+    return {
+        "models": models,
+        "columns": columns,
+        "tests": tests,
+        "sources": sources,
+        "edges": edges,
+    }
