@@ -6,13 +6,16 @@ from martwright.functions.scalar import (
     day_offset,
     days_between,
     flag,
+    from_cents,
     month_of,
     quarter_of,
+    round_cents,
     round_ratio,
     safe_divide,
     strip_prefix,
     surrogate_key,
     text_length,
+    to_cents,
     word_count,
     year_of,
 )
@@ -23,13 +26,16 @@ __all__ = [
     "day_offset",
     "days_between",
     "flag",
+    "from_cents",
     "month_of",
     "quarter_of",
+    "round_cents",
     "round_ratio",
     "safe_divide",
     "strip_prefix",
     "surrogate_key",
     "text_length",
+    "to_cents",
     "word_count",
     "year_of",
 ]

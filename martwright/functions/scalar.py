@@ -38,6 +38,29 @@ def cents_to_dollars(cents: Column | str, precision: int = 2) -> Column:
     return F.round(_col(cents) / F.lit(Decimal("100.0")), precision)
 
 
+def to_cents(amount: Column | str, kind: str) -> Column:
+    """Whole hundredths as a long, from a decimal or a double holding at most two decimals.
+
+    Adding up longs is several times cheaper than adding up wide decimals, and as exact. A sum of
+    hundredths has room for 92 quadrillion units before it raises.
+    """
+    value = _col(amount)
+    scaled = F.rint(value * F.lit(100.0)) if kind in ("double", "float") else value * F.lit(100)
+    return scaled.cast("long")
+
+
+def from_cents(cents: Column | str, kind: str = "decimal(18,2)") -> Column:
+    return (_col(cents).cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(kind)
+
+
+def round_cents(value: str, unit: int) -> Column:
+    """Whole-number quotient of a long expression by a unit, rounded half away from zero."""
+    half = unit // 2
+    return F.expr(
+        f"if({value} >= 0, ({value} + {half}) div {unit}, -(({half} - ({value})) div {unit}))"
+    )
+
+
 def round_ratio(numerator: Column | str, denominator: Column | str, scale: int) -> Column:
     """Decimal quotient rounded half away from zero; NULL where the denominator is 0.
 

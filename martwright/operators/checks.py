@@ -14,7 +14,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,11 +41,16 @@ class Check:
         return f"{self.kind}_{self.table}_{self.column}"
 
 
-def _outside(df: DataFrame, check: Check) -> Column:
+def _text(value: str) -> str:
+    """SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _outside(df: DataFrame, check: Check) -> str:
     """Non-NULL value outside the list, compared in the column's own type."""
-    kind = dict(df.dtypes)[check.column]
-    accepted = [F.lit(v).cast(kind) for v in check.values]
-    return F.col(check.column).isNotNull() & ~F.col(check.column).isin(*accepted)
+    kind = df.schema[check.column].dataType.simpleString()
+    accepted = ", ".join(f"cast({_text(v)} as {kind})" for v in check.values)
+    return f"(`{check.column}` is not null and `{check.column}` not in ({accepted}))"
 
 
 def _repeated(df: DataFrame, column: str) -> DataFrame:
@@ -73,57 +77,42 @@ def failing_rows(df: DataFrame, check: Check, parent: DataFrame | None = None) -
     if check.kind == "unique":
         return _repeated(df, check.column)
     if check.kind == "accepted_values":
-        bad = df.filter(_outside(df, check))
+        bad = df.filter(F.expr(_outside(df, check)))
         return bad.groupBy(check.column).agg(F.count(F.lit(1)).alias("n_records"))
     if check.kind == "relationships":
         return _orphan_keys(df, check, parent).withColumnRenamed("child_key", check.column)
     raise ValueError(f"unknown check kind: {check.kind}")
 
 
-def _label(check: Check, failures: Column) -> list[Column]:
-    return [
-        F.lit(check.name),
-        F.lit(check.table),
-        F.lit(check.column),
-        F.lit(check.severity),
-        failures.cast("long"),
-    ]
-
-
 def _as_rows(counts: DataFrame, checks: list[Check]) -> DataFrame:
     """One row of counts c0, c1, ... turned into one row per check."""
-    cells = [cell for i, c in enumerate(checks) for cell in _label(c, F.col(f"c{i}"))]
-    return counts.select(
-        F.stack(F.lit(len(checks)), *cells).alias(
-            "check_name", "table_name", "column_name", "severity", "failures"
-        )
+    cells = [
+        f"{_text(c.name)}, {_text(c.table)}, {_text(c.column)}, {_text(c.severity)}, cast(c{i} as long)"
+        for i, c in enumerate(checks)
+    ]
+    return counts.selectExpr(
+        f"stack({len(checks)}, {', '.join(cells)})"
+        " as (check_name, table_name, column_name, severity, failures)"
     )
 
 
 def _count_nulls(df: DataFrame, checks: list[Check]) -> DataFrame:
-    return _as_rows(
-        df.agg(
-            *[F.count_if(F.col(c.column).isNull()).alias(f"c{i}") for i, c in enumerate(checks)]
-        ),
-        checks,
-    )
+    nulls = [F.expr(f"count_if(`{c.column}` is null) as c{i}") for i, c in enumerate(checks)]
+    return _as_rows(df.agg(*nulls), checks)
 
 
 def _count_outside(df: DataFrame, checks: list[Check]) -> DataFrame:
     bad = [_outside(df, c) for c in checks]
     found = [
-        F.when(b, F.struct(F.lit(i).alias("i"), F.col(c.column).cast("string").alias("value")))
+        f"if({b}, named_struct('i', {i}, 'value', cast(`{c.column}` as string)), null)"
         for i, (b, c) in enumerate(zip(bad, checks))
     ]
     values = (
-        df.filter(reduce(or_, bad))
-        .select(F.explode(F.array_compact(F.array(*found))).alias("bad"))
-        .select("bad.i", "bad.value")
+        df.filter(" or ".join(bad))
+        .selectExpr(f"inline(array_compact(array({', '.join(found)})))")
         .distinct()
     )
-    counts = values.agg(
-        *[F.count_if(F.col("i") == i).alias(f"c{i}") for i in range(len(checks))]
-    )
+    counts = values.agg(*[F.expr(f"count_if(i = {i}) as c{i}") for i in range(len(checks))])
     return _as_rows(counts, checks)
 
 

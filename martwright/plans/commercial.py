@@ -11,7 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martwright.functions import buckets, days_between, flag, round_ratio, surrogate_key
+from martwright.functions import (
+    buckets,
+    days_between,
+    flag,
+    from_cents,
+    round_cents,
+    round_ratio,
+    surrogate_key,
+    to_cents,
+)
 from martwright.schemas import AVERAGE, MONEY, WIDE_MONEY
 
 # Codes, labels and thresholds of the domain.
@@ -132,52 +141,77 @@ def int_order_items(orders: DataFrame, lineitems: DataFrame) -> DataFrame:
     )
 
 
-def _count_where(predicate):
-    return F.sum(F.when(predicate, 1).otherwise(0))
+def _line_totals(lineitems: DataFrame) -> DataFrame:
+    """Per order: line totals in whole cents, straight from the platform's staged lines."""
+    kind = dict(lineitems.dtypes)
 
+    def cents(name: str):
+        return to_cents(name, kind[name]).alias(name)
 
-def order_rollup(orders: DataFrame, lineitems: DataFrame) -> DataFrame:
-    """Per order: attributes and line totals, everything the marts above line grain need.
-
-    The second grouping keeps the totals right should an order header occur twice; it needs no
-    shuffle, since the rows are partitioned by order key already.
-    """
-    per_order = lineitems.groupBy("order_key").agg(
-        F.sum("gross_price").cast(MONEY).alias("gross_revenue"),
-        F.sum("net_price").cast(MONEY).alias("net_revenue"),
-        F.sum("extended_price").cast(MONEY).alias("extended_revenue"),
-        F.sum("quantity").cast(MONEY).alias("total_quantity"),
+    priced = lineitems.select(
+        F.col("orderkey").alias("order_key"),
+        cents("quantity"),
+        cents("extendedprice"),
+        cents("discount"),
+        cents("tax"),
+        flag(F.col("returnflag") == RETURNED).cast("int").alias("returned"),
+        flag(F.col("receiptdate") > F.col("commitdate")).cast("int").alias("late"),
+        F.col("shipdate").cast("date").alias("ship_date"),
+        F.col("receiptdate").cast("date").alias("receipt_date"),
+    ).withColumns(
+        {
+            "net": round_cents("extendedprice * (100 - discount)", 100),
+            "gross": round_cents("extendedprice * (100 - discount) * (100 + tax)", 10000),
+        }
+    )
+    return priced.groupBy("order_key").agg(
+        F.sum("gross").alias("gross_revenue"),
+        F.sum("net").alias("net_revenue"),
+        F.sum("extendedprice").alias("extended_revenue"),
+        F.sum("quantity").alias("total_quantity"),
+        F.sum("discount").alias("discount_rates"),
         F.count(F.lit(1)).alias("line_item_count"),
-        F.count("gross_price").alias("priced_lines"),
-        F.sum("discount_rate").cast(MONEY).alias("discount_rates"),
-        F.count("discount_rate").alias("discounted_lines"),
+        F.count("gross").alias("priced_lines"),
+        F.count("discount").alias("discounted_lines"),
+        F.sum("returned").alias("returned_lines"),
+        F.sum("late").alias("late_lines"),
         F.min("ship_date").alias("first_ship_date"),
         F.max("receipt_date").alias("last_receipt_date"),
-        _count_where(_is_returned()).alias("returned_lines"),
-        _count_where(_is_late()).alias("late_lines"),
     )
-    summed = [
+
+
+def order_rollup(orders: DataFrame, platform_lineitems: DataFrame) -> DataFrame:
+    """Per order: attributes and line totals, everything the marts above line grain need.
+
+    The same numbers as grouping ``int_order_items`` by the order attributes, from commercial orders
+    and platform lines. The second grouping keeps the totals right should an order header occur
+    twice; it needs no shuffle, since the rows are partitioned by order key already.
+    """
+    amounts = [
         "gross_revenue",
         "net_revenue",
         "extended_revenue",
         "total_quantity",
+        "discount_rates",
+    ]
+    counts = [
         "line_item_count",
         "priced_lines",
-        "discount_rates",
         "discounted_lines",
         "returned_lines",
         "late_lines",
     ]
-    kind = dict(per_order.dtypes)
-    return (
-        per_order.join(orders.select(*ORDER_ATTRIBUTES), "order_key")
+    grouped = (
+        _line_totals(platform_lineitems)
+        .join(orders.select(*ORDER_ATTRIBUTES), "order_key")
         .groupBy(*ORDER_ATTRIBUTES)
         .agg(
-            *[F.sum(c).cast(kind[c]).alias(c) for c in summed],
+            *[F.sum(c).alias(c) for c in amounts + counts],
             F.min("first_ship_date").alias("first_ship_date"),
             F.max("last_receipt_date").alias("last_receipt_date"),
         )
     )
+    return grouped.withColumns({c: from_cents(c, MONEY) for c in amounts})
 
 
 def fct_orders_v1(rollup: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martwright.functions import flag, month_of, round_ratio, surrogate_key
+from martwright.functions import flag, from_cents, month_of, round_ratio, surrogate_key, to_cents
 from martwright.schemas import WIDE_MONEY
 
 CHURNED = "R"  # fixed value: the return flag that counts as churn
@@ -33,13 +33,18 @@ def fct_usage_v1(usage: DataFrame) -> DataFrame:
     There are few groups and each is large: Spark first reduces by group and order key, which
     spreads one large group over all tasks, and only then by group.
     """
+    kind = dict(usage.dtypes)
+
+    def total(name: str):
+        return from_cents(F.sum(to_cents(name, kind[name])), WIDE_MONEY)
+
     events = F.count(F.lit(1))  # the event key is never NULL
     churned = F.sum(F.when(F.col("is_churned"), 1).otherwise(0))
     return usage.groupBy("feature_id", "feature_category", "usage_month").agg(
         events.alias("total_events"),
         F.count_distinct("order_key").alias("unique_users"),
-        F.sum("usage_quantity").cast(WIDE_MONEY).alias("total_quantity"),
-        F.sum("usage_value").cast(WIDE_MONEY).alias("total_usage_value"),
+        total("usage_quantity").alias("total_quantity"),
+        total("usage_value").alias("total_usage_value"),
         churned.alias("churned_events"),
         round_ratio(churned, events, 4).cast("decimal(18,4)").alias("churn_rate"),
     )

@@ -10,13 +10,12 @@ from martwright.functions import strip_prefix, surrogate_key
 
 def stage(df: DataFrame, key_name: str, key_columns: tuple[str, str]) -> DataFrame:
     """Surrogate key first, then every column without its source prefix; timestamps become dates."""
-    columns = [surrogate_key(*key_columns).alias(key_name)]
+    columns = []
     for name, kind in df.dtypes:
-        value = F.col(name)
-        if kind.startswith(("timestamp", "date")):
-            value = value.cast("date")
-        columns.append(value.alias(strip_prefix(name)))
-    return df.select(*columns)
+        value = f"cast({name} as date)" if kind.startswith(("timestamp", "date")) else name
+        columns.append(f"{value} as {strip_prefix(name)}")
+    key = surrogate_key(*key_columns).alias(key_name)
+    return df.select(key, *map(F.expr, columns))
 
 
 def stg_tpch__customer(customer: DataFrame) -> DataFrame:

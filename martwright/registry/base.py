@@ -67,11 +67,17 @@ class Domain:
     def lineitems(self) -> DataFrame:
         return commercial.stg_commercial__lineitems(self.staged("lineitem"))
 
+    def lines_as_stored(self) -> DataFrame:
+        """Staged lines for the models that add up whole cents."""
+        return STAGING["lineitem"](
+            generated_source(self.spark, self.folder, "lineitem", keep_doubles=True)
+        )
+
     def order_items(self) -> DataFrame:
         return commercial.int_order_items(self.orders(), self.lineitems())
 
     def rollup(self) -> DataFrame:
-        return commercial.order_rollup(self.orders(), self.lineitems())
+        return commercial.order_rollup(self.orders(), self.lines_as_stored())
 
     def fct_orders(self) -> DataFrame:
         return commercial.fct_orders_v1(self.rollup())
@@ -96,7 +102,7 @@ class Domain:
         return product.stg_product__usage(self.staged("lineitem"))
 
     def fct_usage(self) -> DataFrame:
-        return product.fct_usage_v1(self.usage())
+        return product.fct_usage_v1(product.stg_product__usage(self.lines_as_stored()))
 
     def published(self) -> Published:
         """Marts stored as tables: built on first use in a session, read from then on."""

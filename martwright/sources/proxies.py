@@ -17,33 +17,29 @@ SHIP_MODES = ("AIR", "FOB", "MAIL", "RAIL", "REG AIR", "SHIP", "TRUCK")
 SHIP_INSTRUCTIONS = ("COLLECT COD", "DELIVER IN PERSON", "NONE", "TAKE BACK RETURN")
 
 
-def _pick(values: tuple[str, ...], index) -> F.Column:
-    return F.element_at(F.array(*map(F.lit, values)), (index % len(values)).cast("int") + 1)
-
-
-def _shipped_plus(days) -> F.Column:
-    return F.date_add(F.col("l_shipdate").cast("date"), days.cast("int"))
-
-
-def proxy_columns() -> dict[str, dict[str, F.Column]]:
-    """Per table: the columns a formula stands in for."""
-    part, supp, order = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_orderkey")
-    return {
-        "lineitem": {
-            "l_commitdate": _shipped_plus(part % 61 - 30),
-            "l_receiptdate": _shipped_plus(supp % 30 + 1),
-            "l_shipinstruct": _pick(SHIP_INSTRUCTIONS, order),
-            "l_shipmode": _pick(SHIP_MODES, part + supp),
-        },
-        "orders": {
-            "o_clerk": F.concat(F.lit("Clerk#"), (F.col("o_custkey") % 1000).cast("string")),
-            "o_shippriority": F.lit(0),
-        },
-        "part": {
-            "p_mfgr": F.concat(F.lit("Manufacturer#"), (F.col("p_partkey") % 5 + 1).cast("string")),
-        },
-    }
-
+def _pick(values: tuple[str, ...], index: str) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({listed}), cast(({index}) % {len(values)} as int) + 1)"
+
+
+def _shipped_plus(days: str) -> str:
+    return f"date_add(cast(l_shipdate as date), cast({days} as int))"
+
+
+# Per table: the columns a formula stands in for, as SQL expressions.
+PROXIES: dict[str, dict[str, str]] = {
+    "lineitem": {
+        "l_commitdate": _shipped_plus("l_partkey % 61 - 30"),
+        "l_receiptdate": _shipped_plus("l_suppkey % 30 + 1"),
+        "l_shipinstruct": _pick(SHIP_INSTRUCTIONS, "l_orderkey"),
+        "l_shipmode": _pick(SHIP_MODES, "l_partkey + l_suppkey"),
+    },
+    "orders": {
+        "o_clerk": "concat('Clerk#', cast(o_custkey % 1000 as string))",
+        "o_shippriority": "0",
+    },
+    "part": {"p_mfgr": "concat('Manufacturer#', cast(p_partkey % 5 + 1 as string))"},
+}
 
 # Columns with no stand-in: NULL in the models, skipped by the checks.
 ABSENT: dict[str, tuple[str, ...]] = {
@@ -60,29 +56,25 @@ ABSENT: dict[str, tuple[str, ...]] = {
 
 def _partsupp(spark: SparkSession, folder: str) -> DataFrame:
     pairs = spark.read.parquet(f"{folder}/lineitem.parquet").select("l_partkey", "l_suppkey")
-    part, supp = F.col("l_partkey"), F.col("l_suppkey")
-    return pairs.distinct().select(
-        part.alias("ps_partkey"),
-        supp.alias("ps_suppkey"),
-        (1 + (part + supp) % 9999).alias("ps_availqty"),
-        ((100 + (part * 7 + supp * 13) % 99901) / F.lit(100.0)).alias("ps_supplycost"),
+    return pairs.distinct().selectExpr(
+        "l_partkey as ps_partkey",
+        "l_suppkey as ps_suppkey",
+        "1 + (l_partkey + l_suppkey) % 9999 as ps_availqty",
+        "(100 + (l_partkey * 7 + l_suppkey * 13) % 99901) / 100.0 as ps_supplycost",
     )
 
 
-def generated_source(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def generated_source(
+    spark: SparkSession, folder: str, name: str, keep_doubles: bool = False
+) -> DataFrame:
     """One generated table in its full declared schema."""
     if name == "partsupp":
         df = _partsupp(spark, folder)
     else:
         df = spark.read.parquet(f"{folder}/{name}.parquet")
-        df = df.withColumns(proxy_columns().get(name, {}))
-    nulls = {c: F.lit(None).cast("string") for c in ABSENT[name]}
-    return conform(df.withColumns(nulls), RAW[name])
-
-
-def present_columns(name: str) -> list[str]:
-    """Declared columns of a table that hold data, real or by formula."""
-    return [c for c in RAW[name] if c not in ABSENT[name]]
+    stand_ins = [f"{formula} as {c}" for c, formula in PROXIES.get(name, {}).items()]
+    nulls = [f"cast(null as string) as {c}" for c in ABSENT[name]]
+    return conform(df.selectExpr("*", *stand_ins, *nulls), RAW[name], keep_doubles)
 
 
 def generated_catalog(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
