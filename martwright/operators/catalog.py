@@ -64,35 +64,35 @@ def _model_links(edges: DataFrame) -> DataFrame:
     return edges.filter("child_type = 'model'").select("parent_id", "child_id").distinct()
 
 
+def _wide(links: DataFrame, threshold: int) -> DataFrame:
+    counts = links.groupBy("parent_id").agg(F.count(F.lit(1)).alias("direct_children"))
+    return counts.filter(F.col("direct_children") >= threshold)
+
+
 def fanout(edges: DataFrame, threshold: int = FANOUT_THRESHOLD) -> DataFrame:
     """Parents with at least ``threshold`` direct model children."""
-    counts = _model_links(edges).groupBy("parent_id").agg(
-        F.count(F.lit(1)).alias("direct_children")
-    )
-    return counts.filter(F.col("direct_children") >= threshold)
+    return _wide(_model_links(edges), threshold)
 
 
-def descendants(edges: DataFrame, starts: DataFrame) -> DataFrame:
+def descendants(links: DataFrame, starts: DataFrame, folder: str) -> DataFrame:
     """All (start_id, node_id) pairs where the node can be reached from the start.
 
-    One join per level of the graph. Every level is stored as a table in the shared folder, so the
-    plan does not grow with the depth and a lost executor costs no earlier level. Pairs already
-    known are dropped by an anti join on the whole pair, which ends the loop on cycles and keeps
-    diamonds from being walked twice; only the level's new pairs are carried on.
+    One join per level of the graph. Every level is stored as a table below ``folder``, so the plan
+    does not grow with the depth and a lost executor costs no earlier level. Pairs already known are
+    dropped by an anti join on the whole pair, which ends the loop on cycles and keeps diamonds from
+    being walked twice; only the level's new pairs are carried on. The step feeds a shuffle, so
+    adaptive execution is free to split the partition of a node with very many children.
     """
-    spark = edges.sparkSession
-    folder = f"{shared_folder(spark)}/reach-{uuid.uuid4().hex}"
-    edges.write.parquet(f"{folder}/links")
-    links = spark.read.parquet(f"{folder}/links")
-    pairs = links.join(starts.select(F.col("parent_id")), "parent_id", "left_semi").select(
+    spark = links.sparkSession
+    pairs = links.join(starts.select("parent_id"), "parent_id", "left_semi").select(
         F.col("parent_id").alias("start_id"), F.col("child_id").alias("node_id")
     )
     schema, level = pairs.schema, 0
     while True:
-        pairs.write.parquet(f"{folder}/pairs/level={level}")
-        newest = spark.read.schema(schema).parquet(f"{folder}/pairs/level={level}")
+        pairs.write.parquet(f"{folder}/level={level}")
+        newest = spark.read.schema(schema).parquet(f"{folder}/level={level}")
         known = spark.read.schema(schema).parquet(
-            *[f"{folder}/pairs/level={i}" for i in range(level + 1)]
+            *[f"{folder}/level={i}" for i in range(level + 1)]
         )
         if newest.isEmpty():
             return known
@@ -104,9 +104,16 @@ def descendants(edges: DataFrame, starts: DataFrame) -> DataFrame:
 
 
 def blast_radius(edges: DataFrame, threshold: int = FANOUT_THRESHOLD) -> DataFrame:
-    """Direct and transitive dependents of the models with many direct ones, widest first."""
-    wide = fanout(edges, threshold)
-    reached = descendants(_model_links(edges), wide).groupBy("start_id").agg(
+    """Direct and transitive dependents of the models with many direct ones, widest first.
+
+    The distinct links are stored once and read by every level.
+    """
+    spark = edges.sparkSession
+    folder = f"{shared_folder(spark)}/reach-{uuid.uuid4().hex}"
+    _model_links(edges).write.parquet(f"{folder}/links")
+    links = spark.read.parquet(f"{folder}/links")
+    wide = _wide(links, threshold)
+    reached = descendants(links, wide, f"{folder}/pairs").groupBy("start_id").agg(
         F.count(F.lit(1)).alias("transitive_count")
     )
     return (

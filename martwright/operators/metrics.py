@@ -223,6 +223,8 @@ def list_metrics(spark: SparkSession, model: SemanticModel = ORDERS) -> DataFram
 def reconcile_totals(sources: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """One row with each source's total of the same concept, and whether all of them agree.
 
+    A source without any amount has no total and agrees with nothing.
+
     ``sources`` maps a label to a table and the column holding the amount there.
     """
     totals = None
@@ -233,8 +235,10 @@ def reconcile_totals(sources: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     side_by_side = totals.agg(
         *[F.max(F.when(F.col("source") == s, F.col("total"))).alias(s) for s in sources],
         (F.max("total") - F.min("total")).cast(WIDE_MONEY).alias("widest_gap"),
+        F.count("total").alias("known"),
     )
-    return side_by_side.withColumn("all_agree", F.col("widest_gap") == 0)
+    agree = (F.col("known") == len(sources)) & (F.col("widest_gap") == 0)
+    return side_by_side.withColumn("all_agree", agree).drop("known")
 
 
 def reconcile_by(

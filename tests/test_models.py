@@ -1,0 +1,274 @@
+"""Branches of the models that the generated data never reaches."""
+
+import datetime as dt
+from decimal import Decimal as D
+
+import pytest
+from conftest import TINY, as_dicts
+from pyspark.sql import functions as F
+
+from martwright.plans import commercial, finance, marketing, product
+from martwright.plans.analytics import fct_orders_enriched
+from martwright.plans.staging import auto_stage, stg_tpch__lineitem
+from martwright.registry.base import Domain
+from martwright.schemas import RAW
+from martwright.sources.scans import conform, read_source
+
+ORDERS = (
+    "orderkey long, custkey long, orderstatus string, totalprice decimal(18,2), orderdate date,"
+    " orderpriority string, clerk string, shippriority int, comment string"
+)
+LINES = (
+    "orderkey long, linenumber int, quantity decimal(18,2), extendedprice decimal(18,2),"
+    " discount decimal(4,2), tax decimal(4,2), returnflag string, linestatus string,"
+    " shipdate date, commitdate date, receiptdate date, shipmode string"
+)
+CUSTOMERS = (
+    "custkey long, name string, address string, nationkey int, phone string,"
+    " acctbal decimal(18,2), mktsegment string, comment string"
+)
+DAY = dt.date(2020, 1, 31)
+
+
+def order(key, customer=1, status="F", priority="1-URGENT", date=DAY):
+    return (key, customer, status, D(1), date, priority, "c", 0, None)
+
+
+def line(key, number=1, price="100.00", discount="0.00", tax="0.00", flag="N", ship=DAY,
+         due=DAY, received=DAY):
+    return (key, number, D(1), D(price), D(discount), D(tax), flag, "O", ship, due, received, "AIR")
+
+
+@pytest.fixture
+def build(frame):
+    def make(orders, lines, customers=()):
+        o = commercial.stg_commercial__orders(frame(orders, ORDERS))
+        staged = frame(lines, LINES)
+        rollup = commercial.order_rollup(o, staged)
+        c = commercial.stg_commercial__customers(frame(list(customers), CUSTOMERS))
+        return o, staged, rollup, c
+
+    return make
+
+
+def test_order_flags_and_labels(frame):
+    rows = [order(1, status="X"), order(2, status=None, priority=None), order(3, status="P"),
+            order(4, status="O", priority="2-HIGH"), order(5, priority="3-MEDIUM")]
+    got = as_dicts(commercial.stg_commercial__orders(frame(rows, ORDERS)), "order_key")
+    assert [r["order_status_label"] for r in got] == [
+        "unknown", "unknown", "partial", "open", "fulfilled",
+    ]
+    assert [r["is_high_priority"] for r in got] == [True, False, True, True, False]
+
+
+def test_customer_balance_edges(frame):
+    balances = ["-0.01", "0", "4999.99", "5000", None]
+    rows = [
+        (i, "n", "a", 1, "p", D(b) if b else None, "BUILDING", None)
+        for i, b in enumerate(balances)
+    ]
+    got = as_dicts(commercial.stg_commercial__customers(frame(rows, CUSTOMERS)), "customer_key")
+    assert [r["is_delinquent"] for r in got] == [True, False, False, False, False]
+    assert [r["is_high_value"] for r in got] == [False, False, False, True, False]
+
+
+def test_prices_round_half_up_and_gross_rounds_once(frame):
+    # 10.01 * 0.95 = 9.5095; 0.50 * 0.99 = 0.495; gross from the unrounded net
+    rows = [line(1, price="10.01", discount="0.05", tax="0.05"),
+            line(2, price="0.50", discount="0.01", tax="0.08")]
+    got = as_dicts(commercial.stg_commercial__lineitems(frame(rows, LINES)), "order_key")
+    assert [(r["net_price"], r["gross_price"]) for r in got] == [
+        (D("9.51"), D("9.98")),
+        (D("0.50"), D("0.53")),
+    ]
+
+
+def test_item_flags_on_null(build):
+    o, lines, _, _ = build([order(1)], [line(1, flag=None, due=None)])
+    row = as_dicts(
+        commercial.int_order_items(o, commercial.stg_commercial__lineitems(lines))
+    )[0]
+    assert row["is_returned"] is False and row["is_late_delivery"] is False
+    assert row["days_vs_commit"] is None and row["days_to_ship"] == 0
+
+
+def grouped_items(orders, lines):
+    """The order fact said directly: group the joined items by the order attributes."""
+    items = commercial.int_order_items(orders, commercial.stg_commercial__lineitems(lines))
+    return items.groupBy(*commercial.ORDER_ATTRIBUTES).agg(
+        F.sum("gross_price").cast("decimal(18,2)").alias("gross_revenue"),
+        F.sum("net_price").cast("decimal(18,2)").alias("net_revenue"),
+        F.sum("extended_price").cast("decimal(18,2)").alias("extended_revenue"),
+        F.sum("quantity").cast("decimal(18,2)").alias("total_quantity"),
+        F.count("lineitem_key").alias("line_item_count"),
+        F.round(F.sum("discount_rate") / F.count("discount_rate"), 8)
+        .cast("decimal(24,8)")
+        .alias("avg_discount_rate"),
+        F.min("ship_date").alias("first_ship_date"),
+        F.max("receipt_date").alias("last_receipt_date"),
+        F.sum(F.when(F.col("is_returned"), 1).otherwise(0)).alias("returned_lines"),
+        F.sum(F.when(F.col("is_late_delivery"), 1).otherwise(0)).alias("late_lines"),
+    )
+
+
+def test_rollup_equals_grouped_items(build):
+    """Repeated headers, headers that disagree, NULLs, negative amounts, orders without lines."""
+    orders = [order(1), order(1), order(2), order(2, status="O"), order(3, customer=None), order(9)]
+    lines = [
+        line(1), line(1, 2, "7.77", "0.07", "0.03", "R"), line(2, price="-10.05", discount="0.10"),
+        line(2, 1, "-0.15", "0.50", "0.08", "R", received=dt.date(2020, 3, 1)),
+        line(3, flag=None, ship=None, due=None, received=None), line(8), line(None),
+    ]
+    o, staged, rollup, _ = build(orders, lines)
+    want = as_dicts(grouped_items(o, staged), "order_key", "order_status")
+    got = as_dicts(commercial.fct_orders_v1(rollup), "order_key", "order_status")
+    assert got == want
+    assert [r["order_key"] for r in got] == [1, 2, 2, 3]
+    assert got[0]["line_item_count"] == 4  # the repeated header doubles the order's lines
+
+
+def test_rollup_equals_grouped_items_on_generated_data(spark):
+    d = Domain(spark, TINY)
+    want = grouped_items(d.orders(), d.staged("lineitem"))
+    got = d.fct_orders()
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_history_counts_lines_and_distinct_orders(build):
+    orders = [order(1), order(1), order(2, priority="5-LOW", date=dt.date(2020, 3, 1))]
+    o, staged, rollup, _ = build(orders, [line(1), line(1, 2, flag="R"), line(2)])
+    row = as_dicts(commercial.int_customer_orders(rollup))[0]
+    assert row["total_orders"] == 2
+    assert row["total_line_items"] == 5
+    assert row["fulfilled_orders"] == 5 and row["high_priority_orders"] == 4
+    assert row["total_returns"] == 2
+    assert row["customer_tenure_days"] == 30
+    assert row["avg_line_gross_revenue"] == D("100.00000000")
+
+
+@pytest.mark.parametrize(
+    "revenue, tier",
+    [("500000.00", "platinum"), ("499999.99", "gold"), ("100000.00", "gold"),
+     ("99999.99", "silver"), ("10000.00", "silver"), ("9999.99", "bronze")],
+)
+def test_tier_edges(build, revenue, tier):
+    customer = (1, "n", "a", 3, "p", D(0), "BUILDING", None)
+    _, _, rollup, c = build([order(1)], [line(1, price=revenue)], [customer])
+    row = as_dicts(commercial.dim_customers_v1(c, commercial.int_customer_orders(rollup)))[0]
+    assert row["customer_tier"] == tier and row["is_never_ordered"] is False
+
+
+def test_customer_without_orders(build):
+    customer = (7, "n", "a", 3, "p", D(0), "BUILDING", None)
+    _, _, rollup, c = build([order(1)], [line(1)], [customer])
+    dim = commercial.dim_customers_v1(c, commercial.int_customer_orders(rollup))
+    row = as_dicts(dim)[0]
+    assert row["total_orders"] == 0 and row["lifetime_gross_revenue"] == 0
+    assert row["customer_tenure_days"] == 0 and row["total_returns"] == 0
+    assert row["first_order_date"] is None and row["customer_tier"] == "bronze"
+    assert row["is_never_ordered"] is True
+    assert not {"customer_name", "customer_address", "customer_phone"} & set(dim.columns)
+
+
+@pytest.mark.parametrize(
+    "orders, label", [(2, "low"), (3, "medium"), (9, "medium"), (10, "high")]
+)
+def test_frequency_edges(frame, orders, label):
+    assert segment(frame, orders, "0")["frequency_segment"] == label
+
+
+@pytest.mark.parametrize(
+    "revenue, label",
+    [("49999.99", "low"), ("50000", "medium"), ("499999.99", "medium"), ("500000", "high")],
+)
+def test_monetary_edges(frame, revenue, label):
+    assert segment(frame, 1, revenue)["monetary_segment"] == label
+
+
+def segment(frame, orders, revenue):
+    dim = frame(
+        [(1, 2, "BUILDING", D(0), False, False, orders, D(revenue), DAY, DAY, 0, 0, "gold", False)],
+        "customer_key long, nation_key int, market_segment string, account_balance decimal(18,2),"
+        " is_delinquent boolean, is_high_value boolean, total_orders long,"
+        " lifetime_gross_revenue decimal(38,2), first_order_date date, last_order_date date,"
+        " customer_tenure_days long, total_returns long, customer_tier string,"
+        " is_never_ordered boolean",
+    )
+    return as_dicts(marketing.stg_marketing__customers(dim))[0]
+
+
+def test_finance_rate_is_zero_without_revenue(build):
+    _, _, rollup, _ = build([order(1), order(2)], [line(1, price="0.00"), line(2, tax="0.05")])
+    staged = finance.stg_finance__orders(commercial.fct_orders_v1(rollup))
+    got = as_dicts(staged, "order_key")
+    assert [r["effective_discount_rate"] for r in got] == [D("0.0000"), D("0.0476")]
+    assert got[1]["total_discount_amount"] == D("5.00")
+    month = as_dicts(finance.fct_revenue_v1(staged))[0]
+    assert month["order_month"] == dt.date(2020, 1, 1) and month["order_count"] == 2
+    assert month["avg_order_value"] == D("52.50")  # (0.00 + 105.00) / 2
+    assert month["avg_discount_rate"] == D("0.0238")
+
+
+def test_usage_drops_unshipped_lines(frame):
+    lines = frame([line(1), line(1, flag="R"), line(2, ship=None)], LINES)
+    row = as_dicts(product.fct_usage_v1(product.stg_product__usage(lines)))[0]
+    assert row["total_events"] == 2 and row["unique_users"] == 1
+    assert row["churned_events"] == 1 and row["churn_rate"] == D("0.5000")
+
+
+def test_enriched_keeps_orders_of_unknown_customers(build):
+    customer = (1, "n", "a", 3, "p", D(6000), "BUILDING", None)
+    _, _, rollup, c = build(
+        [order(1), order(2, customer=99), order(3, customer=None)],
+        [line(1), line(2), line(3)],
+        [customer],
+    )
+    dim = commercial.dim_customers_v1(c, commercial.int_customer_orders(rollup))
+    got = as_dicts(fct_orders_enriched(commercial.fct_orders_v1(rollup), dim), "order_key")
+    assert [r["market_segment"] for r in got] == ["BUILDING", None, None]
+
+
+def test_version_two_renames_one_column(build):
+    _, _, rollup, _ = build([order(1)], [line(1)])
+    v1, v2 = commercial.fct_orders_v1(rollup), commercial.fct_orders_v2(rollup)
+    assert [c if c != "gross_revenue" else "total_revenue" for c in v1.columns] == v2.columns
+
+
+def test_revenue_agrees_across_domains(spark):
+    d = Domain(spark, TINY)
+    total = {
+        d.fct_orders().agg(F.sum("gross_revenue").cast("decimal(38,2)")).first()[0],
+        d.dim_customers().agg(F.sum("lifetime_gross_revenue").cast("decimal(38,2)")).first()[0],
+        d.fct_revenue().agg(F.sum("gross_revenue").cast("decimal(38,2)")).first()[0],
+        d.fct_attribution().agg(F.sum("segment_revenue").cast("decimal(38,2)")).first()[0],
+    }
+    assert len(total) == 1
+
+
+def test_typed_scan(spark, tmp_path):
+    row = spark.range(1).selectExpr(
+        "*", *[f"cast(null as {k}) as {c}" for c, k in RAW["supplier"].items()]
+    )
+    row.write.parquet(str(tmp_path / "supplier.parquet"))
+    got = read_source(spark, str(tmp_path), "supplier")
+    assert {c: k.replace("bigint", "long") for c, k in got.dtypes} == RAW["supplier"]
+    with pytest.raises(ValueError, match="s_comment"):
+        conform(row.drop("s_comment"), RAW["supplier"])
+
+
+def test_staging_takes_either_date_kind(spark):
+    staged = stg_tpch__lineitem(Domain(spark, TINY).raw("lineitem"))
+    kinds = dict(staged.dtypes)
+    assert [kinds[c] for c in ("shipdate", "commitdate", "receiptdate")] == ["date"] * 3
+    assert "linenumber" in kinds and "l_linenumber" not in kinds
+
+
+def test_auto_stage(frame):
+    df = frame([(1, "x", dt.datetime(2020, 1, 1, 5))], "E_ID long, e_name string, e_at timestamp")
+    staged = auto_stage(df, "event")
+    assert staged.dtypes == [
+        ("event_key", "string"), ("id", "bigint"), ("name", "string"), ("at", "date"),
+    ]
+    keyed = frame([(1, "x")], "E_KEY long, e_name string")
+    assert auto_stage(keyed, "event").columns == ["key", "name"]
+    assert auto_stage(keyed, "event", ("E_KEY", "e_name")).columns[0] == "event_key"
