@@ -15,17 +15,11 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martwright.schemas import Contract
 
-RESULT = (
-    "check_name string, table_name string, column_name string, severity string,"
-    " failures long, status string"
-)
-
-
 @dataclass(frozen=True)
 class Check:
     kind: str
@@ -84,80 +78,77 @@ def failing_rows(df: DataFrame, check: Check, parent: DataFrame | None = None) -
     raise ValueError(f"unknown check kind: {check.kind}")
 
 
-def _as_rows(counts: DataFrame, checks: list[Check]) -> DataFrame:
-    """One row of counts c0, c1, ... turned into one row per check."""
-    cells = [
-        f"{_text(c.name)}, {_text(c.table)}, {_text(c.column)}, {_text(c.severity)}, cast(c{i} as long)"
-        for i, c in enumerate(checks)
-    ]
-    return counts.selectExpr(
-        f"stack({len(checks)}, {', '.join(cells)})"
-        " as (check_name, table_name, column_name, severity, failures)"
-    )
+def _count_nulls(df: DataFrame, checks: dict[int, Check]) -> DataFrame:
+    """One aggregate for all columns, turned into a row per check."""
+    nulls = [F.expr(f"count_if(`{c.column}` is null) as c{i}") for i, c in checks.items()]
+    cells = ", ".join(f"{i}, c{i}" for i in checks)
+    return df.agg(*nulls).selectExpr(f"stack({len(checks)}, {cells}) as (i, n)")
 
 
-def _count_nulls(df: DataFrame, checks: list[Check]) -> DataFrame:
-    nulls = [F.expr(f"count_if(`{c.column}` is null) as c{i}") for i, c in enumerate(checks)]
-    return _as_rows(df.agg(*nulls), checks)
-
-
-def _count_outside(df: DataFrame, checks: list[Check]) -> DataFrame:
-    bad = [_outside(df, c) for c in checks]
+def _count_outside(df: DataFrame, checks: dict[int, Check]) -> DataFrame:
+    """A row per distinct bad value; rows without one are filtered out first."""
+    bad = {i: _outside(df, c) for i, c in checks.items()}
     found = [
-        f"if({b}, named_struct('i', {i}, 'value', cast(`{c.column}` as string)), null)"
-        for i, (b, c) in enumerate(zip(bad, checks))
+        f"if({b}, named_struct('i', {i}, 'value', cast(`{checks[i].column}` as string)), null)"
+        for i, b in bad.items()
     ]
-    values = (
-        df.filter(" or ".join(bad))
+    return (
+        df.filter(" or ".join(bad.values()))
         .selectExpr(f"inline(array_compact(array({', '.join(found)})))")
         .distinct()
+        .selectExpr("i", "1L as n")
     )
-    counts = values.agg(*[F.expr(f"count_if(i = {i}) as c{i}") for i in range(len(checks))])
-    return _as_rows(counts, checks)
-
-
-def _count_rows(failures: DataFrame, check: Check, total: Column) -> DataFrame:
-    counts = failures.agg(F.coalesce(total, F.lit(0)).alias("c0"))
-    return _as_rows(counts, [check])
 
 
 def run_checks(tables: dict[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
-    """One result row per check. A check on a column its table lacks is reported as skipped."""
-    checks = list(checks)
-    ready = [c for c in checks if c.column in tables[c.table].columns]
-    skipped = [c for c in checks if c not in ready]
+    """One result row per check. A check on a column its table lacks is reported as skipped.
+
+    The parts of all checks end in one aggregate by check, which sees rows already combined.
+    """
+    numbered = dict(enumerate(checks))
+    columns = {name: set(df.columns) for name, df in tables.items()}
+    ready = {i: c for i, c in numbered.items() if c.column in columns[c.table]}
     parts: list[DataFrame] = []
-    for name in dict.fromkeys(c.table for c in ready):
+    for name in dict.fromkeys(c.table for c in ready.values()):
         df = tables[name]
-        mine = [c for c in ready if c.table == name]
-        nulls = [c for c in mine if c.kind == "not_null"]
-        lists = [c for c in mine if c.kind == "accepted_values"]
+        mine = {i: c for i, c in ready.items() if c.table == name}
+        nulls = {i: c for i, c in mine.items() if c.kind == "not_null"}
+        lists = {i: c for i, c in mine.items() if c.kind == "accepted_values"}
         if nulls:
             parts.append(_count_nulls(df, nulls))
         if lists:
             parts.append(_count_outside(df, lists))
-        for check in mine:
+        for i, check in mine.items():
             if check.kind == "unique":
-                repeated = _repeated(df, check.column)
-                parts.append(_count_rows(repeated, check, F.count(F.lit(1))))
+                parts.append(_repeated(df, check.column).selectExpr(f"{i} as i", "1L as n"))
             elif check.kind == "relationships":
                 orphans = _orphan_keys(df, check, tables[check.parent])
-                parts.append(_count_rows(orphans, check, F.sum("n_records")))
+                parts.append(orphans.selectExpr(f"{i} as i", "n_records as n"))
+
     spark = next(iter(tables.values())).sparkSession
-    result = None
-    if parts:
-        failed = F.when(F.col("severity") == "warn", "warn").otherwise("fail")
-        result = reduce(DataFrame.unionByName, parts).withColumn(
-            "status", F.when(F.col("failures") == 0, "pass").otherwise(failed)
+    declared = spark.createDataFrame(
+        [(i, c.name, c.table, c.column, c.severity, i in ready) for i, c in numbered.items()],
+        "i int, check_name string, table_name string, column_name string, severity string,"
+        " ready boolean",
+    )
+    counts = reduce(DataFrame.unionByName, parts or [spark.createDataFrame([], "i int, n long")])
+    return (
+        declared.join(counts.groupBy("i").agg(F.sum("n").alias("n")), "i", "left")
+        .selectExpr(
+            "check_name",
+            "table_name",
+            "column_name",
+            "severity",
+            "if(ready, coalesce(n, 0), null) as failures",
+        )
+        .withColumn(
+            "status",
+            F.when(F.col("failures").isNull(), "skipped_missing_column")
+            .when(F.col("failures") == 0, "pass")
+            .when(F.col("severity") == "warn", "warn")
+            .otherwise("fail"),
         )
-    if skipped or result is None:
-        rows = [
-            (c.name, c.table, c.column, c.severity, None, "skipped_missing_column")
-            for c in skipped
-        ]
-        missing = spark.createDataFrame(rows, RESULT)
-        result = missing if result is None else result.unionByName(missing)
-    return result
+    )
 
 
 def suite_status(results: DataFrame) -> DataFrame:

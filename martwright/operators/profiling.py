@@ -61,55 +61,84 @@ def contract_type(kind: T.DataType) -> str:
 # -- scans --
 
 
-def profile(df: DataFrame, table: str) -> DataFrame:
-    """Per column: rows, NULLs, share of NULLs, exact distinct values, and whether it is unique."""
-    parts = []
-    for ordinal, field in enumerate(df.schema, start=1):
-        value, n = F.col(field.name), F.col("n")
-        values = df.groupBy(value).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(
-            values.agg(
-                F.coalesce(F.sum(n), F.lit(0)).alias("row_count"),
-                F.coalesce(F.sum(F.when(value.isNull(), n)), F.lit(0)).alias("null_count"),
-                F.count(value).alias("distinct_count"),
-            ).select(
-                F.lit(table).alias("table_name"),
-                F.lit(field.name).alias("column_name"),
-                F.lit(ordinal).alias("ordinal"),
-                F.lit(contract_type(field.dataType)).alias("data_type"),
-                "row_count",
-                "null_count",
-                "distinct_count",
+def profile_tables(tables: dict[str, DataFrame]) -> DataFrame:
+    """Per column of every table: rows, NULLs, share of NULLs, exact distinct values, uniqueness.
+
+    All columns' value counts end in one aggregate by column, which sees a partial row per task.
+    """
+    described, parts = [], []
+    for table, df in tables.items():
+        for ordinal, field in enumerate(df.schema, start=1):
+            i = len(described)
+            described.append((i, table, field.name, ordinal, contract_type(field.dataType)))
+            values = df.selectExpr(f"`{field.name}` as value").groupBy("value")
+            parts.append(
+                values.agg(F.count(F.lit(1)).alias("n_rows")).selectExpr(
+                    f"{i} as i", "n_rows", "value is null as is_null"
+                )
             )
+    counts = _union(parts).groupBy("i").agg(
+        F.expr("sum(n_rows) as row_count"),
+        F.expr("sum(if(is_null, n_rows, 0)) as null_count"),
+        F.expr("count_if(not is_null) as distinct_count"),
+    )
+    spark = next(iter(tables.values())).sparkSession
+    columns = spark.createDataFrame(
+        described, "i int, table_name string, column_name string, ordinal int, data_type string"
+    )
+    return (
+        columns.join(counts, "i", "left")
+        .drop("i")
+        .na.fill(0, ["row_count", "null_count", "distinct_count"])
+        .selectExpr(
+            "*",
+            "if(row_count > 0, cast(null_count as double) / row_count, 0.0D) as null_rate",
+            "distinct_count = row_count and null_count = 0 as is_unique",
         )
-    rows, nulls = F.col("row_count"), F.col("null_count")
-    share = F.when(rows > 0, nulls.cast("double") / rows).otherwise(F.lit(0.0))
-    unique = (F.col("distinct_count") == rows) & (nulls == 0)
-    return _union(parts).withColumn("null_rate", share).withColumn("is_unique", unique)
+    )
 
 
-def sample_values(
-    df: DataFrame, table: str, profiled: DataFrame, limit: int = MAX_CARDINALITY
+def profile(df: DataFrame, table: str) -> DataFrame:
+    return profile_tables({table: df})
+
+
+def sample_tables(
+    tables: dict[str, DataFrame], profiled: DataFrame, limit: int = MAX_CARDINALITY
 ) -> DataFrame:
     """Sorted distinct values, as text, of the columns that have between 1 and ``limit`` of them.
 
     Which columns qualify is read from the profile (one row per column); their values are then
-    collected in one aggregate, whose size the limit bounds.
+    collected in one aggregate per table, whose size the limit bounds.
     """
-    listed = profiled.filter(
-        (F.col("table_name") == table) & F.col("distinct_count").between(1, limit)
-    )
-    names = [r["column_name"] for r in listed.select("column_name").collect()]
-    schema = "table_name string, column_name string, sample_values array<string>"
-    if not names:
-        return df.sparkSession.createDataFrame([], schema)
+    listed = profiled.filter(F.col("distinct_count").between(1, limit))
+    names: dict[str, list[str]] = {}
+    for row in listed.select("table_name", "column_name").collect():
+        names.setdefault(row["table_name"], []).append(row["column_name"])
+    parts = []
+    for table, df in tables.items():
+        columns = names.get(table)
+        if not columns:
+            continue
+        lists = df.agg(
+            *[
+                F.expr(
+                    f"transform(sort_array(collect_set(`{c}`)), v -> cast(v as string)) as `{c}`"
+                )
+                for c in columns
+            ]
+        )
+        rows = lists.unpivot([], columns, "column_name", "sample_values")
+        parts.append(rows.select(F.lit(table).alias("table_name"), "column_name", "sample_values"))
+    if not parts:
+        schema = "table_name string, column_name string, sample_values array<string>"
+        return profiled.sparkSession.createDataFrame([], schema)
+    return _union(parts)
 
-    def texts(name: str) -> Column:
-        return F.transform(F.sort_array(F.collect_set(name)), lambda v: v.cast("string"))
 
-    lists = df.agg(*[texts(n).alias(n) for n in names])
-    rows = lists.unpivot([], names, "column_name", "sample_values")
-    return rows.select(F.lit(table).alias("table_name"), "column_name", "sample_values")
+def sample_values(
+    df: DataFrame, table: str, profiled: DataFrame, limit: int = MAX_CARDINALITY
+) -> DataFrame:
+    return sample_tables({table: df}, profiled, limit)
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -10,8 +10,9 @@ from martwright.operators.profiling import (
     TYPE_BY_NAME,
     key_index,
     profile,
+    profile_tables,
     row_counts,
-    sample_values,
+    sample_tables,
     schema_columns,
     static_checks,
     suggest_checks,
@@ -114,16 +115,10 @@ def _renamed(d: Domain, table: str):
 def _profiles(d: Domain):
     """Profiles of all stored tables, held for the several rules that read them."""
     tables = {t: _renamed(d, t) for t in COLUMNS}
-    result = None
-    for name, df in tables.items():
-        rows = profile(df, name)
-        result = rows if result is None else result.unionByName(rows)
+    result = profile_tables(tables)
     # one row per column: small enough to come back as a literal table, so it is computed once
     profiled = d.spark.createDataFrame(result.collect(), result.schema)
-    samples = None
-    for name, df in tables.items():
-        rows = sample_values(df, name, profiled, LIMIT)
-        samples = rows if samples is None else samples.unionByName(rows)
+    samples = sample_tables(tables, profiled, LIMIT)
     return tables, profiled, samples
 
 
@@ -143,11 +138,8 @@ case("profile_customer", _profile_sql("customer"))(
     from ({_samples_sql('lineitem')} union all {_samples_sql('orders')})""",
 )
 def profile_samples(d):
-    result = None
-    for table in ("lineitem", "orders"):
-        df = d.table(table)
-        rows = sample_values(df, table, profile(df, table), LIMIT)
-        result = rows if result is None else result.unionByName(rows)
+    tables = {t: d.table(t) for t in ("lineitem", "orders")}
+    result = sample_tables(tables, profile_tables(tables), LIMIT)
     return result.withColumn("sample_values", F.concat_ws("|", "sample_values"))
 
 
