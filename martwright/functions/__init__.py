@@ -7,6 +7,7 @@ from martwright.functions.scalar import (
     days_between,
     flag,
     from_cents,
+    has_words,
     month_of,
     quarter_of,
     round_cents,
@@ -27,6 +28,7 @@ __all__ = [
     "days_between",
     "flag",
     "from_cents",
+    "has_words",
     "month_of",
     "quarter_of",
     "round_cents",

@@ -11,11 +11,10 @@ from pyspark.sql import functions as F
 # Fixed value: stands in for NULL inside a surrogate key, so NULL and '' give different keys.
 NULL_KEY_PART = "_dbt_utils_surrogate_key_null_"
 
-# Fixed value: every character Python's str.split() and str.strip() treat as white space.
-WHITESPACE = (
-    r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-)
+# Every character Python's str.split() and str.strip() treat as white space, and the same set as the
+# inside of a regular expression class.
+WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+WHITESPACE_CLASS = "".join(rf"\x{{{ord(c):X}}}" for c in WHITESPACE)
 
 
 def _col(c: Column | str) -> Column:
@@ -113,10 +112,21 @@ def strip_prefix(name: str) -> str:
 
 def word_count(text: Column | str) -> Column:
     """Number of words between white space; 0 for empty and NULL text."""
-    return F.coalesce(F.regexp_count(_col(text), F.lit(f"[^{WHITESPACE}]+")), F.lit(0)).cast("long")
+    words = F.regexp_count(_col(text), F.lit(f"[^{WHITESPACE_CLASS}]+"))
+    return F.coalesce(words, F.lit(0)).cast("long")
+
+
+def has_words(text: Column | str, n: int) -> Column:
+    """Whether the text has at least ``n`` words: the answer of counting them all, but long texts
+    are settled at their n-th word. Anchored and without backtracking, so one very long word costs
+    no more than its length."""
+    if n <= 0:
+        return F.lit(True)
+    space, word = f"[{WHITESPACE_CLASS}]", f"[^{WHITESPACE_CLASS}]"
+    pattern = f"^{space}*+(?:{word}++{space}++){{{n - 1}}}{word}"
+    return F.coalesce(_col(text).rlike(pattern), F.lit(False))
 
 
 def text_length(text: Column | str) -> Column:
     """Length without leading and trailing white space; 0 for NULL."""
-    trimmed = F.regexp_replace(_col(text), f"^[{WHITESPACE}]+|[{WHITESPACE}]+$", "")
-    return F.coalesce(F.length(trimmed), F.lit(0)).cast("long")
+    return F.coalesce(F.length(F.trim(_col(text), F.lit(WHITESPACE))), F.lit(0)).cast("long")

@@ -16,7 +16,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martwright.functions import round_ratio, text_length, word_count
+from martwright.functions import has_words, round_ratio, text_length, word_count
 from martwright.session import shared_folder
 
 # Thresholds, points and report texts of the scorecard and the lineage report.
@@ -56,8 +56,9 @@ def untested_models(models: DataFrame, tests: DataFrame) -> DataFrame:
 
 
 def thin_descriptions(models: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    counted = models.withColumn("word_count", word_count("description"))
-    return counted.filter(F.col("word_count") < min_words)
+    """Models whose description has fewer words than asked for, with the count."""
+    thin = models.filter(~has_words("description", min_words))
+    return thin.withColumn("word_count", word_count("description"))
 
 
 def _model_links(edges: DataFrame) -> DataFrame:

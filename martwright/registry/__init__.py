@@ -8,5 +8,6 @@ from martwright.registry import metrics  # noqa: F401  isort: skip
 from martwright.registry import checks  # noqa: F401  isort: skip
 from martwright.registry import profiling  # noqa: F401  isort: skip
 from martwright.registry import catalog  # noqa: F401  isort: skip
+from martwright.registry import sinks  # noqa: F401  isort: skip
 
 __all__ = ["CASES", "Case"]

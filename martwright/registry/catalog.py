@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from martwright.functions.scalar import WHITESPACE
+from martwright.functions.scalar import WHITESPACE_CLASS
 from martwright.operators import catalog
 from martwright.registry.base import case
 from martwright.registry.sqltext import half_up, part, sql
 from martwright.sources.proxies import generated_catalog
 
-_WORDS = f"coalesce(len(regexp_extract_all(description, '[^{WHITESPACE}]+')), 0)"
+_WORDS = f"coalesce(len(regexp_extract_all(description, '[^{WHITESPACE_CLASS}]+')), 0)"
 
 
 def _length(column: str) -> str:
-    trimmed = f"regexp_replace({column}, '^[{WHITESPACE}]+|[{WHITESPACE}]+$', '', 'g')"
+    trimmed = f"regexp_replace({column}, '^[{WHITESPACE_CLASS}]+|[{WHITESPACE_CLASS}]+$', '', 'g')"
     return f"coalesce(length({trimmed}), 0)"
 
 

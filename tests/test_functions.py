@@ -87,10 +87,24 @@ def test_strip_prefix():
 
 
 def test_words_and_lengths_follow_python(frame):
-    texts = ["", "   ", "one", " two\twords ", "a b　c\n", "x" * 30, None, "\x1ca\x1f"]
+    texts = ["", "   ", "one", " two\twords ", "a b　c\n", "x" * 30, None, " three   words here ", "a b c d e", "\x1ca\x1f"]
     df = frame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-    rows = as_dicts(df.select("i", fn.word_count("t").alias("w"), fn.text_length("t").alias("n")))
+    rows = as_dicts(
+        df.select(
+            "i",
+            fn.word_count("t").alias("w"),
+            fn.text_length("t").alias("n"),
+            *[fn.has_words("t", k).alias(f"has{k}") for k in range(5)],
+        )
+    )
     for row in rows:
         text = texts[row["i"]] or ""
         assert row["w"] == len(text.split())
         assert row["n"] == len(text.strip())
+        assert [row[f"has{k}"] for k in range(5)] == [len(text.split()) >= k for k in range(5)]
+
+
+def test_one_very_long_word_stays_cheap(spark):
+    df = spark.range(1).select(F.repeat(F.lit("x"), 2_000_000).alias("t"))
+    row = df.select(fn.has_words("t", 10), fn.word_count("t"), fn.text_length("t")).first()
+    assert list(row) == [False, 1, 2_000_000]
