@@ -46,6 +46,6 @@ def failures(d):
 def report(d):
     folder = _folder(d, "report")
     scores = catalog.scorecard(**generated_catalog(d.spark, d.folder))
-    write_report(catalog.ranked(scores), catalog.summary(scores), folder)
+    write_report(catalog.ranked(scores), catalog.summary, folder)
     rows = d.spark.read.schema(scores.schema).json(f"{folder}/rows")
     return rows.withColumn("issues", F.concat_ws("; ", "issues"))

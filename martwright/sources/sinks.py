@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from martwright.operators.contracts import coerce_contract, contract_diff
@@ -53,7 +55,11 @@ def store_failures(failing_rows: DataFrame, folder: str, check: str) -> None:
     failing_rows.write.mode("overwrite").parquet(f"{folder}/{check}")
 
 
-def write_report(rows: DataFrame, summary: DataFrame, folder: str) -> None:
-    """Report rows and their summary as JSON lines, in the order the report frame defines."""
+def write_report(
+    rows: DataFrame, summarise: Callable[[DataFrame], DataFrame], folder: str
+) -> None:
+    """Report rows as JSON lines in the order of the frame, and the summary made from the stored
+    rows, so that the report is computed once."""
     rows.write.mode("overwrite").json(f"{folder}/rows")
-    summary.write.mode("overwrite").json(f"{folder}/summary")
+    stored = rows.sparkSession.read.schema(rows.schema).json(f"{folder}/rows")
+    summarise(stored).write.mode("overwrite").json(f"{folder}/summary")

@@ -196,7 +196,7 @@ def test_catalog_tables_and_views(frame, spark):
 
 def test_report_sink(frame, spark, tmp_path):
     rows = frame([("b", 2), ("a", 1)], "name string, score int").orderBy("name")
-    write_report(rows, rows.groupBy().count(), str(tmp_path))
+    write_report(rows, lambda stored: stored.groupBy().count(), str(tmp_path))
     assert [r["name"] for r in spark.read.json(str(tmp_path / "rows")).collect()] == ["a", "b"]
     assert spark.read.json(str(tmp_path / "summary")).first()["count"] == 2
 
