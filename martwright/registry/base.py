@@ -7,6 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martwright.plans import analytics, commercial, finance, marketing, product
 from martwright.plans.staging import STAGING
@@ -43,6 +44,7 @@ class Domain:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._marts: Published | None = None
 
     def raw(self, name: str) -> DataFrame:
         return generated_source(self.spark, self.folder, name)
@@ -104,15 +106,24 @@ class Domain:
     def fct_usage(self) -> DataFrame:
         return product.fct_usage_v1(product.stg_product__usage(self.lines_as_stored()))
 
+    def _source_state(self) -> tuple:
+        """Number, size and latest change of the source files; lists them, reads none."""
+        paths = [f"{self.folder}/{t}.parquet" for t in ("customer", "lineitem", "orders")]
+        files = self.spark.read.format("binaryFile").load(paths)
+        return tuple(files.agg(F.expr("count(*)"), F.sum("length"), F.max("modificationTime")).first())
+
     def published(self) -> Published:
-        """Marts stored as tables: built on first use in a session, read from then on."""
-        key = (self.spark.sparkContext.applicationId, self.folder)
-        if key not in _PUBLISHED:
-            _PUBLISHED[key] = f"{shared_folder(self.spark)}/marts-{uuid.uuid4().hex}"
-        return Published(self, _PUBLISHED[key])
+        """Marts stored as tables: built on first use in a session, read from then on, and built
+        anew when the source files change."""
+        if self._marts is None:
+            key = (self.spark.sparkContext.applicationId, self.folder, self._source_state())
+            if key not in _PUBLISHED:
+                _PUBLISHED[key] = f"{shared_folder(self.spark)}/marts-{uuid.uuid4().hex}"
+            self._marts = Published(self, _PUBLISHED[key])
+        return self._marts
 
 
-_PUBLISHED: dict[tuple[str, str], str] = {}
+_PUBLISHED: dict[tuple, str] = {}
 _STORED: set[tuple[str, str]] = set()
 
 
@@ -127,10 +138,16 @@ class Published:
         self.domain = domain
         self.folder = folder
 
-    def _stored(self, name: str, version: int | None, build: Callable[[], DataFrame]) -> DataFrame:
+    def _stored(
+        self,
+        name: str,
+        version: int | None,
+        build: Callable[[], DataFrame],
+        sort_by: str | None = None,
+    ) -> DataFrame:
         table = name if version is None else f"{name}_v{version}"
         if (self.folder, table) not in _STORED:
-            write_table(build(), table, self.folder)
+            write_table(build(), table, self.folder, sort_by=sort_by)
             _STORED.add((self.folder, table))
         return read_contract(self.domain.spark, name, version, self.folder)
 
@@ -168,4 +185,4 @@ class Published:
         def build():
             return analytics.fct_orders_enriched(self.fct_orders(), self.dim_customers())
 
-        return self._stored("fct_orders_enriched", None, build)
+        return self._stored("fct_orders_enriched", None, build, sort_by="order_date")

@@ -194,6 +194,35 @@ def test_catalog_tables_and_views(frame, spark):
     spark.sql("drop table stored_v2")
 
 
+def test_tables_are_sorted_within_files(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    df = spark.range(0, 1000, 1, 3).selectExpr("id", "(id * 7919) % 1000 as day")
+    write_table(df, "sorted", str(tmp_path), sort_by="day")
+    files = [p for p in (tmp_path / "sorted").iterdir() if p.suffix == ".parquet"]
+    assert len(files) == 3
+    for file in files:
+        days = pq.read_table(file)["day"].to_pylist()
+        assert days == sorted(days)
+    assert spark.read.parquet(str(tmp_path / "sorted")).exceptAll(df).isEmpty()
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    df = spark.range(100).selectExpr("id as k", "id * 2 as v")
+    write_table(df, "bucketed_a", bucket_by=(4, "k"))
+    write_table(df, "bucketed_b", bucket_by=(4, "k"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("bucketed_a").join(spark.table("bucketed_b"), "k")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.sql("drop table bucketed_a")
+        spark.sql("drop table bucketed_b")
+
+
 def test_report_sink(frame, spark, tmp_path):
     rows = frame([("b", 2), ("a", 1)], "name string, score int").orderBy("name")
     write_report(rows, lambda stored: stored.groupBy().count(), str(tmp_path))

@@ -272,3 +272,24 @@ def test_auto_stage(frame):
     keyed = frame([(1, "x")], "E_KEY long, e_name string")
     assert auto_stage(keyed, "event").columns == ["key", "name"]
     assert auto_stage(keyed, "event", ("E_KEY", "e_name")).columns[0] == "event_key"
+
+
+def test_stored_marts_follow_their_sources(spark, tmp_path):
+    """The same folder with other files gives other marts; unchanged files give the stored ones."""
+    folder = str(tmp_path)
+
+    def copy(share):
+        for table in ("customer", "orders", "lineitem"):
+            rows = spark.read.parquet(f"{TINY}/{table}.parquet")
+            if table == "lineitem":
+                rows = rows.filter(f"l_orderkey < {share}")
+            rows.write.mode("overwrite").parquet(f"{folder}/{table}.parquet")
+
+    copy(500)
+    first = Domain(spark, folder).published()
+    few = first.enriched().count()
+    assert Domain(spark, folder).published().folder == first.folder
+    copy(1000)
+    again = Domain(spark, folder).published()
+    assert again.folder != first.folder
+    assert few < again.enriched().count() == Domain(spark, folder).fct_orders().count()
