@@ -126,20 +126,23 @@ def run_checks(tables: dict[str, DataFrame], checks: Iterable[Check]) -> DataFra
                 parts.append(orphans.selectExpr(f"{i} as i", "n_records as n"))
 
     spark = next(iter(tables.values())).sparkSession
-    declared = spark.createDataFrame(
-        [(i, c.name, c.table, c.column, c.severity, i in ready) for i, c in numbered.items()],
-        "i int, check_name string, table_name string, column_name string, severity string,"
-        " ready boolean",
-    )
-    counts = reduce(DataFrame.unionByName, parts or [spark.createDataFrame([], "i int, n long")])
+    seeds = spark.createDataFrame([(i, 0) for i in numbered], "i int, n long")
+    counts = reduce(DataFrame.unionByName, [seeds, *parts])
+
+    def declared(values: list[str]) -> str:
+        return f"element_at(array({', '.join(values)}), i + 1)"
+
+    every = list(numbered.values())
+    ready_at = declared([str(i in ready).lower() for i in numbered])
     return (
-        declared.join(counts.groupBy("i").agg(F.sum("n").alias("n")), "i", "left")
+        counts.groupBy("i")
+        .agg(F.sum("n").alias("n"))
         .selectExpr(
-            "check_name",
-            "table_name",
-            "column_name",
-            "severity",
-            "if(ready, coalesce(n, 0), null) as failures",
+            f"{declared([_text(c.name) for c in every])} as check_name",
+            f"{declared([_text(c.table) for c in every])} as table_name",
+            f"{declared([_text(c.column) for c in every])} as column_name",
+            f"{declared([_text(c.severity) for c in every])} as severity",
+            f"if({ready_at}, n, null) as failures",
         )
         .withColumn(
             "status",

@@ -70,31 +70,38 @@ def profile_tables(tables: dict[str, DataFrame]) -> DataFrame:
     for table, df in tables.items():
         for ordinal, field in enumerate(df.schema, start=1):
             i = len(described)
-            described.append((i, table, field.name, ordinal, contract_type(field.dataType)))
+            described.append((table, field.name, ordinal, contract_type(field.dataType)))
             values = df.selectExpr(f"`{field.name}` as value").groupBy("value")
             parts.append(
                 values.agg(F.count(F.lit(1)).alias("n_rows")).selectExpr(
                     f"{i} as i", "n_rows", "value is null as is_null"
                 )
             )
-    counts = _union(parts).groupBy("i").agg(
+    spark = next(iter(tables.values())).sparkSession
+    # a row without weight per column, so that columns of empty tables are reported too
+    seeds = spark.createDataFrame(
+        [(i, 0, True) for i in range(len(described))], "i int, n_rows long, is_null boolean"
+    )
+    counts = _union([seeds, *parts]).groupBy("i").agg(
         F.expr("sum(n_rows) as row_count"),
         F.expr("sum(if(is_null, n_rows, 0)) as null_count"),
         F.expr("count_if(not is_null) as distinct_count"),
     )
-    spark = next(iter(tables.values())).sparkSession
-    columns = spark.createDataFrame(
-        described, "i int, table_name string, column_name string, ordinal int, data_type string"
-    )
-    return (
-        columns.join(counts, "i", "left")
-        .drop("i")
-        .na.fill(0, ["row_count", "null_count", "distinct_count"])
-        .selectExpr(
-            "*",
-            "if(row_count > 0, cast(null_count as double) / row_count, 0.0D) as null_rate",
-            "distinct_count = row_count and null_count = 0 as is_unique",
-        )
+
+    def described_as(position: int) -> str:
+        values = ", ".join(repr(row[position]) for row in described)
+        return f"element_at(array({values}), i + 1)"
+
+    return counts.selectExpr(
+        f"{described_as(0)} as table_name",
+        f"{described_as(1)} as column_name",
+        f"{described_as(2)} as ordinal",
+        f"{described_as(3)} as data_type",
+        "row_count",
+        "null_count",
+        "distinct_count",
+        "if(row_count > 0, cast(null_count as double) / row_count, 0.0D) as null_rate",
+        "distinct_count = row_count and null_count = 0 as is_unique",
     )
 
 
