@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from martwright.llm import mixing, packing, quality, simhash, substrings, wavelet
+from martwright.llm import mixing, neighbours, packing, quality, simhash, substrings, wavelet
 from martwright.llm.common import documents, stored, word_count
 
 QUERIES: dict = {}
@@ -25,6 +25,11 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "source", "copies")
 
 
+@query
+def op2_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.near_duplicates(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
 @query
 def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, folder).select("doc_id", "text"))
