@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from martwright.llm import mixing, neighbours, packing, quality, simhash, substrings, wavelet
+from martwright.llm import chat, licences, mixing, neighbours, packing, pages, quality, simhash, substrings, wavelet
 from martwright.llm.common import documents, stored, word_count
 
 QUERIES: dict = {}
@@ -30,6 +30,12 @@ def op2_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.near_duplicates(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
 
+@query
+def op3_html_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = pages.extract(spark.read.parquet(f"{folder}/pages.parquet"))
+    return found.select("page_id", "url", "text", "n_chars")
+
+
 @query
 def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, folder).select("doc_id", "text"))
@@ -37,6 +43,17 @@ def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", hex16.alias("fingerprint"), "component_id")
 
 
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+@query
+def op5_chat_prefix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    given = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    one = "SELECT -1L AS conv_id, {}L AS turn, '{}' AS role, '" + CONTROL_TEXT + "' AS text"
+    extra = spark.sql(one.format(0, "user") + " UNION ALL " + one.format(1, "assistant"))
+    return chat.read_back(*chat.build_tree(given.union(extra)))
+
+
 @query
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -59,6 +76,16 @@ def op9_wavelet_index(spark: SparkSession, folder: str) -> DataFrame:
     return wavelet.read_index(wavelet.write_index(documents(spark, folder)))
 
 
+@query
+def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents carry no paths: the digits of doc_id are the directories below its source, and each
+    document is the index file of its own, so document 12 lies above documents 120 to 129."""
+    digits = F.regexp_replace(F.col("doc_id").cast("string"), "(.)", "/$1")
+    path = F.concat(F.coalesce("source", F.lit("none")), digits, F.lit("/index.txt"))
+    files = documents(spark, folder).select("doc_id", path.alias("path"), "text")
+    return licences.inherit(files)
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
