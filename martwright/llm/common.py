@@ -21,11 +21,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to a new table below ``spark.checkpoint.dir`` and read it back.
 
     Cuts the lineage and survives lost executors; every executor can read the folder. The table stays
-    until its owner clears the folder, as results read it lazily.
+    until its owner clears the folder, as results read it lazily. Spark frees the shuffle files behind
+    it only once the driver has collected the plan as garbage, so that is asked for here.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

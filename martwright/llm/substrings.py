@@ -6,8 +6,8 @@ each edge out would cost many times the text, so edges leave a document already
 1. Each window has a minimizer, its ``ANCHOR``-word part of smallest hash. Consecutive windows with
    the same minimizer form a path; one row (minimizer, context, doc_id, start, edges) stands for it.
    Equal windows have equal minimizers at equal places, so equal edges always meet at a minimizer.
-2. Rows are grouped by (minimizer, context), context being a hash of every word on the path. A
-   minimizer with one context is a nonbranching stretch: its first coordinate owns all its edges, and
+2. Rows whose minimizer occurs once are unique. The rest are grouped by (minimizer, context), context
+   being a hash of every word on the path. A minimizer with one context is a nonbranching stretch: its first coordinate owns all its edges, and
    the edges of every other occurrence are repeats. No edge is looked at singly.
 3. A minimizer with several contexts branches (a passage starts or ends there, or copies differ).
    Inside a context again the first coordinate stands for the rest; only these first occurrences are
@@ -167,11 +167,13 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     ``at`` to ``end`` (exclusive) are word positions; from_doc and from_at say where the first of the
     windows starts for the first time. Documents with NULL doc_id have no coordinate and no spans.
     """
-    rows = stored(paths(docs), "paths")
+    rows = paths(docs)
+    twice = rows.groupBy("m").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("m")
+    rows = stored(rows.join(twice, "m"), "paths")
     first = F.min(F.struct("doc_id", "at")).alias("first")
     classes = rows.groupBy("m", "c").agg(first, F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
-    per_m = classes.groupBy("m").agg(F.count(F.lit(1)).alias("ways"), F.sum("n").alias("total"))
-    classes = stored(classes.join(per_m.where("total > 1"), "m"), "classes")
+    classes = stored(classes, "classes")
+    ways = classes.groupBy("m").agg(F.count(F.lit(1)).alias("ways")).where("ways > 1").select("m")
 
     repeats = classes.where("n > 1").select("m", "c", "first")
     later = rows.join(repeats, ["m", "c"]).where(F.struct("doc_id", "at") > F.col("first"))
@@ -182,7 +184,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         F.col("first.doc_id").alias("from_doc"),
         F.col("first.at").alias("from_at"),
     )
-    branching = classes.where("ways > 1").select("m", "first.*", "size")
+    branching = classes.join(ways, "m").select("m", "first.*", "size")
     edges = stored(edges_of(branching, docs), "edges")
     firsts = edges.groupBy("m", "e").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count(F.lit(1)).alias("n"))
     again = edges.join(firsts.where("n > 1").drop("n"), ["m", "e"]).where(
@@ -220,7 +222,7 @@ def without_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
     one row (of rows that repeat one, each is treated as the document of that id). With ``digest`` the
     result is (doc_id, n_words, n_removed, kept_sha256) instead.
     """
-    spans = _merged(repeated_spans(docs).select("doc_id", "at", "end"))
+    spans = stored(_merged(repeated_spans(docs).select("doc_id", "at", "end")), "spans")
     if digest:
         docs = docs.select("doc_id", "text")
     names = docs.columns
