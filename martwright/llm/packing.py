@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martwright.llm.common import stored
-from martwright.llm.tokens import Encoder, vocabulary
+from martwright.llm.tokens import encoder, vocabulary
 
 CAPACITY = 2048
 END_ID = 0
@@ -42,14 +42,14 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
     """(doc_id, piece, start, length, ids_crc32), every id of every text in one piece; NULL text is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, glued=True)
+        tokens_of = encoder(path, glued=True)
         end = np.array([end_id], "<u4")
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
                 part = batch.slice(low, 500)
                 out: list[tuple] = []
                 doc_ids = part.column(0).to_pylist()
-                for doc_id, ids in zip(doc_ids, encoder.encode(part.column(1).to_pylist())):
+                for doc_id, ids in zip(doc_ids, tokens_of.encode(part.column(1).to_pylist())):
                     ids, start = np.concatenate([ids.astype("<u4"), end]), 0
                     for k, length in enumerate(cut(len(ids), capacity)):
                         crc = zlib.crc32(ids[start : start + length].tobytes())

@@ -8,6 +8,8 @@ table remembers its ids. A text in which a piece ends in white space goes to the
 from __future__ import annotations
 
 import os
+import sys
+from types import ModuleType
 
 import numpy as np
 
@@ -22,6 +24,15 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def encoder(path: str, glued: bool) -> Encoder:
+    """This Python process's encoder: Spark hands a worker one task after the other, and the pieces that
+    it has learned serve them all."""
+    held = sys.modules.setdefault("_martwright_encoders", ModuleType("_martwright_encoders")).__dict__
+    if (path, glued) not in held:
+        held[path, glued] = Encoder(path, glued)
+    return held[path, glued]
+
+
 class Encoder:
     """``encode(text)`` gives the ids of a whole text as a little-endian unsigned array.
 

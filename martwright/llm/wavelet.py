@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martwright.llm.common import stored
-from martwright.llm.tokens import Encoder, vocabulary
+from martwright.llm.tokens import encoder, vocabulary
 
 MAGIC = b"WVM1"
 BLOCK = 512
@@ -168,13 +168,13 @@ def write_index(docs: DataFrame, path: str | None = None, end_id: int = END_ID,
     edges = np.array(sorted(set(bounds or [])), np.int64)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, glued=False)
+        tokens_of = encoder(path, glued=False)
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
                 part = batch.slice(low, 500)
                 ids = part.column(0).to_pylist()
                 shard = [0 if d is None else int(np.searchsorted(edges, d)) for d in ids]
-                data = [x.tobytes() for x in encoder.encode(part.column(1).to_pylist())]
+                data = [x.tobytes() for x in tokens_of.encode(part.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(shard, pa.int32()), part.column(0), pa.array(data, pa.binary())],
                     names=["shard", "doc_id", "ids"],
