@@ -49,25 +49,32 @@ class Encoder:
         self.glued = glued
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4")
         self.known: dict[str, bytes | None] = {}
+        self.marks = {m: self._whole(m) for m in ".,"}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def _pieces(self, text: str) -> list[str]:
-        return text.replace("\n", " \n" if self.glued else " ").split(" ")
+        if self.glued:
+            return text.replace("\n", " \n").split(" ")
+        # the word tokenizer lower-cases; A-Z can go first, which makes more pieces alike
+        return text.encode().lower().decode().replace("\n", " ").split(" ")
 
     def _learn(self, pieces: set[str]) -> None:
         if len(self.known) + len(pieces) > REMEMBER:
             self.known.clear()
         # a piece that is empty or ends in white space may join with what follows
         bad = {p for p in pieces if self.glued and (not p or p[-1].isspace())}
-        todo = list(pieces - bad)
+        # a mark after a letter is a token sequence of its own, so the word before it is learned alone
+        marked = {p for p in pieces - bad if p[-1:] in self.marks and p[-2:-1].isalpha()}
+        todo = list(((pieces - bad - marked) | {p[:-1] for p in marked}).difference(self.known))
         texts = [" " + p if self.glued and p[0] != "\n" else p for p in todo]
         done = self.tokenizer.encode(texts, is_pretokenized=True, add_special_tokens=False)
         ids = np.array(done.ids, self.dtype).tobytes()
         of = np.array(done.word_ids, np.int64)
         ends = (np.searchsorted(of, np.arange(len(todo)), "right") * self.dtype.itemsize).tolist()
         self.known.update(zip(todo, (ids[a:b] for a, b in zip([0, *ends], ends))))
+        self.known.update((p, self.known[p[:-1]] + self.marks[p[-1]]) for p in marked)
         self.known.update(dict.fromkeys(bad))
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
