@@ -43,8 +43,10 @@ def _text(value: str) -> str:
 def _outside(df: DataFrame, check: Check) -> str:
     """Non-NULL value outside the list, compared in the column's own type."""
     kind = df.schema[check.column].dataType.simpleString()
-    accepted = ", ".join(f"cast({_text(v)} as {kind})" for v in check.values)
-    return f"(`{check.column}` is not null and `{check.column}` not in ({accepted}))"
+    accepted = ", ".join(f"try_cast({_text(v)} as {kind})" for v in check.values)
+    # a listed value that is none of the column's type is NULL there and matches nothing
+    listed = f"coalesce(`{check.column}` in ({accepted}), false)"
+    return f"(`{check.column}` is not null and not {listed})"
 
 
 def _repeated(df: DataFrame, column: str) -> DataFrame:
@@ -107,7 +109,12 @@ def run_checks(tables: dict[str, DataFrame], checks: Iterable[Check]) -> DataFra
     """
     numbered = dict(enumerate(checks))
     columns = {name: set(df.columns) for name, df in tables.items()}
-    ready = {i: c for i, c in numbered.items() if c.column in columns[c.table]}
+    ready = {
+        i: c
+        for i, c in numbered.items()
+        if c.column in columns[c.table]
+        and (c.kind != "relationships" or c.parent_column in columns[c.parent])
+    }
     parts: list[DataFrame] = []
     for name in dict.fromkeys(c.table for c in ready.values()):
         df = tables[name]

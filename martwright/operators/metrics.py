@@ -148,12 +148,25 @@ def dimension(model: SemanticModel, name: str) -> Column:
     raise ValueError(f"unknown dimension: {name}")
 
 
-def _condition(model: SemanticModel, where: str | Column) -> Column:
+def _filtered(mart: DataFrame, model: SemanticModel, where: str | Column) -> DataFrame:
+    """Rows of ``mart`` under a condition that may name dimensions, with a grain too."""
     if isinstance(where, Column):
-        return where
-    entities = "|".join(model.entities)
-    text = re.sub(rf"\b(?:{entities})__(\w+)", r"\1", where)
-    return F.expr(re.sub(r"\bmetric_time\b", model.time_dimension, text))
+        return mart.filter(where)
+    entities = "|".join(map(re.escape, model.entities))
+    named: dict[str, str] = {}
+
+    def column(found: re.Match) -> str:
+        name = found[0]
+        if name.startswith("'"):  # a text, not a name
+            return name
+        local = _local_name(model, name)
+        if "__" not in local and local != "metric_time":
+            return local
+        return named.setdefault(name, f"where_{len(named)}")
+
+    text = re.sub(rf"'(?:[^'\\]|\\.|'')*'|\b(?:(?:{entities})__\w+|metric_time(?:__\w+)?)\b", column, where)
+    wide = mart.withColumns({alias: dimension(model, name) for name, alias in named.items()})
+    return wide.filter(F.expr(text)).drop(*named.values())
 
 
 def query_metrics(
@@ -176,7 +189,7 @@ def query_metrics(
         simple.update({p.name: p for p in parts})
 
     if where is not None:
-        mart = mart.filter(_condition(model, where))
+        mart = _filtered(mart, model, where)
     keys = [dimension(model, name) for name in group_by]
     grouped = mart.groupBy(*keys).agg(
         *[_aggregate(model.measure(m.measure)).alias(name) for name, m in simple.items()]
@@ -197,11 +210,14 @@ def query_metrics(
 
 
 def fill_gaps(result: DataFrame, spine: DataFrame, time_name: str, grain: str = "day") -> DataFrame:
-    """A row for every period of the spine; periods without data carry NULL metrics."""
+    """A row for every period of the spine and of the result, which loses none of its rows.
+
+    Periods without data carry NULL metrics.
+    """
     periods = spine.select(at_grain(F.col("date_day"), grain).alias(time_name))
     if grain != "day":
         periods = periods.distinct()
-    return periods.join(result, time_name, "left").select(*result.columns)
+    return periods.join(result, time_name, "full").select(*result.columns)
 
 
 def flag_discount_rate(result: DataFrame, limit: float = DISCOUNT_RATE_LIMIT) -> DataFrame:

@@ -143,10 +143,9 @@ def int_order_items(orders: DataFrame, lineitems: DataFrame) -> DataFrame:
 
 def _line_totals(lineitems: DataFrame) -> DataFrame:
     """Per order: line totals in whole cents, straight from the platform's staged lines."""
-    kind = dict(lineitems.dtypes)
 
     def cents(name: str):
-        return to_cents(name, kind[name]).alias(name)
+        return to_cents(name).alias(name)
 
     priced = lineitems.select(
         F.col("orderkey").alias("order_key"),

@@ -33,10 +33,9 @@ def fct_usage_v1(usage: DataFrame) -> DataFrame:
     There are few groups and each is large: Spark first reduces by group and order key, which
     spreads one large group over all tasks, and only then by group.
     """
-    kind = dict(usage.dtypes)
 
     def total(name: str):
-        return from_cents(F.sum(to_cents(name, kind[name])), WIDE_MONEY)
+        return from_cents(F.sum(to_cents(name)), WIDE_MONEY)
 
     events = F.count(F.lit(1))  # the event key is never NULL
     churned = F.sum(F.when(F.col("is_churned"), 1).otherwise(0))

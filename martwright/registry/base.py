@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from martwright.plans import analytics, commercial, finance, marketing, product
 from martwright.plans.staging import STAGING
-from martwright.session import shared_folder
+from martwright.session import require_ansi, shared_folder
 from martwright.sources.proxies import ABSENT, generated_source
 from martwright.sources.scans import read_contract
 from martwright.sources.sinks import write_table
@@ -42,6 +42,7 @@ class Domain:
     """All models over one folder of raw tables, composed lazily from the scans up."""
 
     def __init__(self, spark: SparkSession, folder: str):
+        require_ansi(spark)
         self.spark = spark
         self.folder = folder
         self._marts: Published | None = None
@@ -69,17 +70,11 @@ class Domain:
     def lineitems(self) -> DataFrame:
         return commercial.stg_commercial__lineitems(self.staged("lineitem"))
 
-    def lines_as_stored(self) -> DataFrame:
-        """Staged lines for the models that add up whole cents."""
-        return STAGING["lineitem"](
-            generated_source(self.spark, self.folder, "lineitem", keep_doubles=True)
-        )
-
     def order_items(self) -> DataFrame:
         return commercial.int_order_items(self.orders(), self.lineitems())
 
     def rollup(self) -> DataFrame:
-        return commercial.order_rollup(self.orders(), self.lines_as_stored())
+        return commercial.order_rollup(self.orders(), self.staged("lineitem"))
 
     def fct_orders(self) -> DataFrame:
         return commercial.fct_orders_v1(self.rollup())
@@ -104,7 +99,7 @@ class Domain:
         return product.stg_product__usage(self.staged("lineitem"))
 
     def fct_usage(self) -> DataFrame:
-        return product.fct_usage_v1(product.stg_product__usage(self.lines_as_stored()))
+        return product.fct_usage_v1(product.stg_product__usage(self.staged("lineitem")))
 
     def _source_state(self) -> tuple:
         """Number, size and latest change of the source files; lists them, reads none."""

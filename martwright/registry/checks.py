@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -188,14 +189,35 @@ _DIFF_SQL = "\nunion all ".join(
 )
 
 
-@case("check_contract_diff", sql(_DIFF_SQL))
+_CHANGED = "fct_usage_v1_changed"
+_CHANGED_SQL = "\nunion all ".join(
+    [
+        f"select '{_CHANGED}', '{column}', 'type_mismatch', '{want}', '{have}',"
+        f" count(*) filter (cast({column} as {want}) <> {column}) from {TABLES['fct_usage_v1'][1]}"
+        for column, (want, have) in _MISMATCHED["fct_usage_v1"].items()
+    ]
+    + [
+        f"select '{_CHANGED}', 'unique_users', 'type_mismatch', 'bigint', 'string', 0",
+        f"select '{_CHANGED}', 'churned_events', 'missing', 'bigint', null, null",
+        f"select '{_CHANGED}', 'note', 'extra', null, 'string', null",
+    ]
+)
+
+
+@case("check_contract_diff", sql(f"{_DIFF_SQL}\nunion all {_CHANGED_SQL}"))
 def contract_differences(d):
     """Where the marts' own types differ from the contracts, and how many values that would touch."""
     parts = []
-    for table in _MARTS:
-        mart, contract = TABLES[table][0](d), CONTRACTS[table]
+    marts = [(TABLES[table][0](d), CONTRACTS[table]) for table in _MARTS]
+    # a mart that lost a column, gained one, and holds one as text
+    usage = d.fct_usage()
+    changed = usage.drop("churned_events").withColumns(
+        {"unique_users": usage["unique_users"].cast("string"), "note": F.lit("new")}
+    )
+    marts.append((changed, replace(CONTRACTS["fct_usage_v1"], table=_CHANGED)))
+    for mart, contract in marts:
         loss = contract_loss(mart, contract)
-        parts.append(contract_diff(mart, contract).join(loss, ["table_name", "column_name"]))
+        parts.append(contract_diff(mart, contract).join(loss, ["table_name", "column_name"], "left"))
     result = parts[0]
     for other in parts[1:]:
         result = result.unionByName(other)

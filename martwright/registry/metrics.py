@@ -15,7 +15,7 @@ from martwright.operators.metrics import (
 )
 from martwright.registry.base import case
 from martwright.registry.sqltext import part, sql
-from martwright.sources.spine import time_spine_from
+from martwright.sources.spine import days_from
 
 # SQL of each metric
 GROSS = "cast(sum(gross_revenue) as decimal(38,2)) as gross_revenue"
@@ -144,16 +144,18 @@ metric(
 @case(
     "metric_daily_gap_filled",
     sql(f"""
-        select date_day as metric_time__day, m.gross_revenue, m.order_count
-        from days left join (
+        select cast(day as date) as metric_time__day, m.gross_revenue, m.order_count
+        from (select unnest(generate_series(min(o_orderdate), max(o_orderdate), interval 1 day)) as day
+              from orders) left join (
           select order_date, {GROSS}, {ORDER_COUNT} from enriched group by 1) m
-          on order_date = date_day"""),
+          on order_date = cast(day as date)"""),
 )
 def daily_gap_filled(d):
     daily = query_metrics(
         d.published().enriched(), ["gross_revenue", "order_count"], ["metric_time__day"]
     )
-    spine = time_spine_from(d.raw("orders").agg(F.max("o_orderdate").alias("as_of")))
+    dates = d.raw("orders").agg(F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last"))
+    spine = days_from(dates, "first", "last").select("date_day")
     return fill_gaps(daily, spine, "metric_time__day")
 
 

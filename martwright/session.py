@@ -44,3 +44,9 @@ def shared_folder(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="martwright-")
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir().rstrip("/")
+
+
+def require_ansi(spark: SparkSession) -> None:
+    """Sums of cents and casts to money must raise when they do not fit, not wrap or turn NULL."""
+    if spark.conf.get("spark.sql.ansi.enabled", "true").lower() != "true":
+        raise RuntimeError("set spark.sql.ansi.enabled to true: amounts must not wrap silently")

@@ -65,7 +65,7 @@ def _partsupp(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def generated_source(
-    spark: SparkSession, folder: str, name: str, keep_doubles: bool = False
+    spark: SparkSession, folder: str, name: str
 ) -> DataFrame:
     """One generated table in its full declared schema."""
     if name == "partsupp":
@@ -74,7 +74,7 @@ def generated_source(
         df = spark.read.parquet(f"{folder}/{name}.parquet")
     stand_ins = [f"{formula} as {c}" for c, formula in PROXIES.get(name, {}).items()]
     nulls = [f"cast(null as string) as {c}" for c in ABSENT[name]]
-    return conform(df.selectExpr("*", *stand_ins, *nulls), RAW[name], keep_doubles)
+    return conform(df.selectExpr("*", *stand_ins, *nulls), RAW[name])
 
 
 def generated_catalog(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

@@ -7,30 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 from martwright.schemas import RAW, Schema
 
 
-def conform(df: DataFrame, schema: Schema, keep_doubles: bool = False) -> DataFrame:
+def conform(df: DataFrame, schema: Schema) -> DataFrame:
     """Declared columns in declared order and type; a missing column is an error.
 
-    ``keep_doubles`` leaves amounts stored as doubles alone, for models that turn them into whole
-    cents themselves: much cheaper than going through a decimal for every row.
+    Amounts stored as doubles become their declared decimals here, so every model rounds alike.
     """
     missing = sorted(set(schema) - set(df.columns))
     if missing:
         raise ValueError(f"source lacks declared columns: {', '.join(missing)}")
-    stored = dict(df.dtypes)
+    return df.selectExpr(*[f"cast(`{c}` as {kind}) as `{c}`" for c, kind in schema.items()])
 
-    def typed(column: str, kind: str) -> str:
-        if keep_doubles and kind.startswith("decimal") and stored[column] == "double":
-            return column
-        return f"cast({column} as {kind}) as {column}"
 
-    return df.selectExpr(*[typed(c, kind) for c, kind in schema.items()])
-
-
-def read_source(
-    spark: SparkSession, folder: str, name: str, keep_doubles: bool = False
-) -> DataFrame:
+def read_source(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """Typed scan of one raw table; unused columns are pruned from the parquet read."""
-    return conform(spark.read.parquet(f"{folder}/{name}.parquet"), RAW[name], keep_doubles)
+    return conform(spark.read.parquet(f"{folder}/{name}.parquet"), RAW[name])
 
 
 def read_contract(

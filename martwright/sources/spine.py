@@ -16,12 +16,19 @@ YEARS_BACK = 5
 DAYS_AHEAD = 30
 
 
+def days_from(bounds: DataFrame, first: str, last: str) -> DataFrame:
+    """One row per day from ``first`` to ``last`` of a one-row frame; none where either is NULL."""
+    known = bounds.where(F.col(first) <= F.col(last))
+    days = F.sequence(F.col(first).cast("date"), F.col(last).cast("date"))
+    return known.select("*", F.explode(days).alias("date_day"))
+
+
 def date_spine(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     """One row per day of the half-open range [start, end)."""
-    days = (end - start).days
-    return spark.range(days).select(
-        F.date_add(F.lit(start), F.col("id").cast("int")).alias("date_day")
+    bounds = spark.range(1).select(
+        F.lit(start).alias("first"), F.lit(end - dt.timedelta(days=1)).alias("last")
     )
+    return days_from(bounds, "first", "last").select("date_day")
 
 
 def window_around(day: Column, as_of: Column) -> Column:
@@ -31,13 +38,18 @@ def window_around(day: Column, as_of: Column) -> Column:
     )
 
 
-def time_spine(spark: SparkSession, as_of: dt.date) -> DataFrame:
-    spine = date_spine(spark, SPINE_START, SPINE_END)
-    return spine.filter(window_around(F.col("date_day"), F.lit(as_of)))
+def time_spine(
+    spark: SparkSession, as_of: dt.date, start: dt.date = SPINE_START, end: dt.date = SPINE_END
+) -> DataFrame:
+    return time_spine_from(spark.range(1).select(F.lit(as_of).alias("as_of")), "as_of", start, end)
 
 
-def time_spine_from(latest: DataFrame, as_of: str = "as_of") -> DataFrame:
-    """The same spine where the as-of date is the one row of an aggregate."""
-    base = F.sequence(F.lit(SPINE_START), F.lit(SPINE_END - dt.timedelta(days=1)))
-    days = latest.select(as_of, F.explode(base).alias("date_day"))
+def time_spine_from(
+    latest: DataFrame, as_of: str = "as_of", start: dt.date = SPINE_START, end: dt.date = SPINE_END
+) -> DataFrame:
+    """The days of [start, end) around an as-of date that is the one row of an aggregate."""
+    bounds = latest.select(
+        as_of, F.lit(start).alias("first"), F.lit(end - dt.timedelta(days=1)).alias("last")
+    )
+    days = days_from(bounds, "first", "last")
     return days.filter(window_around(F.col("date_day"), F.col(as_of))).select("date_day")

@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 from conftest import as_dicts
+from pyspark.sql import functions as F
 
 from martwright.operators.checks import (
     Check,
@@ -278,3 +279,41 @@ def test_freshness(frame, hours, sla, want):
 
 def test_freshness_of_nothing_is_an_error(frame):
     assert as_dicts(freshness(frame([], "ts date"), "t", "ts", AS_OF))[0]["status"] == "error"
+
+
+def test_contract_coercion_rounds_and_counts_what_does_not_fit(spark):
+    from decimal import Decimal
+
+    from martwright.operators.contracts import coerce_contract, contract_loss
+    from martwright.schemas import CONTRACTS
+
+    contract = CONTRACTS["fct_usage_v1"]
+    names = {c.name for c in contract.columns}
+    assert {"total_quantity", "total_usage_value"} <= names
+    row = spark.range(2).select(
+        *[
+            F.when(F.col("id") == 0, F.lit(Decimal("2.50"))).otherwise(F.lit(Decimal("3.00"))).cast("decimal(38,2)").alias(c.name)
+            if c.name == "total_quantity"
+            else F.when(F.col("id") == 0, F.lit("1" + "0" * 30)).otherwise(F.lit("1")).cast("decimal(38,2)").alias(c.name)
+            if c.name == "total_usage_value"
+            else F.lit(None).alias(c.name)
+            for c in contract.columns
+        ]
+    )
+    loss = {r["column_name"]: r["changed_rows"] for r in contract_loss(row, contract).collect()}
+    assert loss["total_quantity"] == 1 and loss["total_usage_value"] == 1
+    fits = row.where("total_usage_value < 10").union(row.where("total_quantity < 3").withColumn("total_usage_value", F.lit(Decimal(0)).cast("decimal(38,2)")))
+    assert sorted(r["total_quantity"] for r in coerce_contract(fits, contract).collect()) == [3, 3]
+    with pytest.raises(Exception, match="does not fit"):
+        coerce_contract(row, contract).collect()
+
+
+def test_sessions_without_ansi_are_refused(spark):
+    from martwright.registry.base import Domain
+
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(RuntimeError, match="ansi"):
+            Domain(spark, "nowhere")
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")

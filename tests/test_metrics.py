@@ -158,3 +158,26 @@ def test_spine(spark, frame):
     leap = [r[0] for r in time_spine(spark, dt.date(2024, 2, 29)).collect()]
     assert min(leap) == dt.date(2019, 3, 1)
     assert date_spine(spark, as_of, as_of).isEmpty()
+
+
+def test_gap_filling_keeps_days_outside_the_spine(spark):
+    spine = date_spine(spark, dt.date(2020, 1, 1), dt.date(2020, 1, 4))
+    days = ["1999-12-31", "2020-01-02", "2031-05-05"]
+    result = spark.createDataFrame([(d, 1) for d in days], "day string, n int")
+    result = result.withColumn("metric_time__day", F.to_date("day")).drop("day")
+    filled = fill_gaps(result, spine, "metric_time__day").collect()
+    assert len(filled) == 5 and sum(r["n"] or 0 for r in filled) == 3
+
+
+def test_where_takes_grains_and_leaves_texts_alone(spark):
+    mart = spark.createDataFrame(
+        [("2020-01-15", "metric_time"), ("2020-02-01", "order__x")], "d string, market_segment string"
+    ).select(F.to_date("d").alias("order_date"), "market_segment", F.col("d").alias("order_key"))
+    for where, n in (
+        ("metric_time__month = date '2020-01-01'", 1),
+        ("order__market_segment = 'metric_time'", 1),
+        ("order__market_segment = 'order__x' and metric_time__year = date '2020-01-01'", 1),
+        ("metric_time >= date '2020-01-15'", 2),
+    ):
+        got = query_metrics(mart, ["order_count"], where=where).first()
+        assert got["order_count"] == n, where
