@@ -14,7 +14,7 @@ from types import ModuleType
 import numpy as np
 
 #: Pieces remembered by a worker before it starts anew; bounds its memory, not the result.
-REMEMBER = 800_000
+REMEMBER = 500_000
 
 
 def vocabulary(name: str) -> str:

@@ -27,7 +27,7 @@ BLOCK = 512
 END_ID = 2
 BITS = 16
 #: Ids after which a file is closed; a document is never divided, so a longer one makes a longer file.
-FILE_IDS = 1 << 21
+FILE_IDS = 1 << 19
 
 
 def build(ids: np.ndarray, doc_ids: list[int | None], ends: np.ndarray, bits: int = BITS) -> bytes:
