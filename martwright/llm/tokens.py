@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import sys
+import unicodedata
 from types import ModuleType
 
 import numpy as np
@@ -33,6 +34,11 @@ def encoder(path: str, glued: bool) -> Encoder:
     return held[path, glued]
 
 
+def _stays_letter(char: str) -> bool:
+    """A letter that no normalizer turns into a letter and a mark (as lower case does with U+0130)."""
+    return char.isalpha() and (char.isascii() or unicodedata.normalize("NFC", char).lower().isalpha())
+
+
 class Encoder:
     """``encode(text)`` gives the ids of a whole text as a little-endian unsigned array.
 
@@ -66,7 +72,7 @@ class Encoder:
         # a piece that is empty or ends in white space may join with what follows
         bad = {p for p in pieces if self.glued and (not p or p[-1].isspace())}
         # a mark after a letter is a token sequence of its own, so the word before it is learned alone
-        marked = {p for p in pieces - bad if p[-1:] in self.marks and p[-2:-1].isalpha()}
+        marked = {p for p in pieces - bad if p[-1:] in self.marks and _stays_letter(p[-2:-1])}
         todo = list(((pieces - bad - marked) | {p[:-1] for p in marked}).difference(self.known))
         texts = [" " + p if self.glued and p[0] != "\n" else p for p in todo]
         done = self.tokenizer.encode(texts, is_pretokenized=True, add_special_tokens=False)

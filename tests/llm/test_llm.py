@@ -236,6 +236,24 @@ def test_lower_bound_never_exceeds_a_packing():
     assert packing.lower_bound(np.array([51] * 7), 100) == 7
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_word_encoder_on_odd_characters(seed):
+    """Capitals whose lower case ends in a mark, composed letters, controls, blanks of many kinds."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    path, draw = vocabulary("word_bpe_49k.json"), random.Random(seed)
+    odd = [*"aBz09.,' \n\t\r\x0b\x1c\x00\x7f<>/ \xa0\u2028", *"\u0130\u00e9e\u0301\u00df\u4e2d\u0958\U0001f600", "'s", "</w>", "<unk>"]
+    texts = ["".join(draw.choices(odd, k=draw.randrange(60))) for _ in range(2000)]
+    texts += ["\u0130, \u0130.", "\u0958, \u0958.", "plain words, and more.", None, ""]
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    got = Encoder(path, False).encode(texts)
+    for text, ids in zip(texts, got):
+        assert ids.tolist() == library.encode(text or "", add_special_tokens=False).ids, repr(text)
+
+
 def test_wavelet_index(docs, texts, empty):
     ids, at = _ids(texts, "word_bpe_49k.json", 2), 0
     got = {r["doc_id"]: tuple(r)[1:] for r in wavelet.read_index(wavelet.write_index(docs, file_ids=5000)).collect()}
