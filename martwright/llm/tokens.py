@@ -56,6 +56,11 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4")
         self.known: dict[str, bytes | None] = {}
         self.marks = {m: self._whole(m) for m in ".,"}
+        vocab = self.tokenizer.get_vocab()
+        #: Bytes of the text that each id stands for (a byte-level token has one character per byte).
+        self.n_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
+        for token, i in vocab.items():
+            self.n_bytes[i] = len(token.removesuffix("</w>"))
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -74,15 +79,36 @@ class Encoder:
         # a mark after a letter is a token sequence of its own, so the word before it is learned alone
         marked = {p for p in pieces - bad if p[-1:] in self.marks and _stays_letter(p[-2:-1])}
         todo = list(((pieces - bad - marked) | {p[:-1] for p in marked}).difference(self.known))
+        if not self.glued:
+            todo = self._learn_plain(todo)
         texts = [" " + p if self.glued and p[0] != "\n" else p for p in todo]
         done = self.tokenizer.encode(texts, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(done.ids, self.dtype).tobytes()
         of = np.array(done.word_ids, np.int64)
-        ends = (np.searchsorted(of, np.arange(len(todo)), "right") * self.dtype.itemsize).tolist()
-        self.known.update(zip(todo, (ids[a:b] for a, b in zip([0, *ends], ends))))
+        self._keep(todo, done.ids, np.searchsorted(of, np.arange(len(todo)), "right"))
         self.known.update((p, self.known[p[:-1]] + self.marks[p[-1]]) for p in marked)
         self.known.update(dict.fromkeys(bad))
 
+    def _keep(self, pieces: list[str], ids: list[int], ends: np.ndarray) -> None:
+        packed = np.array(ids, self.dtype).tobytes()
+        cuts = (ends * self.dtype.itemsize).tolist()
+        self.known.update(zip(pieces, (packed[a:b] for a, b in zip([0, *cuts], cuts))))
+
+    def _learn_plain(self, pieces: list[str]) -> list[str]:
+        """Learn the pieces of printable ASCII, which no normalizer changes, from one text of them all:
+        the library's fast call tells no offsets, but the tokens' bytes do. Returns the other pieces."""
+        plain = [p for p in pieces if p.isascii() and p.isprintable()]
+        if not plain:
+            return pieces
+        fast = self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)
+        ids = fast[0].ids
+        reached = np.cumsum(self.n_bytes[ids])
+        wanted = np.cumsum([len(p) for p in plain])
+        ends = np.searchsorted(reached, wanted, "right")
+        if not np.array_equal(np.r_[0, reached][ends], wanted):
+            return pieces  # some token is no plain stretch of text
+        self._keep(plain, ids, ends)
+        return [p for p in pieces if not (p.isascii() and p.isprintable())]
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         cut = [self._pieces(t or "") for t in texts]
         fresh = set().union(*(p[1:-1] if self.glued else p for p in cut)).difference(self.known)
