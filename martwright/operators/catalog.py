@@ -38,6 +38,8 @@ FEW_TESTS = "low test coverage: %d tests for %d columns"
 FEW_FRESH = "only %d/%d upstream sources have freshness configured"
 MANY_DEPENDENTS = "high blast radius: %d downstream models (threshold: 5)"
 
+SOURCE_PREFIX = "source."
+MART_LAYERS = ("marts", "mart")
 DIMENSIONS = ["documentation", "test_coverage", "contracts", "freshness", "blast_radius"]
 
 
@@ -66,12 +68,14 @@ def _model_links(edges: DataFrame) -> DataFrame:
 
 
 def _wide(links: DataFrame, threshold: int) -> DataFrame:
-    counts = links.groupBy("parent_id").agg(F.count(F.lit(1)).alias("direct_children"))
+    """Models with many direct children; sources are none, however many read them."""
+    models = links.filter(~F.col("parent_id").startswith(SOURCE_PREFIX))
+    counts = models.groupBy("parent_id").agg(F.count(F.lit(1)).alias("direct_children"))
     return counts.filter(F.col("direct_children") >= threshold)
 
 
 def fanout(edges: DataFrame, threshold: int = FANOUT_THRESHOLD) -> DataFrame:
-    """Parents with at least ``threshold`` direct model children."""
+    """Models with at least ``threshold`` direct model children."""
     return _wide(_model_links(edges), threshold)
 
 
@@ -186,14 +190,16 @@ def _facts(
 ) -> DataFrame:
     """Per model: the counts the five scores rest on. Each input is reduced to one row per model
     before it is joined."""
-    links = edges.select("parent_id", "child_id").distinct()
+    # edges to tests are left out, as the tests are counted from their own table
+    others = edges.filter(~F.col("child_type").eqNullSafe("test"))
+    links = others.select("parent_id", "child_id").distinct()
     per_columns = columns.groupBy("model_id").agg(
         F.count(F.lit(1)).alias("n_columns"),
         F.count_if(text_length("description") > MIN_COLUMN_TEXT).alias("n_described"),
         F.count_if(F.length("data_type") > 0).alias("n_typed"),
     )
     per_tests = tests.groupBy("model_id").agg(F.count(F.lit(1)).alias("n_tests"))
-    read = links.filter(F.col("parent_id").startswith("source."))
+    read = links.filter(F.col("parent_id").startswith(SOURCE_PREFIX))
     per_sources = (
         read.join(sources, F.col("parent_id") == F.col("source_id"), "left")
         .groupBy(F.col("child_id").alias("model_id"))
@@ -232,7 +238,9 @@ def scorecard(
     typed = _share(10, n["typed"], whole)
     test_ratio = F.least(n["tests"] / whole.cast("double"), F.lit(1.0))
     needs_contract = (
-        ~F.col("enforced") & (F.col("layer") == "marts") & (F.col("access") == "public")
+        ~F.coalesce("enforced", F.lit(False))
+        & F.col("layer").isin(*MART_LAYERS)
+        & (F.col("access") == "public")
     )
     no_sources = n["sources"] == 0
     fresh = F.when(no_sources, 20).otherwise(

@@ -2,20 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martwright.functions import strip_prefix, surrogate_key
 
 
-def stage(df: DataFrame, key_name: str, key_columns: tuple[str, str]) -> DataFrame:
-    """Surrogate key first, then every column without its source prefix; timestamps become dates."""
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _renamed(df: DataFrame, dates: bool) -> list[Column]:
+    """Every column without its source prefix; with ``dates``, timestamps as dates."""
     columns = []
     for name, kind in df.dtypes:
-        value = f"cast({name} as date)" if kind.startswith(("timestamp", "date")) else name
-        columns.append(f"{value} as {strip_prefix(name)}")
-    key = surrogate_key(*key_columns).alias(key_name)
-    return df.select(key, *map(F.expr, columns))
+        value = F.col(_quoted(name))
+        if dates and kind.startswith("timestamp"):
+            value = value.cast("date")
+        columns.append(value.alias(strip_prefix(name)))
+    return columns
+
+
+def _key(name: str, columns: tuple[str, ...]) -> Column:
+    return surrogate_key(*map(_quoted, columns)).alias(name)
+
+
+def stage(df: DataFrame, key_name: str, key_columns: tuple[str, str]) -> DataFrame:
+    """Surrogate key first, then every column without its source prefix; timestamps become dates."""
+    return df.select(_key(key_name, key_columns), *_renamed(df, dates=True))
 
 
 def stg_tpch__customer(customer: DataFrame) -> DataFrame:
@@ -66,12 +80,13 @@ STAGING = {
 def auto_stage(
     df: DataFrame, table: str, key_columns: tuple[str, str] | None = None
 ) -> DataFrame:
-    """A staging model for any table: its first two columns make the surrogate key.
+    """A staging model for any table: its first two columns make the surrogate key, and every column
+    keeps its type, so a timestamp keeps its time of day.
 
-    A first column already spelled ``...KEY`` is a key of its own, so none is added then unless the
-    key columns are given.
+    A first column named ``...key``, in any case, is a key of its own, so none is added then unless
+    the key columns are given.
     """
-    if key_columns is None and df.columns[0].endswith("KEY"):
-        staged = stage(df, f"{table}_key", tuple(df.columns[:1]))
-        return staged.drop(f"{table}_key")
-    return stage(df, f"{table}_key", key_columns or tuple(df.columns[:2]))
+    columns = _renamed(df, dates=False)
+    if key_columns is None and df.columns[0].lower().endswith("key"):
+        return df.select(*columns)
+    return df.select(_key(f"{table}_key", key_columns or tuple(df.columns[:2])), *columns)

@@ -113,7 +113,7 @@ part(
              as documentation,
            cast(round_even(20 * least(tests / cast(greatest(cols, 1) as double), 1.0), 0)
              as bigint) as test_coverage,
-           case when not enforced and layer = 'marts' and access = 'public' then 0 else 10 end
+           case when not coalesce(enforced, false) and layer in ('marts', 'mart') and access = 'public' then 0 else 10 end
              + case when cols > 0
                then cast(round_even(10 * typed / cast(cols as double), 0) as bigint) else 5 end
              as contracts,
@@ -138,7 +138,7 @@ part(
                when tests / cast(greatest(cols, 1) as double) < 0.5
                then 'low test coverage: ' || tests || ' tests for ' || greatest(cols, 1)
                     || ' columns' end,
-             case when not enforced and layer = 'marts' and access = 'public'
+             case when not coalesce(enforced, false) and layer in ('marts', 'mart') and access = 'public'
                then 'public mart missing contract: enforced: true' end,
              case when cols > 0 and round_even(10 * typed / cast(cols as double), 0) < 10
                then (cols - typed) || ' column(s) missing data_type' end,

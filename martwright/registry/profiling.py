@@ -273,7 +273,7 @@ def static_inference(d):
 case(
     "auto_stage_supplier",
     """
-    select md5(s_suppkey || '-' || s_name) as supplier_key, s_suppkey as suppkey, s_name as name,
+    select s_suppkey as suppkey, s_name as name,
            s_nationkey as nationkey, s_acctbal as acctbal
     from supplier""",
 )(lambda d: auto_stage(d.table("supplier"), "supplier"))
@@ -281,12 +281,19 @@ case(
 case(
     "auto_stage_orders",
     """
-    select md5(o_orderkey || '-' || o_custkey) as orders_key, o_orderkey as orderkey,
+    select o_orderkey as orderkey,
            o_custkey as custkey, o_orderstatus as orderstatus, o_totalprice as totalprice,
-           cast(o_orderdate as date) as orderdate, o_orderpriority as orderpriority
+           o_orderdate as orderdate, o_orderpriority as orderpriority
     from orders""",
 )(lambda d: auto_stage(d.table("orders"), "orders"))
 
+case(
+    "auto_stage_events",
+    """
+    select md5(event_id || '-' || ts) as events_key, event_id, ts, user_id, event_type, value, props
+    from events""",
+)(lambda d: auto_stage(d.table("events"), "events"))
+
 _ALL_TABLES = [
     "benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels",
     "lineitem", "nation", "orders", "pages", "part", "region", "supplier",

@@ -153,9 +153,24 @@ def test_score_edges(one):
     assert one(children=6, tests=20)["blast_radius"] == 0
     assert one(layer="marts", access="public")["contracts"] == 5
     assert one(layer="marts", access="public", enforced=True)["contracts"] == 15
+    assert one(layer="mart", access="public", enforced=None)["contracts"] == 5
+    assert one(enforced=None)["contracts"] == 15
     assert one(description=None, layer="marts", access="public", children=40)["grade"] == "D"
 
 
+def test_edges_to_tests_and_wide_sources(frame):
+    """Tests count once, from their own table; a source is no model, however many models read it."""
+    model = frame([("m", "m", "p", "staging", "protected", None, None)], MODELS)
+    edges = frame([("m", f"k{i}", "model") for i in range(3)] + [("m", f"t{i}", "test") for i in range(4)]
+                  + [("source.s", f"k{i}", "model") for i in range(5)], EDGES)
+    tests = frame([(f"t{i}", "m") for i in range(4)], TESTS)
+    none = [frame([], COLUMNS), tests, frame([], SOURCES)]
+    row = as_dicts(cat.scorecard(model, *none, edges))[0]
+    assert row["blast_radius"] == 20 - cat.POINTS_PER_DEPENDENT * max(0, 7 - cat.FREE_DEPENDENTS)
+    assert [r["parent_id"] for r in as_dicts(cat.fanout(edges, 3))] == ["m"]
+    assert [r["model_id"] for r in as_dicts(cat.blast_radius(edges, 3))] == ["m"]
+
+
 def brute_reach(edges, start):
     seen, queue = set(), [c for p, c, _ in edges if p == start]
     while queue:

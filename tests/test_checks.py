@@ -12,11 +12,14 @@ from martwright.operators.checks import (
     suite_status,
 )
 from martwright.operators.contracts import (
+    CAST_TYPES,
+    CONTRACT_TYPES,
     assert_no_pii,
     coerce_contract,
     contract_diff,
     contract_loss,
     exclude_pii,
+    cast_type,
     normalise_type,
     spark_type,
 )
@@ -234,7 +237,8 @@ def test_report_sink(frame, spark, tmp_path):
 @pytest.mark.parametrize(
     "raw, want",
     [("VARCHAR(255)", "varchar"), ("number(18,2)", "number"), ("", "varchar"), (None, "varchar"),
-     ("Double", "float"), ("TIMESTAMP_NTZ(9)", "timestamp_ntz"), ("Geography", "geography")],
+     ("Double", "float"), ("TIMESTAMP_NTZ(9)", "timestamp_ntz"), ("Geography", "geography"),
+     ("number(18 , 2)", "number"), ("INT", "number"), ("double precision", "double precision")],
 )
 def test_type_names(raw, want):
     assert normalise_type(raw) == want
@@ -245,12 +249,23 @@ def test_type_names(raw, want):
     [("number(38,0)", "bigint"), ("number", "bigint"), ("number(18,2)", "decimal(18,2)"),
      ("varchar", "string"), ("boolean", "boolean"), ("FLOAT8", "double"), ("smallint", "smallint"),
      ("timestamp_ntz", "timestamp_ntz"), ("timestamp_tz", "timestamp"), ("variant", "variant"),
-     ("object", "map<string,variant>"), ("array", "array<variant>"), ("time", "string")],
+     ("object", "map<string,variant>"), ("array", "array<variant>"), ("time", "string"),
+     ("int", "int"), ("character", "string"), ("tinyint", "tinyint"), ("number(18 , 2)", "decimal(18,2)")],
 )
 def test_spark_types(contract, want):
     assert spark_type(contract).simpleString() == want
 
 
+def test_every_type_name_has_a_spark_type():
+    for name in {*CONTRACT_TYPES, *CONTRACT_TYPES.values(), *CAST_TYPES, *CAST_TYPES.values()}:
+        spark_type(name)
+    with pytest.raises(ValueError, match="unknown type"):
+        spark_type("geography")
+    assert [cast_type(t) for t in ("INT", "Character(3)", "bigint", "time", None)] == [
+        "integer", "varchar", "bigint", "time", "varchar",
+    ]
+
+
 def test_pii_guard(frame):
     df = frame([("a", 1)], "customer_name string, id int")
     assert exclude_pii(df, ("customer_name",)).columns == ["id"]

@@ -267,11 +267,15 @@ def test_auto_stage(frame):
     df = frame([(1, "x", dt.datetime(2020, 1, 1, 5))], "E_ID long, e_name string, e_at timestamp")
     staged = auto_stage(df, "event")
     assert staged.dtypes == [
-        ("event_key", "string"), ("id", "bigint"), ("name", "string"), ("at", "date"),
+        ("event_key", "string"), ("id", "bigint"), ("name", "string"), ("at", "timestamp"),
     ]
     keyed = frame([(1, "x")], "E_KEY long, e_name string")
     assert auto_stage(keyed, "event").columns == ["key", "name"]
     assert auto_stage(keyed, "event", ("E_KEY", "e_name")).columns[0] == "event_key"
+    lower = frame([(1, "x")], "e_key long, `a b` string")
+    assert auto_stage(lower, "event").columns == ["key", "a b"]
+    odd = frame([(1, "x")], "`a b` long, `c.d` string")
+    assert auto_stage(odd, "event").first()["c.d"] == "x"
 
 
 def test_stored_marts_follow_their_sources(spark, tmp_path):
