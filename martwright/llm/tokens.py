@@ -39,6 +39,13 @@ def _stays_letter(char: str) -> bool:
     return char.isalpha() and (char.isascii() or unicodedata.normalize("NFC", char).lower().isalpha())
 
 
+def _unchanged(piece: str) -> bool:
+    """A piece, already lower-case in A-Z, without white space that NFC and lower case leave as it is."""
+    return piece.isprintable() and (
+        piece.isascii() or (unicodedata.is_normalized("NFC", piece) and piece.lower() == piece)
+    )
+
+
 class Encoder:
     """``encode(text)`` gives the ids of a whole text as a little-endian unsigned array.
 
@@ -94,20 +101,21 @@ class Encoder:
         self.known.update(zip(pieces, (packed[a:b] for a, b in zip([0, *cuts], cuts))))
 
     def _learn_plain(self, pieces: list[str]) -> list[str]:
-        """Learn the pieces of printable ASCII, which no normalizer changes, from one text of them all:
-        the library's fast call tells no offsets, but the tokens' bytes do. Returns the other pieces."""
-        plain = [p for p in pieces if p.isascii() and p.isprintable()]
+        """Learn the pieces that the normalizer leaves as they are from one text of them all: the
+        library's fast call tells no offsets, but the tokens' bytes do. Returns the other pieces."""
+        plain = {p for p in pieces if _unchanged(p)}
         if not plain:
             return pieces
-        fast = self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)
+        texts = list(plain)
+        fast = self.tokenizer.encode_batch_fast([" ".join(texts)], add_special_tokens=False)
         ids = fast[0].ids
         reached = np.cumsum(self.n_bytes[ids])
-        wanted = np.cumsum([len(p) for p in plain])
+        wanted = np.cumsum([len(p.encode()) for p in texts])
         ends = np.searchsorted(reached, wanted, "right")
         if not np.array_equal(np.r_[0, reached][ends], wanted):
             return pieces  # some token is no plain stretch of text
-        self._keep(plain, ids, ends)
-        return [p for p in pieces if not (p.isascii() and p.isprintable())]
+        self._keep(texts, ids, ends)
+        return [p for p in pieces if p not in plain]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         cut = [self._pieces(t or "") for t in texts]
