@@ -3,10 +3,9 @@
 What counts as a failure: a NULL row, a value occurring more than once, a distinct value outside the
 list, a row whose key has no parent.
 
-A suite reads each table once for all its not_null checks and once for all its accepted_values
-checks, where rows without a bad value are dropped by the filter on the scan's stage. Unique and
-relationships checks group by their key first, so a key holding a large share of the rows reaches
-the shuffle as one combined row per task.
+A suite reads each table once for all its not_null and accepted_values checks; rows that pass are
+dropped by the filter on the scan's stage. Unique and relationships checks group by their key first,
+so a key holding a large share of the rows reaches the shuffle as one combined row per task.
 """
 
 from __future__ import annotations
@@ -80,16 +79,13 @@ def failing_rows(df: DataFrame, check: Check, parent: DataFrame | None = None) -
     raise ValueError(f"unknown check kind: {check.kind}")
 
 
-def _count_nulls(df: DataFrame, checks: dict[int, Check]) -> DataFrame:
-    """One aggregate for all columns, turned into a row per check."""
-    nulls = [F.expr(f"count_if(`{c.column}` is null) as c{i}") for i, c in checks.items()]
-    cells = ", ".join(f"{i}, c{i}" for i in checks)
-    return df.agg(*nulls).selectExpr(f"stack({len(checks)}, {cells}) as (i, n)")
-
-
-def _count_outside(df: DataFrame, checks: dict[int, Check]) -> DataFrame:
-    """A row per distinct bad value; rows without one are filtered out first."""
-    bad = {i: _outside(df, c) for i, c in checks.items()}
+def _count_by_row(df: DataFrame, checks: dict[int, Check]) -> DataFrame:
+    """Not-null and accepted-values checks in one pass: rows that pass all of them end at the filter,
+    the others give a (check, value) each. NULLs count by row, bad values once."""
+    bad = {
+        i: f"`{c.column}` is null" if c.kind == "not_null" else _outside(df, c)
+        for i, c in checks.items()
+    }
     found = [
         f"if({b}, named_struct('i', {i}, 'value', cast(`{checks[i].column}` as string)), null)"
         for i, b in bad.items()
@@ -97,8 +93,9 @@ def _count_outside(df: DataFrame, checks: dict[int, Check]) -> DataFrame:
     return (
         df.filter(" or ".join(bad.values()))
         .selectExpr(f"inline(array_compact(array({', '.join(found)})))")
-        .distinct()
-        .selectExpr("i", "1L as n")
+        .groupBy("i", "value")
+        .agg(F.count(F.lit(1)).alias("n_records"))
+        .selectExpr("i", "if(value is null, n_records, 1L) as n")
     )
 
 
@@ -119,12 +116,9 @@ def run_checks(tables: dict[str, DataFrame], checks: Iterable[Check]) -> DataFra
     for name in dict.fromkeys(c.table for c in ready.values()):
         df = tables[name]
         mine = {i: c for i, c in ready.items() if c.table == name}
-        nulls = {i: c for i, c in mine.items() if c.kind == "not_null"}
-        lists = {i: c for i, c in mine.items() if c.kind == "accepted_values"}
-        if nulls:
-            parts.append(_count_nulls(df, nulls))
-        if lists:
-            parts.append(_count_outside(df, lists))
+        by_row = {i: c for i, c in mine.items() if c.kind in ("not_null", "accepted_values")}
+        if by_row:
+            parts.append(_count_by_row(df, by_row))
         for i, check in mine.items():
             if check.kind == "unique":
                 parts.append(_repeated(df, check.column).selectExpr(f"{i} as i", "1L as n"))

@@ -1,4 +1,4 @@
-"""Freshness: age of the newest row against the limits of the table's service level."""
+"""Freshness: age of the newest row against the limits of the table's service level, or its own."""
 
 from __future__ import annotations
 
@@ -7,14 +7,28 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOUR = 3600
+Limit = tuple[int, str] | None  # a count of hours or days, or no limit
 
-# Hours until a warning and until an error; static tables are not checked.
-SLA_HOURS: dict[str, tuple[int, int] | None] = {
-    "realtime": (1, 3),
-    "daily": (25, 49),
-    "static": None,
+PERIOD_SECONDS = {"hour": 3600, "day": 86400}
+
+# Age for a warning and for an error; static tables are not checked.
+SLA_LIMITS: dict[str, tuple[Limit, Limit]] = {
+    "realtime": ((1, "hour"), (3, "hour")),
+    "daily": ((25, "hour"), (49, "hour")),
+    "static": (None, None),
+}
+# Declared service levels of the raw sources, and the limits a new source starts with.
+SOURCE_SLA = {
+    "customer": "daily",
+    "lineitem": "daily",
+    "nation": "daily",
+    "orders": "daily",
+    "part": "daily",
+    "partsupp": "daily",
+    "region": "daily",
+    "supplier": "daily",
 }
+NEW_SOURCE_LIMITS: tuple[Limit, Limit] = ((7, "day"), (30, "day"))
 DEFAULT_SLA = "daily"  # also stands in for an unknown service level
 
 
@@ -25,29 +39,40 @@ def _seconds(moment: Column) -> Column:
     return days * 86400 + clock
 
 
+def _limit_seconds(limit: Limit) -> int | None:
+    return None if limit is None else limit[0] * PERIOD_SECONDS[limit[1]]
+
+
 def freshness(
-    df: DataFrame, table: str, loaded_at: str, as_of: dt.datetime, sla: str = DEFAULT_SLA
+    df: DataFrame,
+    table: str,
+    loaded_at: str,
+    as_of: dt.datetime,
+    sla: str = DEFAULT_SLA,
+    limits: tuple[Limit, Limit] | None = None,
 ) -> DataFrame:
-    """One row: newest ``loaded_at``, its age and pass, warn, error or not_checked."""
-    known = sla.lower() if sla.lower() in SLA_HOURS else DEFAULT_SLA
-    limits = SLA_HOURS[known]
+    """One row: newest ``loaded_at``, its age and pass, warn, error or not_checked.
+
+    ``limits`` (warn_after, error_after) take the place of the service level's; sla is then "declared".
+    """
+    known = sla.lower() if sla.lower() in SLA_LIMITS else DEFAULT_SLA
+    warn_after, error_after = map(_limit_seconds, SLA_LIMITS[known] if limits is None else limits)
     newest = df.agg(F.max(F.col(loaded_at).cast("timestamp_ntz")).alias("max_loaded_at"))
     now = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
     age = F.col("age_seconds")
-    if limits is None:
+    if warn_after is None and error_after is None:
         status = F.lit("not_checked")
     else:
-        warn_after, error_after = (hours * HOUR for hours in limits)
-        status = (
-            F.when(age.isNull() | (age > error_after), "error")
-            .when(age > warn_after, "warn")
-            .otherwise("pass")
-        )
+        older = {k: age > v for k, v in (("error", error_after), ("warn", warn_after)) if v is not None}
+        status = F.when(age.isNull(), "error")
+        for name, is_older in older.items():
+            status = status.when(is_older, name)
+        status = status.otherwise("pass")
     return newest.withColumn(
         "age_seconds", _seconds(now) - _seconds(F.col("max_loaded_at"))
     ).select(
         F.lit(table).alias("table_name"),
-        F.lit(known).alias("sla"),
+        F.lit(known if limits is None else "declared").alias("sla"),
         "max_loaded_at",
         "age_seconds",
         status.alias("status"),

@@ -23,7 +23,7 @@ from martwright.operators.contracts import (
     contract_loss,
     exclude_pii,
 )
-from martwright.operators.freshness import freshness
+from martwright.operators.freshness import NEW_SOURCE_LIMITS, SOURCE_SLA, freshness
 from martwright.plans.suites import checks_of
 from martwright.registry.base import Domain, case
 from martwright.registry.sqltext import part, sql
@@ -37,6 +37,7 @@ TABLES = {
         f"stg_tpch__{t}": (lambda d, t=t: d.staged_present(t), f"stg_tpch__{t}")
         for t in ABSENT
     },
+    "stg_tpch__partsupp": (lambda d: d.published().partsupp(), "stg_tpch__partsupp"),
     "stg_commercial__orders": (lambda d: d.orders(), "stg_commercial__orders"),
     "stg_commercial__customers": (lambda d: d.customers(), "stg_commercial__customers"),
     "stg_commercial__lineitems": (lambda d: d.lineitems(), "stg_commercial__lineitems"),
@@ -306,3 +307,27 @@ case(
         freshness(d.table("lineitem"), "lineitem", "l_shipdate", _ORDERS_AS_OF, "hourly")
     )
 )
+
+# The declared sources that have a date, at their service level; events at the limits of a new source.
+_DECLARED_AS_OF = dt.datetime(2024, 2, 10, 1, 30)
+_D = str(_DECLARED_AS_OF)
+case(
+    "freshness_declared",
+    "\nunion all ".join(
+        [
+            _age_sql("orders", "o_orderdate", "orders", "daily", _D, _limits(_D, 25, 49)),
+            _age_sql("lineitem", "l_shipdate", "lineitem", "daily", _D, _limits(_D, 25, 49)),
+            _age_sql("events", "ts", "events", "declared", _D, _limits(_D, 7 * 24, 30 * 24)),
+        ]
+    ),
+)(
+    lambda d: freshness(
+        d.table("orders"), "orders", "o_orderdate", _DECLARED_AS_OF, SOURCE_SLA["orders"]
+    )
+    .unionByName(
+        freshness(d.table("lineitem"), "lineitem", "l_shipdate", _DECLARED_AS_OF, SOURCE_SLA["lineitem"])
+    )
+    .unionByName(
+        freshness(d.table("events"), "events", "ts", _DECLARED_AS_OF, limits=NEW_SOURCE_LIMITS)
+    )
+)

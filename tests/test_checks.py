@@ -296,6 +296,30 @@ def test_freshness_of_nothing_is_an_error(frame):
     assert as_dicts(freshness(frame([], "ts date"), "t", "ts", AS_OF))[0]["status"] == "error"
 
 
+@pytest.mark.parametrize(
+    "days, limits, want",
+    [(6, ((7, "day"), (30, "day")), "pass"), (8, ((7, "day"), (30, "day")), "warn"),
+     (31, ((7, "day"), (30, "day")), "error"), (31, ((7, "day"), None), "warn"),
+     (2, (None, (47, "hour")), "error"), (2, (None, (3, "day")), "pass"), (9, (None, None), "not_checked")],
+)
+def test_freshness_with_given_limits(frame, days, limits, want):
+    df = frame([(AS_OF - dt.timedelta(days=days),)], "ts timestamp_ntz")
+    row = as_dicts(freshness(df, "t", "ts", AS_OF, limits=limits))[0]
+    assert (row["sla"], row["status"]) == ("declared", want)
+
+
+def test_rows_that_pass_are_not_shuffled(spark, frame):
+    df = frame([(1, "a"), (None, "z"), (None, "z"), (2, None)], "id int, code string")
+    checks = [Check("not_null", "t", "id"), Check("not_null", "t", "code"),
+              Check("accepted_values", "t", "code", values=("a",))]
+    got = run_checks({"t": df}, checks)
+    assert {r["check_name"]: r["failures"] for r in got.collect()} == {
+        "not_null_t_id": 2, "not_null_t_code": 1, "accepted_values_t_code": 1,
+    }
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 1
+
+
 def test_contract_coercion_rounds_and_counts_what_does_not_fit(spark):
     from decimal import Decimal
 
