@@ -1,9 +1,11 @@
 """License scans: TF-IDF cosine of text units to templates, then inheritance along directories.
 
-Every line of a text is a unit, and so is the whole text; a unit without an anchor word is no licence
-statement. Units become sparse vectors of term weights (inverse document frequency over the
-templates; a term of no template weighs as one of frequency 0), and a join on terms with the templates'
-vectors gives the cosines. A file takes the best template at or above the threshold. Files named like
+Units of a text are its lines, every run of consecutive lines with at most ``RUN`` terms, its paragraphs,
+its leading comment and the whole text; comment marks are no terms, and lines without terms part
+paragraphs but not runs. Units are term vectors weighted by inverse document frequency over all
+files and the templates. The terms that a unit needs at least one of to reach the threshold follow from
+the weights (``needed``), and a bound on the cosine drops most units before their norms are computed; both
+drop only units that cannot match. A file takes the best template at or above the threshold. Files named like
 licence files speak for their directory; a file without a licence of its own inherits from the nearest
 ancestor directory that has one, found by joining directory paths.
 
@@ -12,13 +14,16 @@ DataFrame functions only.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martwright.llm.common import stored
+
 # Headers and opening sentences of public licences.
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("MIT", "Released under the MIT License."),
@@ -55,8 +60,11 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose is hereby granted"),
 )
 TERM = r"[a-z0-9]+(\.[0-9]+)*"
-ANCHOR = r"licen[cs]e|cc0|creative commons|permission|redistribution|mozilla"
 THRESHOLD = 0.7
+#: Comment marks that would read as terms, and lines that belong to a leading comment.
+WORD_MARK = r"(?m)^[ \t]*(?:rem|dnl)\b"
+COMMENT = r"^\s*(?:$|//|/\*|\*|#|--|;|%|!|\"|'|<!--|\(\*|\{-|\.\.|rem\b|dnl\b)"
+BLOCK_COMMENT = r"(?s)\A\s*(?:/\*.*?\*/|<!--.*?-->|\"{3}.*?\"{3}|'{3}.*?'{3}|\(\*.*?\*\)|\{-.*?-\})"
 LICENCE_FILE = r"(^|/)(LICEN[CS]E|COPYING|NOTICE|index)[^/]*$"
 
 
@@ -64,65 +72,163 @@ def terms(text: str) -> list[str]:
     return [m[0] for m in re.finditer(TERM, text.lower())]
 
 
-def template_rows() -> tuple[list[tuple[int, str, str, float]], float, dict[str, float]]:
-    """Rows (template, license, term, unit weight), the idf of an unknown term, and the idf of the others."""
-    counts = [Counter(terms(text)) for _, text in TEMPLATES]
-    seen = Counter(t for c in counts for t in c)
-    n = len(TEMPLATES)
-    idf = {t: math.log((1 + n) / (1 + k)) + 1 for t, k in seen.items()}
-    rows = []
-    for k, ((name, _), found) in enumerate(zip(TEMPLATES, counts)):
-        norm = math.sqrt(sum((f * idf[t]) ** 2 for t, f in found.items()))
-        rows += [(k, name, t, f * idf[t] * idf[t] / norm) for t, f in sorted(found.items())]
-    return rows, math.log(1 + n) + 1, idf
+COUNTS = tuple(Counter(terms(text)) for _, text in TEMPLATES)
+#: Terms of a run of lines at most: twice those of the longest template.
+RUN = 2 * max(c.total() for c in COUNTS)
 
 
-def values_sql(rows: list[tuple], names: str) -> str:
-    """A relation of literals in SQL that Spark and DuckDB read alike."""
-    cell = lambda v: f"'{v}'" if isinstance(v, str) else f"CAST({v!r} AS DOUBLE)" if isinstance(v, float) else str(v)
-    return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(cell, r)) + ')' for r in rows)}) AS t({names})"
+def inverse(n: float | Column, k: float | Column, log=math.log) -> float | Column:
+    """Inverse document frequency of a term in k of n documents, 1 at least."""
+    return log((1 + n) / (1 + k)) + 1
+
+
+def needed(idf: dict[str, float], threshold: float) -> list[str]:
+    """Terms of which a unit needs one at least: what is left of a template without its heaviest terms has
+    less than ``threshold`` of its norm, so by Cauchy-Schwarz a unit without them stays below it."""
+    found = set()
+    for count in COUNTS:
+        mass = {t: (f * idf[t]) ** 2 for t, f in count.items()}
+        light, limit = 0.0, (threshold - 1e-6) ** 2 * sum(mass.values())
+        for t in sorted(mass, key=lambda t: (mass[t], t)):
+            light += mass[t]
+            if light >= limit:
+                found.add(t)
+    return sorted(found)
+
 
+TEMPLATE_TYPE = "array<struct<license: string, vec: array<struct<term: string, weight: double, idf: double>>>>"
 
-def template_tables(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-    """The templates' term weights and the terms' idf: literals of some hundred rows, fixed in this module."""
-    rows, _, idf = template_rows()
-    weights = spark.sql(values_sql(rows, "template, license, term, weight"))
-    return weights, spark.sql(values_sql(sorted(idf.items()), "term, idf"))
+
+def any_of(found: list[str]) -> str:
+    """A pattern that every text with one of these terms matches: no letter stands before a term, none and no
+    digit behind it; a letter may follow the last digit of a term with points."""
+    plain, dotted = ("|".join(re.escape(t) for t in found if ("." in t) == d) for d in (False, True))
+    parts = [f"(?:{x}){end}" for x, end in ((plain, "(?![a-z0-9])"), (dotted, "(?![0-9])")) if x]
+    return f"(?<![a-z])(?:{'|'.join(parts)})"
+
+
+def template_vectors(idf: dict[str, float]) -> Column:
+    """The templates as one literal: license and, per term, its weight in the unit vector and its idf."""
+    cells = []
+    for (name, _), count in zip(TEMPLATES, COUNTS):
+        norm = math.sqrt(sum((f * idf[t]) ** 2 for t, f in count.items()))
+        vec = [{"term": t, "weight": f * idf[t] * idf[t] / norm, "idf": idf[t]} for t, f in sorted(count.items())]
+        cells.append({"license": name, "vec": vec})
+    return F.from_json(F.lit(json.dumps(cells)), TEMPLATE_TYPE)
+
+
+def all_terms(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
+
+
+def units(texts: DataFrame, anchors: Column) -> DataFrame:
+    """(path, whole, terms): units of lower-case ``texts`` (path, text) that hold one of ``anchors``.
+
+    Split texts are columns of their own, so that no step cuts a text again for each line of it.
+    """
+    holds = lambda ts: F.arrays_overlap(ts, anchors)
+    bare = F.regexp_replace(F.regexp_replace("text", r"\r\n?", "\n"), WORD_MARK, "")
+    texts = texts.withColumn("bare", F.regexp_replace(bare, r"(?m)^[^a-z0-9\n]+$", ""))
+    lines = F.filter(F.transform(F.split("bare", "\n"), all_terms), lambda ts: F.size(ts) > 0)
+    texts = texts.withColumns({"lines": lines, "raw": F.split("text", r"\r\n?|\n")})
+    code = F.array_position(F.transform("raw", lambda x: ~x.rlike(COMMENT)), True)
+    texts = texts.withColumns({"held": F.transform("lines", holds), "code": code.cast("int")})
+    lead = F.slice("raw", 1, F.when(F.col("code") > 0, F.col("code") - 1).otherwise(F.size("raw")))
+    leads = (F.array_join(lead, "\n"), F.regexp_extract("text", BLOCK_COMMENT, 0))
+    lead = F.array(*(all_terms(F.regexp_replace(x, WORD_MARK, "")) for x in leads))
+    paragraphs = F.transform(F.split("bare", "\n{2,}"), all_terms)
+    near = F.filter(F.sequence(F.lit(1), F.size("held")), lambda k: F.array_contains(F.slice("held", k, RUN), True))
+    near = F.when(F.size("held") > 0, near).otherwise(F.expr("CAST(array() AS array<int>)"))
+    # shorter lines and paragraphs are runs
+    given = F.concat(F.filter(F.concat("lines", paragraphs), lambda ts: F.size(ts) > RUN), lead)
+    texts = texts.select("path", "text", "lines", near.alias("near"), given.alias("given"))
+    start = F.expr("named_struct('now', CAST(array() AS array<string>), 'out', CAST(array() AS array<array<string>>), 'open', true)")
+
+    def longer(state: Column, line: Column) -> Column:
+        now = F.concat(state["now"], line)
+        fits = state["open"] & (F.size(state["now"]) + F.size(line) <= RUN)
+        more = F.struct(now.alias("now"), F.concat(state["out"], F.array(now)).alias("out"), F.lit(True).alias("open"))
+        over = F.struct(state["now"].alias("now"), state["out"].alias("out"), F.lit(False).alias("open"))
+        return F.when(fits, more).otherwise(over)
+
+    grow = lambda k: F.aggregate(F.slice("lines", k, RUN), start, longer, lambda s: F.filter(s["out"], holds))
+    every = F.concat(F.array(all_terms(F.col("text"))), "given", F.flatten(F.transform("near", grow)))
+    found = texts.select("path", F.posexplode(every).alias("at", "terms"))
+    return found.where(holds(F.col("terms"))).select("path", (F.col("at") == 0).alias("whole"), "terms")
+
+
+def likely(ts: Column, threshold: float, templates: Column) -> Column:
+    """(license, dot) of the templates that a unit may match. The dot product is exact; the norm is bounded
+    from below: idf is 1 at least, and a term's squared count is its count at least."""
+    times = lambda e: F.size(ts) - F.size(F.array_remove(ts, e["term"]))
+    zero = F.struct(F.lit(0.0).alias("dot"), F.lit(0.0).alias("square"), F.lit(0).alias("n"))
+
+    def add(s: Column, e: Column) -> Column:
+        return F.struct(
+            (s["dot"] + e["f"] * e["weight"]).alias("dot"),
+            (s["square"] + F.pow(e["f"] * e["idf"], F.lit(2.0))).alias("square"),
+            (s["n"] + e["f"]).alias("n"),
+        )
+
+    def one(t: Column) -> Column:
+        counted = F.transform(t["vec"], lambda e: F.struct(times(e).alias("f"), e["weight"].alias("weight"), e["idf"].alias("idf")))
+        return F.aggregate(
+            counted,
+            zero,
+            add,
+            lambda s: F.struct(t["license"].alias("license"), s["dot"].alias("dot"), (s["square"] + F.size(ts) - s["n"]).alias("least")),
+        )
+
+    floor = (threshold - 1e-6) ** 2
+    return F.filter(F.transform(templates, one), lambda m: (m["dot"] > 0) & (m["dot"] * m["dot"] >= floor * m["least"]))
 
 
 def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(path, license, score, whole) of the files (path, text) that have a licence statement.
 
     One row per path; score is the cosine rounded to 6 digits, ties go to the first name; whole says that
-    the whole text matches too. Rows of one path are one file; NULL paths are one file as well. NULL or
-    empty texts have no units.
+    the whole text matches too. Rows of one path are one file, but each row counts in the document
+    frequencies; NULL paths are one file as well. NULL or empty texts have no units.
     """
-    weights, idf = template_tables(files.sparkSession)
-    unknown = F.lit(template_rows()[1])
-    low = F.lower("text")
-    some = files.select("path", low.alias("text")).where(F.col("text").rlike(ANCHOR))
-    units = some.select("path", F.xxhash64("text").alias("of"), F.posexplode(F.split("text", "\n")).alias("at", "unit"))
-    whole = some.select("path", F.xxhash64("text").alias("of"), F.lit(-1).alias("at"), F.col("text").alias("unit"))
-    units = units.where(F.col("unit").rlike(ANCHOR)).union(whole)
-    key = ["path", "of", "at"]
-    found = units.select(*key, F.explode(F.regexp_extract_all("unit", F.lit(TERM), F.lit(0))).alias("term"))
-    tf = found.groupBy(*key, "term").agg(F.count(F.lit(1)).alias("f")).join(idf, "term", "left")
-    squares = F.pow(F.col("f") * F.coalesce("idf", unknown), F.lit(2.0))
-    norms = tf.groupBy(*key).agg(F.sqrt(F.sum(squares)).alias("norm"))
-    dots = tf.join(weights, "term").groupBy(*key, "template", "license").agg(F.sum(F.col("f") * F.col("weight")).alias("dot"))
-    norms = norms.withColumnsRenamed({k: f"n_{k}" for k in key})
-    same = F.col("path").eqNullSafe(F.col("n_path"))
-    scored = dots.join(norms, same & F.expr("of = n_of AND at = n_at")).select(
-        "path", "at", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score")
-    )
+    texts = files.select("path", F.lower("text").alias("text"))
+    known = sorted({t for c in COUNTS for t in c})
+    common = F.array(*map(F.lit, known))
+    met = texts.select(F.explode(F.concat(F.array_intersect(all_terms(F.coalesce("text", F.lit(""))), common), F.array(F.lit("")))).alias("term"))
+    seen = {r["term"]: r["count"] for r in met.groupBy("term").count().collect()}
+    n = seen.get("", 0) + len(TEMPLATES)
+    inside = Counter(t for c in COUNTS for t in c)
+    idf = {t: inverse(n, inside[t] + seen.get(t, 0)) for t in known}
+    must = needed(idf, threshold)
+    anchors = F.array(*map(F.lit, must))
+    some = texts.where(F.col("text").rlike(any_of(must)))
+    maybe = likely(F.col("terms"), threshold, template_vectors(idf)).alias("likely")
+    # the number beside it keeps the filter from computing the matches twice
+    each = units(some, anchors).select("path", "whole", "terms", maybe, F.monotonically_increasing_id().alias("unit"))
+    each = stored(each.where(F.size("likely") > 0), "units")
+    tf = each.select("unit", F.explode("terms").alias("term")).groupBy("unit", "term").agg(F.count(F.lit(1)).alias("f"))
+    wanted = stored(each.select(F.explode("terms").alias("term")).distinct(), "terms")
+    words = texts.select(F.explode(F.array_distinct(all_terms(F.col("text")))).alias("term")).join(wanted, "term")
+    given = files.sparkSession.sql(values_sql(sorted(inside.items()), "term, inside"))
+    df = words.groupBy("term").agg(F.count(F.lit(1)).alias("k")).join(given, "term", "left")
+    weighed = df.select("term", inverse(F.lit(n), F.col("k") + F.coalesce("inside", F.lit(0)), F.log).alias("idf"))
+    square = F.pow(F.col("f") * F.col("idf"), F.lit(2.0))
+    norms = tf.join(weighed, "term").groupBy("unit").agg(F.sqrt(F.sum(square)).alias("norm"))
+    matches = each.select("unit", "path", "whole", F.inline("likely")).join(norms, "unit")
+    scored = matches.select("path", "whole", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
     scored = scored.where(F.col("score") >= threshold)
     # highest score first, then the first name
     first = F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("first")
-    return scored.groupBy("path").agg(first, F.max(F.col("at") == -1).alias("whole")).select(
+    return scored.groupBy("path").agg(first, F.max("whole").alias("whole")).select(
         "path", "first.license", (-F.col("first.minus")).alias("score"), "whole"
     )
 
 
+def values_sql(rows: list[tuple], names: str) -> str:
+    """A relation of literals in SQL that Spark and DuckDB read alike."""
+    cell = lambda v: f"'{v}'" if isinstance(v, str) else f"CAST({v!r} AS DOUBLE)" if isinstance(v, float) else str(v)
+    return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(cell, r)) + ')' for r in rows)}) AS t({names})"
+
+
 def directory(path: Column) -> Column:
     """Directory of a path: all before the last slash, or the empty string."""
     return F.regexp_replace(path, r"/?[^/]*$", "")

@@ -358,6 +358,54 @@ def test_licences(spark):
     assert licences.inherit(df.where("false")).isEmpty()
 
 
+HEADERS = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:""",
+    "GPL-3.0": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "Apache-2.0": """Copyright 2020 The Authors
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0""",
+}
+
+
+def test_wrapped_licence_headers_above_code(spark):
+    code = "\n".join(f"value_{i} = compute(alpha_{i}, beta_{i % 7})  # step {i}" for i in range(60))
+    wrap = {
+        "hash": lambda h: "\n".join(f"# {x}" for x in h.split("\n")),
+        "star": lambda h: "/*\n" + "\n".join(f" * {x}" for x in h.split("\n")) + "\n */",
+        "plain": lambda h: h,
+        "rem": lambda h: "\r\n".join(f"REM {x}" for x in h.split("\n")),
+    }
+    rows = [(f"{n}/{w}/COPYING.py", f(h) + "\n" + code) for n, h in HEADERS.items() for w, f in wrap.items()]
+    rows += [(f"{n}/{w}/sub/x.py", code) for n in HEADERS for w in wrap] + [("none/x.py", code)]
+    df = spark.createDataFrame(rows, "path string, text string")
+    got = {r["path"]: (r["license"], r["inherited_from"]) for r in licences.inherit(df).collect()}
+    for n in HEADERS:
+        for w in wrap:
+            assert got[f"{n}/{w}/COPYING.py"] == (n, None)
+            assert got[f"{n}/{w}/sub/x.py"] == (n, f"{n}/{w}")
+    assert got["none/x.py"] == (None, None)
+
+
 def test_pipeline_stages_keep_columns_and_clean_documents(spark, docs, texts, tmp_path):
     import corpus_pipeline
 
