@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S
 )
-_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s "
     "samp small span strike strong sub sup time tt u var wbr img".split()
@@ -40,6 +40,20 @@ _BOILER_NAME = re.compile(
     r"|widget|toolbar|pagination|pager|search|copyright|legal|disclaimer|toc|skip|hidden)(?=$|[\s_-])",
     re.I,
 )
+#: Class names that tell what a layout has or lacks, not what the element is.
+_MODIFIER = re.compile(r"(?:^|(?<=\s))(?:has|with|without|no|hide|show)[-_]\S*", re.I)
+#: Names of parts that hold articles of their own: comments, teasers, advertisements.
+_OTHER_ARTICLES = re.compile(
+    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|comments?|respond|replies|reply|disqus|related|recommended"
+    r"|newsletter|popup|modal|widgets?|hidden)(?=$|[\s_-])",
+    re.I,
+)
+_COPYRIGHT = re.compile(
+    r"©|\(c\) (?:(?i:copyright)\b|(?:by )?(?:[A-Z][\w&.'’-]*,? ){0,6}(?:(?:19|20)\d\d\b|(?i:all rights reserved))"
+    r"|(?:[A-Z][\w&'’-]*,? )+(?:Inc|Ltd|LLC|GmbH|Corp|AG|SA|plc)\b)"
+)
+#: Degrees of boilerplate: a wrapper that may hold the page, a part by its name, a part by its tag or role.
+WRAPPER, NAMED, CERTAIN = 1, 2, 3
 _CONTENT_NAME = re.compile(
     r"(?:^|[\s_-])(?:article|main|content|post|entry|story|body|text)(?=$|[\s_-])", re.I
 )
@@ -56,7 +70,7 @@ class Element:
     tag: str
     parent: Element | None
     number: int
-    boiler: bool
+    boiler: int
     content: bool
     unseen: bool
     link: bool
@@ -73,21 +87,28 @@ class Block:
 
 def _element(tag: str, attributes: str, parent: Element | None, number: int) -> Element:
     named = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)} if attributes else {}
-    names = f"{named.get('class', '')} {named.get('id', '')}"
+    names = _MODIFIER.sub("", f"{named.get('class', '')} {named.get('id', '')}")
+    role = named.get("role", "").lower()
     inside = parent is not None and parent.content
-    boiler = (
-        tag in _BOILER_TAGS
-        or (tag == "header" and not inside)
-        or named.get("role", "").lower() in _BOILER_ROLE
-        or (tag not in ("html", "body", "article", "main") and bool(_BOILER_NAME.search(names)))
-    )
+    boiler = 0
+    if role in _BOILER_ROLE or (tag in _BOILER_TAGS and tag != "form") or (tag == "header" and not inside):
+        boiler = CERTAIN
+    elif tag not in ("html", "body", "article", "main") and _BOILER_NAME.search(names):
+        whole = any(_BOILER_NAME.fullmatch(x) for x in names.split())
+        boiler = NAMED if whole or _OTHER_ARTICLES.search(names) else WRAPPER
+    elif tag == "form":
+        boiler = WRAPPER
+    given = parent.boiler if parent is not None else 0
+    # the page's main element, or an article in a mere wrapper, is no part of what its wrapper is named for
+    if not boiler and (given <= NAMED if tag == "main" or role == "main" else tag == "article" and given == WRAPPER):
+        given = 0
     content = tag in _CONTENT_TAGS or (not boiler and bool(_CONTENT_NAME.search(names)))
-    unseen = tag in _UNSEEN or "hidden" in attributes.lower().split() or "display:none" in named.get("style", "").replace(" ", "")
+    unseen = tag in _UNSEEN or "hidden" in named or "display:none" in named.get("style", "").replace(" ", "")
     return Element(
         tag,
         parent,
         number,
-        boiler or (parent is not None and parent.boiler),
+        max(boiler, given),
         content or inside,
         unseen or (parent is not None and parent.unseen),
         tag == "a" or (parent is not None and parent.link),
@@ -96,7 +117,7 @@ def _element(tag: str, attributes: str, parent: Element | None, number: int) ->
 
 def blocks(html: str) -> list[Block]:
     """Blocks of visible text in page order, white space folded and character references decoded."""
-    root = Element("", None, 0, False, False, False, False)
+    root = Element("", None, 0, 0, False, False, False)
     stack, found, now, number, at = [root], [], None, 0, 0
     while m := _TOKEN.match(html, at):
         at = m.end()
@@ -146,13 +167,13 @@ def score(block: Block) -> float:
     n = len(block.text.split(" "))
     return (
         BIAS
-        + BOILER * block.parent.boiler
+        + BOILER * (block.parent.boiler > 0)
         + CONTENT * block.parent.content
         + LINKS * min(1.0, block.link_chars / len(block.text))
         + WORDS * min(n, 20)
         + SENTENCE * block.text.rstrip("\"'”’)").endswith((".", "!", "?", "…", ":"))
         + HEADING * block.heading
-        + BOILER * block.text.startswith(("©", "(c) "))
+        + BOILER * (_COPYRIGHT.match(block.text) is not None)
     )
 
 

@@ -128,6 +128,29 @@ def test_page_text(spark):
     assert sorted((r["page_id"], r["n_chars"]) for r in got) == [(1, len(want)), (1, len(want)), (2, 0), (3, 999_999)]
 
 
+def test_page_text_in_wrappers_links_and_lists():
+    story = "The first paragraph of the story goes on for quite a few plain words."
+    body = f"<p>{story}</p><p>{story}</p>"
+    want = f"{story} {story}"
+    for wrapper in ("layout has-sidebar", "page with-header", "no-comments", "layout sidebar-left", "header-fixed"):
+        assert pages.main_text(f'<div class="{wrapper}"><article>{body}</article></div>') == want, wrapper
+        assert pages.main_text(f'<div class="{wrapper}"><main>{body}</main></div>') == want, wrapper
+    assert pages.main_text(f'<form id="all"><article>{body}</article></form>') == want
+    assert pages.main_text(f'<div class="layout has-sidebar"><div class="content">{body}</div></div>') == want
+    for part in ('<div class="comment-list">', '<div class="sidebar">', '<div class="related-posts">', "<aside>", "<footer>"):
+        assert pages.main_text(f"{part}<article>{body}</article>") == "", part
+    link = '<article><p>See <a title="the hidden cost of x">this long report</a> on what all of it costs us.</p></article>'
+    assert pages.main_text(link) == "See this long report on what all of it costs us."
+    assert pages.main_text(f'<article><section data-title="a hidden gem here">{body}</section></article>') == want
+    for mark in ("hidden", 'hidden=""', "hidden=hidden", 'class="x" hidden id=y'):
+        assert pages.main_text(f"<article><div {mark}>{body}</div></article>") == ""
+    items = "<p>The duty covers these:</p><ul><li>(a) the first tax;<li>(b) the second tax;<li>(c) any other tax;</ul>"
+    got = pages.main_text(f"<article>{items}</article>")
+    assert got == "The duty covers these: (a) the first tax; (b) the second tax; (c) any other tax;"
+    for end in ("(c) 2020 Us", "(c) Acme Media, 2021.", "(c) Acme Inc.", "(c) Copyright by us", "© Us"):
+        assert pages.main_text(f"<article>{body}<div>{end}</div></article>") == want, end
+
+
 def test_min_cut_is_minimal():
     rng = np.random.default_rng(5)
     for _ in range(60):
