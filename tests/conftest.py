@@ -7,8 +7,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 
-TINY = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -32,9 +30,3 @@ def spark(tmp_path_factory):
 def frame(spark):
     """Small frame from rows and a DDL schema."""
     return lambda rows, ddl: spark.createDataFrame(rows, ddl)
-
-
-def as_dicts(df, *keys):
-    """Rows as dictionaries, sorted by the given columns."""
-    rows = [r.asDict(recursive=True) for r in df.collect()]
-    return sorted(rows, key=lambda r: [str(r[k]) for k in keys]) if keys else rows

@@ -1,7 +1,7 @@
 from decimal import Decimal
 
 import pytest
-from conftest import as_dicts
+from helpers import as_dicts
 
 from martwright.operators import catalog as cat
 

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import as_dicts
+from helpers import as_dicts
 from pyspark.sql import functions as F
 
 from martwright.operators.checks import (

@@ -3,7 +3,7 @@ import hashlib
 from decimal import Decimal
 
 import pytest
-from conftest import as_dicts
+from helpers import as_dicts
 from pyspark.sql import functions as F
 
 from martwright import functions as fn

@@ -2,7 +2,7 @@ import datetime as dt
 from decimal import Decimal as D
 
 import pytest
-from conftest import as_dicts
+from helpers import as_dicts
 from pyspark.sql import functions as F
 
 from martwright.operators.metrics import (

@@ -4,7 +4,7 @@ import datetime as dt
 from decimal import Decimal as D
 
 import pytest
-from conftest import TINY, as_dicts
+from helpers import TINY, as_dicts
 from pyspark.sql import functions as F
 
 from martwright.plans import commercial, finance, marketing, product

@@ -2,7 +2,7 @@
 
 import pytest
 from compare import compare, duck
-from conftest import TINY
+from helpers import TINY
 
 from martwright.registry import CASES
 

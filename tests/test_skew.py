@@ -6,7 +6,7 @@ import random
 from decimal import ROUND_HALF_UP, Decimal as D
 
 import pytest
-from conftest import TINY, as_dicts
+from helpers import TINY, as_dicts
 from pyspark.sql import functions as F
 
 from martwright.operators import catalog
