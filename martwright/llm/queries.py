@@ -6,7 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from martwright.llm import chat, licences, mixing, neighbours, packing, pages, quality, simhash, substrings, wavelet
+from martwright.llm import (
+    chat,
+    classifier,
+    licences,
+    mixing,
+    negatives,
+    neighbours,
+    packing,
+    pages,
+    quality,
+    repair,
+    simhash,
+    substrings,
+    wavelet,
+)
 from martwright.llm.common import documents, stored, word_count
 
 QUERIES: dict = {}
@@ -86,11 +100,54 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licences.inherit(files)
 
 
+@query
+def op11_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    texts = documents(spark, folder).select("doc_id", "text")
+    model = classifier.learn(texts, spark.read.parquet(f"{folder}/labels.parquet"))
+    scored = classifier.score(texts, model)
+    return scored.select("doc_id", classifier.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.repair(repair.damaged(spark.read.parquet(f"{folder}/conversations.parquet")))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.hard_negatives(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op13_hard_negatives": """
+        with taken as (
+          select row_number() over () as r, vec_id,
+                 case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                 [floor(256 * cast(x as double)) for x in embedding] as q
+          from embeddings
+          where vec_id is not null and label is not null and list_count(embedding) = len(embedding)
+            and len([x for x in embedding if not isfinite(x)]) = 0),
+        scored as (
+          select a.r, a.vec_id as anchor_id, c.r as other, c.vec_id, a.label = c.label as same,
+                 cast(list_dot_product(a.q, c.q) as bigint) as score
+          from taken a join taken c on a.vec_id % 50 = 0 and a.r <> c.r and len(a.q) = len(c.q)),
+        positives as (
+          select * from scored where same
+          qualify row_number() over (partition by r order by score desc, vec_id) <= 5),
+        ranked as (
+          select p.anchor_id, p.vec_id as positive_id, n.vec_id as negative_id,
+                 p.score as positive_score, n.score as negative_score,
+                 row_number() over (partition by p.r, p.other order by n.score desc, n.vec_id) as place
+          from positives p join scored n on p.r = n.r and not n.same
+            and 50 * p.score <= 100 * n.score and 100 * n.score <= 95 * p.score)
+        select anchor_id, positive_id, cast(place as integer) as rank, negative_id, positive_score,
+               negative_score
+        from ranked where place <= 3""",
+}
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -130,5 +131,90 @@ def check_packing(rows, ids_of, capacity=2048) -> int:
     return len(by_bin)
 
 
+def repair(rows) -> tuple:
+    """The contract of conversation repair over rows (turn, role, text): damage done, any order.
+
+    Suffix by suffix: best[state] is the cheapest (cost, letters, output roles) from here to the end.
+    """
+    import functools
+
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], hashlib.sha256(r[2].encode()).hexdigest()))
+    turns = {t for t, _, _ in rows if t is not None}
+    gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    fault, seen = [], set()
+    for _, role, text in rows:
+        last = text.strip(" \t\n\x0b\x0c\r")[-1:]
+        kind = "blank" if not last else "duplicate" if (role, text) in seen else "" if last in ".!?" else "truncated"
+        fault.append(kind)
+        seen.add((role, text))
+    letters = [r[1][:1] for r in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(letters, letters[1:]))
+    moves = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+
+    @functools.cache
+    def best(i: int, state: str, put: int):
+        """put: inserts since the last row; more than two are never of use."""
+        found = [(0, "", ())] if i == len(rows) and state in ("", "a") else []
+        steps = []
+        if put < 2:
+            steps += [(3, "I", x, i, put + 1) for x in "ua"]
+        if i < len(rows):
+            cut = 3 * (fault[i] == "truncated")
+            steps.append((4, "D", "", i + 1, 0))
+            if fault[i] in ("", "truncated"):
+                steps.append((cut, "K", letters[i], i + 1, 0))
+                steps += [(3 + cut, "R", x, i + 1, 0) for x in "ua"]
+        for cost, letter, role, j, n in steps:
+            after = state if letter == "D" else moves.get((state, role))
+            if after is not None and (rest := best(j, after, n)):
+                found.append((cost + rest[0], letter + rest[1], (role, *rest[2])))
+        return min(found, default=None)
+
+    cost, audit, roles = best(0, "", 0)
+    out, i = [], 0
+    for letter, role in zip(audit, roles):
+        name = {"u": "user", "a": "assistant"}.get(role)
+        if letter == "I":
+            out.append(f"{name}:")
+            continue
+        if letter != "D":
+            out.append(f"{rows[i][1] if letter == 'K' else name}:{rows[i][2]}")
+        i += 1
+    counts = [sum(f == k for f in fault) for k in ("blank", "duplicate", "truncated")]
+    return (gaps, *counts, illegal, cost, audit, hashlib.sha256("\n".join(out).encode()).hexdigest())
+
+
+def damage(conv, turn, role, text) -> list:
+    role, text = role if role is not None else " ", text if text is not None else " "
+    key = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+    harm = zlib.crc32(key.encode()) % 20
+    text = "" if harm == 1 else re.sub("[.!?]", "", text) if harm == 2 else text
+    role = "user" if harm == 4 else role
+    return [(turn, role, text)] * {0: 0, 3: 2}.get(harm, 1)
+
+
+def hard_negatives(rows) -> Counter:
+    """Every score by plain integers, rows (vec_id, vector, label)."""
+    taken = []
+    for vec_id, vector, label in rows:
+        if None in (vec_id, label) or vector is None or any(x is None or not math.isfinite(x) for x in vector):
+            continue
+        label = (label + 1) % 10 if vec_id % 7 == 0 else label
+        taken.append((vec_id, label, [math.floor(256 * x) for x in vector]))
+    out = []
+    for k, (vec_id, label, q) in enumerate(taken):
+        if vec_id % 50:
+            continue
+        scored = [
+            (-sum(map(int.__mul__, q, v)), other, its == label)
+            for j, (other, its, v) in enumerate(taken)
+            if j != k and len(v) == len(q)
+        ]
+        for p, positive, _ in sorted(x for x in scored if x[2])[:5]:
+            inside = sorted(x for x in scored if not x[2] and -50 * p <= -100 * x[0] <= -95 * p)
+            out += [(vec_id, positive, r, n, -p, -s) for r, (s, n, _) in enumerate(inside[:3], 1)]
+    return Counter(out)
+
+
 def multiset(rows) -> Counter:
     return Counter(map(tuple, rows))
