@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martwright.functions import has_words, round_ratio, text_length, word_count
+from martwright.operators.distinct import number_rows
 from martwright.session import shared_folder
 
 # Thresholds, points and report texts of the scorecard and the lineage report.
@@ -79,35 +80,59 @@ def fanout(edges: DataFrame, threshold: int = FANOUT_THRESHOLD) -> DataFrame:
     return _wide(_model_links(edges), threshold)
 
 
-def descendants(links: DataFrame, starts: DataFrame, folder: str) -> DataFrame:
-    """All (start_id, node_id) pairs where the node can be reached from the start.
+WORD = 64  # starts whose reach one number holds, a bit each
 
-    One join per level of the graph. Every level is stored as a table below ``folder``, so the plan
-    does not grow with the depth and a lost executor costs no earlier level. Pairs already known are
-    dropped by an anti join on the whole pair, which ends the loop on cycles and keeps diamonds from
-    being walked twice; only the level's new pairs are carried on. The step feeds a shuffle, so
-    adaptive execution is free to split the partition of a node with very many children.
+
+def _bit(number: str) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.col(number), F.lit(WORD)).cast("int"))
+
+
+def reached(links: DataFrame, starts: DataFrame, folder: str) -> DataFrame:
+    """(node_id, word, bits): for every node, which of the ``starts`` (parent_id, number) reach it.
+
+    The starts that reach a node are a set of bits, 64 starts to a row, so a node below very many starts
+    costs a row per 64 of them and no (start, node) pair is ever written. One join per level of the graph:
+    the bits that are new to a node are carried on to its children, merged per child by OR, and cleared
+    of what the child has already. That ends the loop on cycles and keeps diamonds from being walked
+    twice. Every level is a table below ``folder``, so the plan does not grow with the depth and a lost
+    executor costs no earlier level; the merged bits of a level are stored first, so the join with
+    the links has plain shuffles on both sides, which adaptive execution can split at a hub.
     """
     spark = links.sparkSession
-    pairs = links.join(starts.select("parent_id"), "parent_id", "left_semi").select(
-        F.col("parent_id").alias("start_id"), F.col("child_id").alias("node_id")
-    )
-    schema, level = pairs.schema, 0
+    schema = "node_id string, word long, bits long"
+    merged = F.bit_or("bits").alias("bits")
+    first = starts.select("parent_id", F.floor(F.col("number") / WORD).alias("word"), _bit("number").alias("bits"))
+    step = links.join(first, "parent_id")
+    level = 0
     while True:
-        pairs.write.parquet(f"{folder}/level={level}")
+        step = step.select(F.col("child_id").alias("node_id"), F.col("word").cast("long").alias("word"), "bits")
+        step = step.groupBy("node_id", "word").agg(merged)
+        if level:
+            known = spark.read.schema(schema).parquet(*[f"{folder}/level={i}" for i in range(level)])
+            known = known.groupBy("node_id", "word").agg(F.bit_or("bits").alias("had"))
+            new = F.col("bits").bitwiseAND(F.bitwise_not(F.coalesce("had", F.lit(0).cast("long"))))
+            step = step.join(known, ["node_id", "word"], "left").select("node_id", "word", new.alias("bits"))
+            step = step.where("bits <> 0")
+        step.write.parquet(f"{folder}/level={level}")
         newest = spark.read.schema(schema).parquet(f"{folder}/level={level}")
-        known = spark.read.schema(schema).parquet(
-            *[f"{folder}/level={i}" for i in range(level + 1)]
-        )
         if newest.isEmpty():
-            return known
-        step = newest.join(links, F.col("node_id") == F.col("parent_id")).select(
-            "start_id", F.col("child_id").alias("node_id")
-        )
-        pairs = step.distinct().join(known, ["start_id", "node_id"], "left_anti")
+            return spark.read.schema(schema).parquet(*[f"{folder}/level={i}" for i in range(level + 1)])
+        step = newest.join(links, F.col("node_id") == F.col("parent_id")).drop("node_id")
         level += 1
 
 
+def reach_counts(found: DataFrame) -> DataFrame:
+    """(number, transitive_count): nodes per start, from rows that hold each of a node's bits once.
+
+    A sum per bit within a word, all in one aggregate, so no row is made per start and node.
+    """
+    ones = [F.sum(F.shiftright("bits", k).bitwiseAND(F.lit(1))) for k in range(WORD)]
+    words = found.groupBy("word").agg(F.array(*ones).alias("ones"))
+    each = words.select("word", F.posexplode("ones").alias("bit", "transitive_count"))
+    number = F.col("word") * WORD + F.col("bit")
+    return each.where("transitive_count <> 0").select(number.alias("number"), "transitive_count")
+
+
 def blast_radius(edges: DataFrame, threshold: int = FANOUT_THRESHOLD) -> DataFrame:
     """Direct and transitive dependents of the models with many direct ones, widest first.
 
@@ -117,17 +142,22 @@ def blast_radius(edges: DataFrame, threshold: int = FANOUT_THRESHOLD) -> DataFra
     folder = f"{shared_folder(spark)}/reach-{uuid.uuid4().hex}"
     _model_links(edges).write.parquet(f"{folder}/links")
     links = spark.read.parquet(f"{folder}/links")
-    wide = _wide(links, threshold)
-    reached = descendants(links, wide, f"{folder}/pairs").groupBy("start_id").agg(
-        F.count(F.lit(1)).alias("transitive_count")
-    )
+    starts = number_rows(_wide(links, threshold), "parent_id")
+    counts = reach_counts(reached(links, starts, f"{folder}/reached"))
     return (
-        wide.join(reached, F.col("parent_id") == F.col("start_id"))
+        starts.join(counts, "number")
         .select(F.col("parent_id").alias("model_id"), "direct_children", "transitive_count")
         .orderBy(F.desc("transitive_count"), "model_id")
     )
 
 
+def wide_children(edges: DataFrame, threshold: int = FANOUT_THRESHOLD) -> DataFrame:
+    """(model_id, child_id): the direct children of the models with many of them, a row each."""
+    links = _model_links(edges)
+    wide = _wide(links, threshold).select("parent_id")
+    return links.join(wide, "parent_id", "left_semi").select(F.col("parent_id").alias("model_id"), "child_id")
+
+
 def coverage(models: DataFrame, tests: DataFrame) -> DataFrame:
     """One row: models, tested models, their share in percent, and tests on them."""
     per_model = tests.groupBy("model_id").agg(F.count(F.lit(1)).alias("tests"))

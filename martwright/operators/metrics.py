@@ -1,7 +1,7 @@
-"""Semantic layer: named metrics over the order mart, by dimension and time grain.
+"""Semantic layer: named metrics over a mart, by dimension and time grain.
 
-A metric query is one ``groupBy().agg()`` over the mart, whatever the number of metrics; ratios are
-divided after aggregation, at the grain of the query.
+A metric query is one ``groupBy().agg()`` over the mart, whatever the number of metrics (only several
+distinct counts take a pass each); ratios are divided after aggregation, at the grain of the query.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martwright.operators.distinct import count_states, distinct_states
 from martwright.schemas import WIDE_MONEY
 
 
@@ -21,6 +22,7 @@ class Measure:
     agg: str  # sum, average or count_distinct
     expr: str
     type: str = "long"
+    dense: bool = False  # for count_distinct: the keys are whole numbers with few gaps
 
 
 @dataclass(frozen=True)
@@ -46,6 +48,7 @@ class SemanticModel:
     dimensions: tuple[str, ...]
     measures: tuple[Measure, ...]
     metrics: tuple[Metric, ...]
+    grain: str = "day"  # of a row's time; nothing finer can be asked for
 
     def measure(self, name: str) -> Measure:
         return next(m for m in self.measures if m.name == name)
@@ -76,10 +79,10 @@ ORDERS = SemanticModel(
         Measure("gross_revenue_amount", "sum", "gross_revenue", WIDE_MONEY),
         Measure("net_revenue_amount", "sum", "net_revenue", WIDE_MONEY),
         Measure("discount_amount", "sum", "gross_revenue - net_revenue", WIDE_MONEY),
-        Measure("order_count", "count_distinct", "order_key"),
+        Measure("order_count", "count_distinct", "order_key", dense=True),
         Measure("avg_order_value", "average", "gross_revenue", "double"),
         Measure("line_item_count", "sum", "line_item_count"),
-        Measure("customer_count", "count_distinct", "customer_key"),
+        Measure("customer_count", "count_distinct", "customer_key", dense=True),
     ),
     metrics=(
         Metric("gross_revenue", "Gross Revenue", "Analytics", "gross_revenue_amount"),
@@ -107,6 +110,14 @@ ORDERS = SemanticModel(
 
 # Time grains and the unit names of F.trunc.
 GRAINS = {"day": None, "week": "week", "month": "MM", "quarter": "quarter", "year": "year"}
+# Grains that rows of a grain can be added up to.
+COARSER = {
+    "day": ("day", "week", "month", "quarter", "year"),
+    "week": ("week",),
+    "month": ("month", "quarter", "year"),
+    "quarter": ("quarter", "year"),
+    "year": ("year",),
+}
 
 DISCOUNT_RATE_LIMIT = 0.10  # fixed value: share of gross revenue above which a segment is flagged
 
@@ -137,8 +148,11 @@ def dimension(model: SemanticModel, name: str) -> Column:
     """The column behind a requested dimension, under the requested name."""
     local = _local_name(model, name)
     base, _, grain = local.partition("__")
-    if base == "metric_time":
-        return at_grain(F.col(model.time_dimension), grain or "day").alias(name)
+    if base == "metric_time" and model.time_dimension:
+        grain = grain or model.grain
+        if grain not in COARSER[model.grain]:
+            raise ValueError(f"{model.name} has no {name}: its rows are of one {model.grain}")
+        return at_grain(F.col(model.time_dimension), grain).alias(name)
     if base in model.time_dimensions:
         return at_grain(F.col(base), grain or model.time_dimensions[base]).alias(name)
     if local in model.dimensions:
@@ -169,6 +183,61 @@ def _filtered(mart: DataFrame, model: SemanticModel, where: str | Column) -> Dat
     return wide.filter(F.expr(text)).drop(*named.values())
 
 
+def _simple(metric: Metric, model: SemanticModel) -> list[Metric]:
+    """The metrics without division behind a metric."""
+    if metric.measure:
+        return [metric]
+    return [model.metric(metric.numerator), model.metric(metric.denominator)]
+
+
+def _ratio(numerator: str, denominator: str, name: str) -> Column:
+    bottom = F.nullif(F.col(denominator).cast("double"), F.lit(0.0))
+    return (F.col(numerator).cast("double") / bottom).alias(name)
+
+
+def side_by_side(parts: list[DataFrame], keys: list[str]) -> DataFrame:
+    """Aggregates of the same keys joined into one: every group that any of them has, NULL keys
+    included, with NULL where a part lacks the group. Each part holds a group once."""
+    out, whole = parts[0], not keys
+    if whole:  # one row each: join on a constant
+        keys, parts = ["one_group"], [p.withColumn("one_group", F.lit(1)) for p in parts]
+        out = parts[0]
+    for n, part in enumerate(parts[1:]):
+        right = part.withColumnsRenamed({k: f"{k}__{n}" for k in keys})
+        same = [F.col(k).eqNullSafe(F.col(f"{k}__{n}")) for k in keys]
+        both = [F.coalesce(k, f"{k}__{n}").alias(k) for k in keys]
+        rest = [c for c in (*out.columns, *part.columns) if c not in keys]
+        out = out.join(right, same, "full").select(*both, *rest)
+    return out.drop("one_group") if whole else out
+
+
+def _grouped(
+    mart: DataFrame, model: SemanticModel, simple: dict[str, Metric], group_by: list[str] | tuple
+) -> DataFrame:
+    """The simple metrics per group. Several distinct counts over dense keys are counted by bitmaps,
+    each from its own two columns, as Spark would copy every row for each of them."""
+    keys = [dimension(model, name) for name in group_by]
+    measures = {name: model.measure(m.measure) for name, m in simple.items()}
+    distinct = {name: m for name, m in measures.items() if m.agg == "count_distinct"}
+    if len(distinct) < 2 or not all(m.dense for m in distinct.values()):
+        return mart.groupBy(*keys).agg(*[_aggregate(m).alias(name) for name, m in measures.items()])
+    plain = [_aggregate(m).alias(name) for name, m in measures.items() if name not in distinct]
+    parts = [mart.groupBy(*keys).agg(*plain or [F.count(F.lit(1)).alias("all_rows")])]
+    for name, measure in distinct.items():
+        rows = mart.select(*keys, F.expr(measure.expr).cast("long").alias("key_number"))
+        states = distinct_states(rows, list(group_by), "key_number")
+        parts.append(count_states(states, list(group_by), name))
+    joined = side_by_side(parts, list(group_by))
+    counts = {name: F.coalesce(name, F.lit(0).cast("long")) for name in distinct}  # a group without keys
+    return joined.withColumns(counts)
+
+
+def _ordered(out: DataFrame, order: list[str] | tuple, limit: int | None) -> DataFrame:
+    if order:
+        out = out.orderBy(*[F.desc(n[1:]) if n.startswith("-") else F.asc(n) for n in order])
+    return out.limit(limit) if limit is not None else out
+
+
 def query_metrics(
     mart: DataFrame,
     metrics: list[str],
@@ -180,33 +249,17 @@ def query_metrics(
 ) -> DataFrame:
     """Metrics by dimensions. ``order`` takes result names, ``-name`` for descending."""
     wanted = [model.metric(m) for m in metrics]
-    simple: dict[str, Metric] = {}
-    for metric in wanted:
-        parts = [metric] if metric.measure else [
-            model.metric(metric.numerator),
-            model.metric(metric.denominator),
-        ]
-        simple.update({p.name: p for p in parts})
-
+    simple = {part.name: part for metric in wanted for part in _simple(metric, model)}
     if where is not None:
         mart = _filtered(mart, model, where)
-    keys = [dimension(model, name) for name in group_by]
-    grouped = mart.groupBy(*keys).agg(
-        *[_aggregate(model.measure(m.measure)).alias(name) for name, m in simple.items()]
-    )
+    grouped = _grouped(mart, model, simple, group_by)
 
     def result(metric: Metric) -> Column:
         if metric.measure:
             return F.col(metric.name)
-        bottom = F.nullif(F.col(metric.denominator).cast("double"), F.lit(0.0))
-        return (F.col(metric.numerator).cast("double") / bottom).alias(metric.name)
+        return _ratio(metric.numerator, metric.denominator, metric.name)
 
-    out = grouped.select(*[F.col(name) for name in group_by], *map(result, wanted))
-    if order:
-        out = out.orderBy(
-            *[F.desc(n[1:]) if n.startswith("-") else F.asc(n) for n in order]
-        )
-    return out.limit(limit) if limit is not None else out
+    return _ordered(grouped.select(*map(F.col, group_by), *map(result, wanted)), order, limit)
 
 
 def fill_gaps(result: DataFrame, spine: DataFrame, time_name: str, grain: str = "day") -> DataFrame:

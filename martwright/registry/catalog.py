@@ -198,6 +198,16 @@ def reach(d):
     return catalog.blast_radius(_tables(d)["edges"])
 
 
+@case(
+    "catalog_wide_children",
+    sql("""
+        select parent_id as model_id, child_id from cat_edges
+        where parent_id in (select parent_id from cat_wide) and not starts_with(parent_id, 'source.')"""),
+)
+def wide_children(d):
+    return catalog.wide_children(_tables(d)["edges"])
+
+
 @case("catalog_scorecard", sql("select * from cat_scores"))
 def scores(d):
     return catalog.ranked(_scores(d)).withColumn("issues", F.concat_ws("; ", "issues"))

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from martwright.operators.crossmart import CrossRatio, query_across
+from martwright.operators.distinct import count_states, distinct_states, merge_states, number_keys
 from martwright.operators.metrics import (
     ORDERS,
+    at_grain,
     fill_gaps,
     flag_discount_rate,
     list_metrics,
     query_metrics,
     reconcile_by,
     reconcile_totals,
+    side_by_side,
 )
 from martwright.registry.base import case
 from martwright.registry.sqltext import part, sql
@@ -220,6 +224,143 @@ def reconciliation_by_month(d):
     )
 
 
+# -- several marts in one query --
+
+
+def across(name: str, text: str, models: str, *args, **kwargs) -> None:
+    def build(d):
+        marts = d.published()
+        given = {"orders": marts.enriched, "usage": marts.fct_usage, "attribution": marts.fct_attribution,
+                 "revenue": marts.fct_revenue}
+        return query_across({m: given[m]() for m in models.split()}, *args, **kwargs)
+
+    case(name, sql(text))(build)
+
+
+def _over(top: str, bottom: str, name: str) -> str:
+    return f"cast({top} as double) / nullif(cast({bottom} as double), 0) as {name}"
+
+
+across(
+    "metric_revenue_and_usage_by_month",
+    f"""
+    select coalesce(o.month, u.month) as metric_time__month, gross_revenue, order_count, usage_events,
+           usage_value, {_over("churned", "usage_events", "churn_rate")},
+           {_over("gross_revenue", "usage_events", "revenue_per_event")}
+    from (select order_month as month, {GROSS}, {ORDER_COUNT} from enriched group by 1) o
+    full join (select usage_month as month, cast(sum(total_events) as bigint) as usage_events,
+                      cast(sum(total_usage_value) as decimal(38,2)) as usage_value,
+                      sum(churned_events) as churned
+               from usage_month group by 1) u on o.month is not distinct from u.month""",
+    "orders usage",
+    ["gross_revenue", "order_count", "usage_events", "usage_value", "churn_rate",
+     CrossRatio("revenue_per_event", "gross_revenue", "usage_events")],
+    ["metric_time__month"],
+)
+across(
+    "metric_segments_across_marts",
+    f"""
+    select coalesce(a.market_segment, o.market_segment) as market_segment,
+           coalesce(a.customer_tier, o.customer_tier) as customer_tier,
+           gross_revenue, active_customers, known_customers, never_ordered,
+           {_over("active_customers", "known_customers", "active_share")}
+    from (select market_segment, customer_tier, cast(sum(customer_count) as bigint) as known_customers,
+                 cast(sum(never_ordered_count) as bigint) as never_ordered
+          from attribution group by 1, 2) a
+    full join (select market_segment, customer_tier, {GROSS}, {ACTIVE} from enriched group by 1, 2) o
+      on a.market_segment is not distinct from o.market_segment
+      and a.customer_tier is not distinct from o.customer_tier""",
+    "orders attribution",
+    ["gross_revenue", "active_customers", "known_customers", "never_ordered",
+     CrossRatio("active_share", "orders.active_customers", "attribution.known_customers")],
+    ["market_segment", "customer_tier"],
+)
+across(
+    "metric_quarters_of_three_marts",
+    f"""
+    select quarter as metric_time__quarter, gross_revenue, booked_revenue,
+           {_over("booked_revenue", "booked_orders", "booked_per_order")}, paying_customers,
+           usage_quantity, {_over("gross_revenue", "booked_revenue", "urgent_share")}
+    from (select order_quarter as quarter, {GROSS} from enriched where is_high_priority group by 1)
+    full join (select order_quarter as quarter, cast(sum(gross_revenue) as decimal(38,2)) as booked_revenue,
+                      sum(order_count) as booked_orders, count(distinct customer_key) as paying_customers
+               from revenue group by 1) using (quarter)
+    full join (select cast(date_trunc('quarter', usage_month) as date) as quarter,
+                      cast(sum(total_quantity) as decimal(38,2)) as usage_quantity
+               from usage_month group by 1) using (quarter)
+    where quarter >= date '1996-01-01'""",
+    "orders revenue usage",
+    ["gross_revenue", "booked_revenue", "booked_per_order", "paying_customers", "usage_quantity",
+     CrossRatio("urgent_share", "gross_revenue", "booked_revenue")],
+    ["metric_time__quarter"],
+    where="metric_time__quarter >= date '1996-01-01'",
+    where_in={"orders": "order__is_high_priority"},
+)
+across(
+    "metric_totals_across_marts",
+    f"""
+    select gross_revenue, known_customers, usage_value,
+           {_over("usage_value", "known_customers", "usage_value_per_customer")}
+    from (select {GROSS} from enriched),
+         (select cast(sum(customer_count) as bigint) as known_customers from attribution),
+         (select cast(sum(total_usage_value) as decimal(38,2)) as usage_value from usage_month)""",
+    "orders usage attribution",
+    ["gross_revenue", "known_customers", "usage_value",
+     CrossRatio("usage_value_per_customer", "usage_value", "known_customers")],
+)
+
+
+# -- distinct counts merged from day to year --
+
+_GRAINS = ["day", "month", "quarter", "year"]
+
+
+def _rolled_up(states, name: str):
+    """Distinct keys per day, month, quarter and year, all from the states of days."""
+    out = None
+    for grain in _GRAINS:
+        period = at_grain(F.col("day"), grain).alias("period")
+        counted = count_states(merge_states(states, [period]), ["period"], name)
+        counted = counted.select(F.lit(grain).alias("grain"), "period", name)
+        out = counted if out is None else out.unionByName(counted)
+    return out
+
+
+@case(
+    "metric_distinct_rollup",
+    sql("\n union all ".join(
+        f"select '{g}' as grain, cast(date_trunc('{g}', order_date) as date) as period,"
+        " count(distinct order_key) as order_count, count(distinct customer_key) as active_customers"
+        " from enriched group by 2" for g in _GRAINS
+    )),
+)
+def distinct_rollup(d):
+    """Orders and customers per day to year: the orders are read once per key, the years are merged."""
+    orders = d.published().enriched()
+    parts = []
+    for key, name in (("order_key", "order_count"), ("customer_key", "active_customers")):
+        states = distinct_states(orders, [F.col("order_date").alias("day")], key)
+        parts.append(_rolled_up(states, name))
+    return side_by_side(parts, ["grain", "period"])
+
+
+@case(
+    "metric_distinct_text_keys",
+    sql("""
+        select feature_category, cast(date_trunc('year', usage_month) as date) as usage_year,
+               count(distinct usage_event_key) as distinct_events
+        from usage group by 1, 2"""),
+)
+def distinct_text_keys(d):
+    """Text keys are numbered once; months are merged into years."""
+    usage = d.usage().select("usage_event_key", "feature_category", "usage_month")
+    numbered = usage.join(number_keys(usage, "usage_event_key"), "usage_event_key")
+    months = distinct_states(numbered, ["feature_category", "usage_month"], "number")
+    year = F.trunc("usage_month", "year").alias("usage_year")
+    years = merge_states(months, ["feature_category", year])
+    return count_states(years, ["feature_category", "usage_year"], "distinct_events")
+
+
 _LIST_SQL = "\n union all ".join(
     f"select '{m.name}' as metric, '{m.label}' as label, '{m.kind}' as type,"
     f" {repr(m.measure) if m.measure else 'null'} as measure,"
