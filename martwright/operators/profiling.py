@@ -1,9 +1,9 @@
 """Column profiles, and the checks and types they suggest.
 
-Profiling is the distributed part. Each column is grouped by its own values, so a parquet table is
-read once in total (a column at a time), frequent values collapse before the shuffle, and no row is
-widened to carry the other columns. Profile a stored table: a computed one would be recomputed for
-every column. The rules then run on the profile, which has one row per column.
+Profiling is the distributed part. Columns are read in batches, a scan each; their values are told apart
+by codes of fixed size and counted in one aggregate for all columns and tables. Profile a stored table: a
+computed one would be recomputed for every batch. The rules then run on the profile, which has one row
+per column.
 """
 
 from __future__ import annotations
@@ -61,28 +61,64 @@ def contract_type(kind: T.DataType) -> str:
 # -- scans --
 
 
-def profile_tables(tables: dict[str, DataFrame]) -> DataFrame:
+#: Bytes that a row may be widened to while its columns' values are told apart: columns of one scan.
+BATCH_BYTES = 256
+_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _value_codes(name: str, kind: T.DataType) -> tuple[list[str], int]:
+    """Two longs that tell the values of a column apart, and their width in bytes.
+
+    XXH64 maps values of up to 8 bytes one to one, so the first long is exact there. Other values take a
+    second hash with another seed: 128 bits together. NULL has no first long.
+    """
+    value = f"`{name.replace('`', '``')}`"
+    narrow = kind.precision <= 18 if isinstance(kind, T.DecimalType) else isinstance(kind, _FIXED_WIDTH)
+    if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        hashed = f"{value} + 0"  # one zero
+    else:
+        hashed = value
+    first = f"if({value} is null, null, xxhash64({hashed}))"
+    return [first, "0L" if narrow else f"xxhash64(7, {hashed})"], 12 if narrow else 20
+
+
+def _batches(fields: list[T.StructField], most: int) -> list[list[tuple[int, list[str]]]]:
+    """Columns by scan: as many as fit into ``most`` bytes, one at least."""
+    out: list[list[tuple[int, list[str]]]] = []
+    left = 0
+    for i, field in enumerate(fields):
+        codes, width = _value_codes(field.name, field.dataType)
+        if width > left:
+            out.append([])
+            left = most
+        out[-1].append((i, codes))
+        left -= width
+    return out
+
+
+def profile_tables(tables: dict[str, DataFrame], batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Per column of every table: rows, NULLs, share of NULLs, exact distinct values, uniqueness.
 
-    All columns' value counts end in one aggregate by column, which sees a partial row per task.
+    A table is read once per batch of columns. There a row becomes a row (column, value code) per column,
+    which is counted inside the task before the one shuffle by column and code, so frequent values
+    collapse and a hot value is spread. A closing aggregate by column sees a partial row per task.
     """
     described, parts = [], []
     for table, df in tables.items():
+        first = len(described)
         for ordinal, field in enumerate(df.schema, start=1):
-            i = len(described)
             described.append((table, field.name, ordinal, contract_type(field.dataType)))
-            values = df.selectExpr(f"`{field.name}` as value").groupBy("value")
-            parts.append(
-                values.agg(F.count(F.lit(1)).alias("n_rows")).selectExpr(
-                    f"{i} as i", "n_rows", "value is null as is_null"
-                )
-            )
+        for batch in _batches(df.schema.fields, batch_bytes):
+            codes = df.selectExpr(*[f"{c} as {'xy'[k]}{i}" for i, two in batch for k, c in enumerate(two)])
+            cells = ", ".join(f"(x{i}, y{i}) as `{first + i}`" for i, _ in batch)
+            long = f"select cast(i as int) as i, x, y from {{codes}} unpivot include nulls ((x, y) for i in ({cells}))"
+            parts.append(df.sparkSession.sql(long, codes=codes))
     spark = next(iter(tables.values())).sparkSession
     # a row without weight per column, so that columns of empty tables are reported too
-    seeds = spark.createDataFrame(
-        [(i, 0, True) for i in range(len(described))], "i int, n_rows long, is_null boolean"
-    )
-    counts = _union([seeds, *parts]).groupBy("i").agg(
+    seeds = spark.range(len(described)).selectExpr("cast(id as int) as i", "0L as n_rows", "true as is_null")
+    values = _union(parts).groupBy("i", "x", "y").agg(F.count(F.lit(1)).alias("n_rows"))
+    values = values.selectExpr("i", "n_rows", "x is null as is_null")
+    counts = seeds.unionByName(values).groupBy("i").agg(
         F.expr("sum(n_rows) as row_count"),
         F.expr("sum(if(is_null, n_rows, 0)) as null_count"),
         F.expr("count_if(not is_null) as distinct_count"),
@@ -174,16 +210,8 @@ def schema_columns(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFra
     )
 
 
-def infer_type_from_name(name: str) -> str:
-    lowered = name.lower()
-    for kind, parts in TYPE_BY_NAME:
-        if any(p in lowered for p in parts):
-            return kind
-    return DEFAULT_TYPE
-
-
 def inferred_type(name: Column) -> Column:
-    """The same guess as a column expression."""
+    """Type guessed from a column name."""
     lowered, guess = F.lower(name), F.when(F.lit(False), DEFAULT_TYPE)
     for kind, parts in TYPE_BY_NAME:
         hits = reduce(lambda a, b: a | b, [F.contains(lowered, F.lit(p)) for p in parts])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -11,10 +10,9 @@ from pyspark.sql import functions as F
 
 from martwright.plans import analytics, commercial, finance, marketing, product
 from martwright.plans.staging import STAGING
-from martwright.session import require_ansi, shared_folder
+from martwright.session import require_ansi
 from martwright.sources.proxies import ABSENT, generated_source
-from martwright.sources.scans import read_contract
-from martwright.sources.sinks import write_table
+from martwright.sources.store import MartStore, code_digest, snapshot_id
 from martwright.functions import strip_prefix
 
 
@@ -32,7 +30,7 @@ def case(name: str, sql: str | None = None):
     """Register a query over a ``Domain`` under a name."""
 
     def register(build: Callable[[Domain], DataFrame]):
-        CASES[name] = Case(name, lambda spark, folder: build(Domain(spark, folder)), sql)
+        CASES[name] = Case(name, lambda spark, folder: build(registered_domain(spark, folder)), sql)
         return build
 
     return register
@@ -108,29 +106,44 @@ class Domain:
     def fct_usage(self) -> DataFrame:
         return product.fct_usage_v1(product.stg_product__usage(self.staged("lineitem")))
 
-    def _source_state(self) -> tuple:
+    def source_state(self) -> str:
         """The caller's snapshot id, or else a digest of name, size and change time of every source
         file; lists them, reads none."""
         if self.snapshot is not None:
-            return (self.snapshot,)
+            return self.snapshot
         paths = [f"{self.folder}/{t}.parquet" for t in ("customer", "lineitem", "orders")]
         files = self.spark.read.format("binaryFile").load(paths)
         file = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
-        return tuple(files.agg(F.expr("count(*)"), F.sum(file)).first())
+        return str(tuple(files.agg(F.expr("count(*)"), F.sum(file)).first()))
 
     def published(self) -> Published:
-        """Marts stored as tables: built on first use in a session, read from then on, and built
-        anew when the source files change."""
+        """Marts stored as catalog tables: built on first use, read from then on, by other sessions and
+        applications too, and built anew when the source files or the models' code change."""
         if self._marts is None:
-            key = (self.spark.sparkContext.applicationId, self.folder, self._source_state())
-            if key not in _PUBLISHED:
-                _PUBLISHED[key] = f"{shared_folder(self.spark)}/marts-{uuid.uuid4().hex}"
-            self._marts = Published(self, _PUBLISHED[key])
+            state = snapshot_id(self.folder, self.source_state(), code_digest())
+            self._marts = Published(self, MartStore(self.spark, state))
         return self._marts
 
 
-_PUBLISHED: dict[tuple, str] = {}
-_STORED: set[tuple[str, str]] = set()
+_STATES: dict[tuple[str, str], str] = {}
+
+
+def registered_domain(spark: SparkSession, folder: str) -> Domain:
+    """A domain for a registered query. Its folders hold fixed tables, so their files are listed once per
+    application; ``Domain`` itself lists them each time."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _STATES:
+        _STATES[key] = Domain(spark, folder).source_state()
+    return Domain(spark, folder, _STATES[key])
+
+
+def build_marts(d: Domain) -> list[str]:
+    """Builds whatever published mart is not there yet; the names of the tables."""
+    marts = d.published()
+    for build in (marts.fct_orders, marts.dim_customers, marts.fct_revenue, marts.fct_attribution,
+                  marts.fct_usage, marts.enriched, marts.partsupp):
+        build()
+    return [marts.store.table_of(*key) for key in marts.used]
 
 
 class Published:
@@ -140,9 +153,10 @@ class Published:
     customer history and everything downstream of either.
     """
 
-    def __init__(self, domain: Domain, folder: str):
+    def __init__(self, domain: Domain, store: MartStore):
         self.domain = domain
-        self.folder = folder
+        self.store = store
+        self.used: list[tuple[str, int | None]] = []
 
     def _stored(
         self,
@@ -151,11 +165,9 @@ class Published:
         build: Callable[[], DataFrame],
         sort_by: str | None = None,
     ) -> DataFrame:
-        table = name if version is None else f"{name}_v{version}"
-        if (self.folder, table) not in _STORED:
-            write_table(build(), table, self.folder, sort_by=sort_by)
-            _STORED.add((self.folder, table))
-        return read_contract(self.domain.spark, name, version, self.folder)
+        if (name, version) not in self.used:
+            self.used.append((name, version))
+        return self.store.publish(name, version, build, sort_by)
 
     def rollup(self) -> DataFrame:
         return self._stored("order_rollup", None, self.domain.rollup)

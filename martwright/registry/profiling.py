@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from martwright.functions import strip_prefix
 from martwright.operators.checks import run_checks
+from martwright.operators.contracts import type_names
 from martwright.operators.profiling import (
     TYPE_BY_NAME,
     key_index,
@@ -294,6 +295,25 @@ case(
     from events""",
 )(lambda d: auto_stage(d.table("events"), "events"))
 
+_RAW = "case kind when 'VARCHAR' then 'string' when 'INTEGER' then 'int' when 'TIMESTAMP' then 'timestamp_ntz' else lower(kind) end"
+_CONTRACT = "case kind when 'VARCHAR' then 'varchar' when 'DOUBLE' then 'float' when 'TIMESTAMP' then 'timestamp_ntz' else 'number' end"
+_CAST = "case kind when 'VARCHAR' then 'varchar' when 'DOUBLE' then 'float' when 'TIMESTAMP' then 'timestamp_ntz' else lower(kind) end"
+_TYPES_SQL = "\nunion all ".join(
+    f"select '{table}' as table_name, '{column}' as column_name, {ordinal} as ordinal, {_RAW} as raw_type,"
+    f" {_CONTRACT} as contract_type, {_CAST} as cast_name, {_RAW} as spark_type, row_count"
+    f" from (select any_value(typeof({column})) as kind, count(*) as row_count from {table})"
+    for table, columns in COLUMNS.items()
+    for ordinal, (column, _) in enumerate(columns, start=1)
+)
+
+
+@case("type_names", _TYPES_SQL)
+def typed(d):
+    """The names of every stored column's type, beside the rows they hold for."""
+    tables = {t: d.table(t) for t in COLUMNS}
+    return type_names(d.spark, tables).join(row_counts(tables), "table_name")
+
+
 _ALL_TABLES = [
     "benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels",
     "lineitem", "nation", "orders", "pages", "part", "region", "supplier",

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martwright.operators import catalog
 from martwright.operators.checks import Check, failing_rows
 from martwright.registry.base import CASES, Domain, case
+from martwright.registry.sqltext import sql
 from martwright.schemas import CONTRACTS
 from martwright.session import shared_folder
 from martwright.sources.proxies import generated_catalog
@@ -49,3 +52,25 @@ def report(d):
     write_report(catalog.ranked(scores), catalog.summary, folder)
     rows = d.spark.read.schema(scores.schema).json(f"{folder}/rows")
     return rows.withColumn("issues", F.concat_ws("; ", "issues"))
+
+
+_MARTS = {"fct_orders": "fact", "dim_customers": "dim", "fct_revenue": "revenue", "fct_attribution": "attribution",
+          "fct_usage": "usage_month"}
+_RESULTS_SQL = "\n union all ".join(
+    f"select '{mart}' as mart, '{c.name}' as column_name, count(*) as row_count,"
+    f" count(*) - count({c.name}) as null_count, cast(min({c.name}) as varchar) as least,"
+    f" cast(max({c.name}) as varchar) as greatest from {_MARTS[mart]}"
+    for mart in _MARTS
+    for c in CONTRACTS[f"{mart}_v1"].columns
+)
+
+
+@case("sink_mart_results", sql(_RESULTS_SQL))
+def mart_results(d):
+    """Rows, NULLs, least and greatest values of the stored marts, as observed while they were written."""
+    marts = d.published()
+    parts = []
+    for mart in _MARTS:
+        getattr(marts, mart)()
+        parts.append(marts.store.results(mart, 1).drop("ordinal").select(F.lit(mart).alias("mart"), "*"))
+    return reduce(DataFrame.unionByName, parts)

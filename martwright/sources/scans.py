@@ -24,10 +24,17 @@ def read_source(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def read_contract(
-    spark: SparkSession, name: str, version: int | None = None, folder: str | None = None
+    spark: SparkSession,
+    name: str,
+    version: int | None = None,
+    folder: str | None = None,
+    snapshot: str | None = None,
 ) -> DataFrame:
-    """Another domain's published table, by catalog name or below a folder, at a pinned version."""
+    """Another domain's published table at a pinned version: by catalog name (``contracts.orders_v1`` is the
+    newest build), at a pinned snapshot of its sources too, or below a folder."""
     table = name if version is None else f"{name}_v{version}"
+    if snapshot is not None:
+        table = f"{table}__{snapshot}"
     if folder is None:
         return spark.table(table)
     return spark.read.parquet(f"{folder}/{table}")

@@ -1,6 +1,7 @@
 """Branches of the models that the generated data never reaches."""
 
 import datetime as dt
+import uuid
 from decimal import Decimal as D
 
 import pytest
@@ -12,7 +13,8 @@ from martwright.plans.analytics import fct_orders_enriched
 from martwright.plans.staging import auto_stage, stg_tpch__lineitem
 from martwright.registry.base import Domain
 from martwright.schemas import RAW
-from martwright.sources.scans import conform, read_source
+from martwright.sources import store
+from martwright.sources.scans import conform, read_contract, read_source
 
 ORDERS = (
     "orderkey long, custkey long, orderstatus string, totalprice decimal(18,2), orderdate date,"
@@ -278,22 +280,92 @@ def test_auto_stage(frame):
     assert auto_stage(odd, "event").first()["c.d"] == "x"
 
 
-def test_stored_marts_follow_their_sources(spark, tmp_path):
-    """The same folder with other files gives other marts; unchanged files give the stored ones."""
-    folder = str(tmp_path)
+def _copy(spark, folder, share):
+    for table in ("customer", "orders", "lineitem"):
+        rows = spark.read.parquet(f"{TINY}/{table}.parquet")
+        if table == "lineitem":
+            rows = rows.filter(f"l_orderkey < {share}")
+        rows.write.mode("overwrite").parquet(f"{folder}/{table}.parquet")
+
+
+def _jobs(spark, run):
+    """Number of Spark jobs that ``run`` starts."""
+    group = f"jobs-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
 
-    def copy(share):
-        for table in ("customer", "orders", "lineitem"):
-            rows = spark.read.parquet(f"{TINY}/{table}.parquet")
-            if table == "lineitem":
-                rows = rows.filter(f"l_orderkey < {share}")
-            rows.write.mode("overwrite").parquet(f"{folder}/{table}.parquet")
 
-    copy(500)
+def test_changed_sources_make_a_new_build_and_the_old_one_stays(spark, tmp_path):
+    folder = str(tmp_path)
+    _copy(spark, folder, 500)
     first = Domain(spark, folder).published()
-    few = first.enriched().count()
-    assert Domain(spark, folder).published().folder == first.folder
-    copy(1000)
+    few = first.fct_orders().count()
+    assert Domain(spark, folder).published().store.snapshot == first.store.snapshot
+    assert read_contract(spark, "contracts.fct_orders", 1).count() == few
+    _copy(spark, folder, 1000)
     again = Domain(spark, folder).published()
-    assert again.folder != first.folder
-    assert few < again.enriched().count() == Domain(spark, folder).fct_orders().count()
+    many = again.fct_orders().count()
+    assert few < many == Domain(spark, folder).fct_orders().count()
+    newest, old = read_contract(spark, "contracts.fct_orders", 1), read_contract(
+        spark, "contracts.fct_orders", 1, snapshot=first.store.snapshot
+    )
+    assert (newest.count(), old.count()) == (many, few)
+    tables = store.builds(spark, "fct_orders", 1)
+    assert {first.store.table_of("fct_orders", 1), again.store.table_of("fct_orders", 1)} <= set(tables)
+    about = store.properties(spark, "contracts.fct_orders_v1")
+    assert about[store.SNAPSHOT] == again.store.snapshot and about[store.CONTRACT] == "fct_orders"
+
+
+def test_a_second_session_or_application_builds_nothing(spark, tmp_path):
+    folder = str(tmp_path)
+    _copy(spark, folder, 300)
+    marts = Domain(spark, folder, "first").published()
+    want = sorted(map(str, marts.fct_orders().collect()))
+    other = Domain(spark.newSession(), folder, "first").published()
+    assert sorted(map(str, other.fct_orders().collect())) == want
+    # an application with a catalog of its own finds the files
+    table = marts.store.table_of("fct_orders", 1)
+    for name in (table, f"{table}__results"):
+        spark.sql(f"DROP TABLE {name}")
+    assert not spark.catalog.tableExists(table)
+
+    def fail():
+        raise AssertionError("built again")
+
+    found = store.MartStore(spark, marts.store.snapshot).publish("fct_orders", 1, fail)
+    assert sorted(map(str, found.collect())) == want
+    assert store.properties(spark, table)[store.SNAPSHOT] == marts.store.snapshot
+    assert Domain(spark, folder, "second").published().store.snapshot != marts.store.snapshot
+
+
+def test_a_build_that_broke_off_is_made_again(spark, frame):
+    one = store.MartStore(spark, "broken")
+
+    def breaks():
+        return spark.range(10).selectExpr("if(id = 7, raise_error('stop'), id) as id")
+
+    with pytest.raises(Exception, match="stop"):
+        one.publish("t", 1, breaks).count()
+    assert not one.known("t", 1)
+    assert one.publish("t", 1, lambda: spark.range(3).toDF("id")).count() == 3
+
+
+def test_rows_are_observed_while_they_are_written(spark, frame):
+    one = store.MartStore(spark, "observed")
+    day = dt.date(2020, 1, 2)
+    rows = frame(
+        [(1, "b", day, None, [1], D("1.50")), (None, "a", None, None, None, D("-2"))],
+        "k long, `a b` string, d date, none int, list array<int>, m decimal(9,2)",
+    )
+    assert _jobs(spark, lambda: one.publish("t", 1, lambda: rows)) <= 3  # the write, the results, no scan
+    got = {r["column_name"]: tuple(r)[1:] for r in one.results("t", 1).collect()}
+    assert got == {
+        "k": (1, 2, 1, "1", "1"), "a b": (2, 2, 0, "a", "b"), "d": (3, 2, 1, "2020-01-02", "2020-01-02"),
+        "none": (4, 2, 2, None, None), "list": (5, 2, 1, None, None), "m": (6, 2, 0, "-2.00", "1.50"),
+    }
+    empty = one.publish("e", None, lambda: rows.where("false"))
+    assert empty.count() == 0 and [r["row_count"] for r in one.results("e", None).collect()] == [0] * 6

@@ -1,7 +1,8 @@
 import datetime as dt
+from decimal import Decimal
 
 import pytest
-from helpers import as_dicts
+from helpers import TINY, as_dicts
 from pyspark.sql import functions as F
 
 from martwright.operators import profiling as pr
@@ -44,6 +45,36 @@ def test_null_beside_distinct_values_is_not_unique(frame):
     assert (row["null_count"], row["distinct_count"], row["is_unique"]) == (1, 2, False)
 
 
+def test_values_of_every_type_are_told_apart(frame):
+    nan = float("nan")
+    rows = [
+        (0.0, 1.5, Decimal("1.10"), Decimal(10) ** 30, [1, 2], b"\x00", "a", True, dt.datetime(2020, 1, 1), (1, "x")),
+        (-0.0, nan, Decimal("1.1"), Decimal("1000000000000000000000000000001"), [1], b"", "", False, dt.datetime(2020, 1, 1, 1), (1, "y")),
+        (nan, nan, None, None, None, None, "a ", None, None, None),
+        (-1.0, None, Decimal("-1.1"), Decimal(10) ** 30, [2, 1], b"\x00\x00", None, True, None, (1, "x")),
+    ]
+    df = frame(
+        rows,
+        "`f loat` float, `d.ouble` double, small decimal(9,2), wide decimal(38,2), list array<int>, raw binary, `t``ext` string,"
+        " flag boolean, at timestamp, pair struct<a int, b string>",
+    )
+    plain = {c: n for c, n in zip(df.columns, df.agg(*[F.count_distinct(F.col(f"`{c.replace('`', '``')}`")) for c in df.columns]).first())}
+    for width in (1, 30, 10_000):  # a column a scan, a few, all
+        got = {r["column_name"]: r for r in pr.profile_tables({"t": df}, width).collect()}
+        assert {c: r["distinct_count"] for c, r in got.items()} == plain
+        assert [got[c]["null_count"] for c in df.columns] == [0, 1, 1, 1, 1, 1, 1, 1, 2, 1]
+        assert all(r["row_count"] == 4 for r in got.values())
+    assert plain["f loat"] == 3 and plain["wide"] == 2
+
+
+def test_a_table_is_read_once_and_shuffled_once(spark):
+    lines = spark.read.parquet(f"{TINY}/lineitem.parquet")
+    plan = pr.profile(lines, "lineitem")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") + plan.count("FileScan") <= 2
+    assert plan.count("Exchange hashpartitioning(i") == 2  # by column and code, then the closing one
+    assert "partial_count" in plan and "Window" not in plan
+
+
 def test_samples(table):
     profiled = pr.profile(table, "items")
     got = {r["column_name"]: r["sample_values"]
@@ -104,7 +135,6 @@ def test_static_checks(spark, frame):
      ("created_at", "date"), ("tax", "varchar")],
 )
 def test_guessed_types(frame, name, want):
-    assert pr.infer_type_from_name(name) == want
     df = frame([(name,)], "n string")
     assert df.select(pr.inferred_type(F.col("n"))).first()[0] == want
 
