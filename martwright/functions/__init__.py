@@ -17,6 +17,7 @@ from martwright.functions.scalar import (
     surrogate_key,
     text_length,
     to_cents,
+    value_codes,
     word_count,
     year_of,
 )
@@ -38,6 +39,7 @@ __all__ = [
     "surrogate_key",
     "text_length",
     "to_cents",
+    "value_codes",
     "word_count",
     "year_of",
 ]

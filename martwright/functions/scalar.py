@@ -7,6 +7,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: stands in for NULL inside a surrogate key, so NULL and '' give different keys.
 NULL_KEY_PART = "_dbt_utils_surrogate_key_null_"
@@ -128,3 +129,16 @@ def has_words(text: Column | str, n: int) -> Column:
 def text_length(text: Column | str) -> Column:
     """Length without leading and trailing white space; 0 for NULL."""
     return F.coalesce(F.length(F.trim(_col(text), F.lit(WHITESPACE))), F.lit(0)).cast("long")
+
+
+_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def value_codes(value: str, kind: T.DataType) -> tuple[str, str]:
+    """SQL of two longs that tell the values of an expression of a type apart.
+
+    XXH64 maps values of up to 8 bytes one to one, so the first long is exact there and the second is 0.
+    Other values take a second hash with another seed: 128 bits together.
+    """
+    narrow = kind.precision <= 18 if isinstance(kind, T.DecimalType) else isinstance(kind, _FIXED_WIDTH)
+    return f"xxhash64({value})", "0L" if narrow else f"xxhash64(7, {value})"

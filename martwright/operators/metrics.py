@@ -273,6 +273,23 @@ def fill_gaps(result: DataFrame, spine: DataFrame, time_name: str, grain: str =
     return periods.join(result, time_name, "full").select(*result.columns)
 
 
+# The step from one period to the next.
+STEPS = {"day": "1 day", "week": "7 days", "month": "1 month", "quarter": "3 months", "year": "1 year"}
+
+
+def fill_gaps_by_group(result: DataFrame, time_name: str, groups: list[str], grain: str = "day") -> DataFrame:
+    """A row for every period between a group's own first and last, which loses none of the rows.
+
+    Only the bounds of each group are aggregated; its periods are made from them, so no table of periods
+    is crossed with the groups. Periods without data carry NULL metrics; rows without time stay as they are.
+    """
+    dated = result.where(F.col(time_name).isNotNull()).groupBy(*groups)
+    bounds = dated.agg(F.min(time_name).alias("first_period"), F.max(time_name).alias("last_period"))
+    every = F.sequence("first_period", "last_period", F.expr(f"interval {STEPS[grain]}"))
+    periods = bounds.select(*groups, F.explode(every).alias(time_name))
+    return side_by_side([periods, result], [*groups, time_name]).select(*result.columns)
+
+
 def flag_discount_rate(result: DataFrame, limit: float = DISCOUNT_RATE_LIMIT) -> DataFrame:
     """Marks the groups whose discount rate is above the governed limit."""
     over = F.col("discount_rate") > F.lit(limit)

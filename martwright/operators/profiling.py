@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martwright.functions import value_codes
 from martwright.operators.checks import Check
 
 MAX_CARDINALITY = 10  # most distinct values a column may have to be listed
@@ -63,23 +64,17 @@ def contract_type(kind: T.DataType) -> str:
 
 #: Bytes that a row may be widened to while its columns' values are told apart: columns of one scan.
 BATCH_BYTES = 256
-_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def _value_codes(name: str, kind: T.DataType) -> tuple[list[str], int]:
-    """Two longs that tell the values of a column apart, and their width in bytes.
-
-    XXH64 maps values of up to 8 bytes one to one, so the first long is exact there. Other values take a
-    second hash with another seed: 128 bits together. NULL has no first long.
-    """
+    """Two longs that tell the values of a column apart, the first NULL for NULL, and their bytes."""
     value = f"`{name.replace('`', '``')}`"
-    narrow = kind.precision <= 18 if isinstance(kind, T.DecimalType) else isinstance(kind, _FIXED_WIDTH)
-    if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
-        hashed = f"{value} + 0"  # one zero
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        hashed = f"({value} + 0)"  # one zero
     else:
         hashed = value
-    first = f"if({value} is null, null, xxhash64({hashed}))"
-    return [first, "0L" if narrow else f"xxhash64(7, {hashed})"], 12 if narrow else 20
+    first, second = value_codes(hashed, kind)
+    return [f"if({value} is null, null, {first})", second], 12 if second == "0L" else 20
 
 
 def _batches(fields: list[T.StructField], most: int) -> list[list[tuple[int, list[str]]]]:

@@ -10,6 +10,7 @@ from martwright.operators.metrics import (
     ORDERS,
     at_grain,
     fill_gaps,
+    fill_gaps_by_group,
     flag_discount_rate,
     list_metrics,
     query_metrics,
@@ -163,6 +164,22 @@ def daily_gap_filled(d):
     return fill_gaps(daily, spine, "metric_time__day")
 
 
+@case(
+    "metric_segment_days_gap_filled",
+    sql(f"""
+        select s.segment as order__market_segment, cast(s.day as date) as metric_time__day, m.gross_revenue, m.order_count
+        from (select market_segment as segment, unnest(generate_series(cast(min(order_date) as timestamp),
+                     cast(max(order_date) as timestamp), interval 1 day)) as day
+              from enriched group by 1) s
+        left join (select market_segment, order_date, {GROSS}, {ORDER_COUNT} from enriched group by 1, 2) m
+          on m.market_segment is not distinct from s.segment and m.order_date = cast(s.day as date)"""),
+)
+def segment_days_gap_filled(d):
+    keys = ["order__market_segment", "metric_time__day"]
+    daily = query_metrics(d.published().enriched(), ["gross_revenue", "order_count"], keys)
+    return fill_gaps_by_group(daily, "metric_time__day", ["order__market_segment"])
+
+
 @case(
     "metric_discount_flag",
     sql(f"""

@@ -9,14 +9,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martwright.operators import catalog
-from martwright.operators.checks import Check, failing_rows
+from martwright.operators.checks import Check, failing_rows, suite_failures
+from martwright.plans.suites import checks_of
 from martwright.registry.base import CASES, Domain, case
+from martwright.registry.checks import SKIPPED, TABLES
 from martwright.registry.sqltext import sql
 from martwright.schemas import CONTRACTS
 from martwright.session import shared_folder
 from martwright.sources.proxies import generated_catalog
 from martwright.sources.scans import read_contract
-from martwright.sources.sinks import as_view, store_failures, write_report, write_table
+from martwright.sources.sinks import as_view, store_failures, store_suite_failures, write_report, write_table
 
 
 def _folder(d: Domain, kind: str) -> str:
@@ -45,6 +47,43 @@ def failures(d):
     return d.spark.read.parquet(f"{folder}/{check.name}")
 
 
+def _stored_failures_sql(checks: list[Check]) -> str:
+    """Per check that fails: entries stored, rows behind them, and the failures the suite counts."""
+    parts = []
+    for check in checks:
+        if check.column in SKIPPED.get(check.table, ()):
+            continue
+        table, c = TABLES[check.table][1], check.column
+        if check.kind == "relationships":
+            parent = f"select {check.parent_column} from {TABLES[check.parent][1]} where {check.parent_column} is not null"
+            bad = f"select {c} as v, count(*) as n from {table} where {c} is not null and {c} not in ({parent}) group by 1"
+        elif check.kind == "unique":
+            bad = f"select {c} as v, count(*) as n from {table} where {c} is not null group by 1 having count(*) > 1"
+        elif check.kind == "accepted_values":
+            listed = ", ".join(f"'{v}'" for v in check.values)
+            bad = f"select {c} as v, count(*) as n from {table} where {c} not in ({listed}) group by 1"
+        else:
+            bad = f"select t as v, count(*) as n from {table} as t where {c} is null group by t"
+        parts.append(
+            f"select '{check.name}' as check_name, count(*) as entries, cast(sum(n) as bigint) as n_records from ({bad})"
+            " having count(*) > 0"
+        )
+    return sql("\n union all ".join(parts))
+
+
+_SUITE = [c for c in checks_of("platform", "commercial_staging") if c.kind != "not_null"]
+
+
+@case("sink_suite_failures", _stored_failures_sql(_SUITE))
+def suite_rows(d):
+    """What fails in the suites, stored in one write by check, and counted from there."""
+    folder = _folder(d, "suite")
+    names = {c.table for c in _SUITE} | {c.parent for c in _SUITE if c.parent}
+    store_suite_failures(suite_failures({n: TABLES[n][0](d) for n in sorted(names)}, _SUITE), folder)
+    stored = d.spark.read.parquet(folder)
+    return stored.groupBy("check_name").agg(F.count(F.lit(1)).alias("entries"), F.sum("n_records").alias("n_records"))
+
+
 @case("sink_scorecard_report", CASES["catalog_scorecard"].sql)
 def report(d):
     folder = _folder(d, "report")

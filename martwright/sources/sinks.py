@@ -60,6 +60,11 @@ def store_failures(failing_rows: DataFrame, folder: str, check: str) -> None:
     failing_rows.write.mode("overwrite").parquet(f"{folder}/{check}")
 
 
+def store_suite_failures(failures: DataFrame, folder: str) -> None:
+    """Keep what failed in a whole suite, in one write, with a folder per check."""
+    failures.write.mode("overwrite").partitionBy("check_name").parquet(folder)
+
+
 def write_report(
     rows: DataFrame, summarise: Callable[[DataFrame], DataFrame], folder: str
 ) -> None:

@@ -1,7 +1,8 @@
 import datetime as dt
+from decimal import Decimal as D
 
 import pytest
-from helpers import as_dicts
+from helpers import TINY, as_dicts
 from pyspark.sql import functions as F
 
 from martwright.operators.checks import (
@@ -9,6 +10,7 @@ from martwright.operators.checks import (
     contract_checks,
     failing_rows,
     run_checks,
+    suite_failures,
     suite_status,
 )
 from martwright.operators.contracts import (
@@ -26,7 +28,7 @@ from martwright.operators.contracts import (
 from martwright.operators.freshness import freshness
 from martwright.plans.suites import SUITES, all_checks
 from martwright.schemas import CONTRACTS, Contract, ContractColumn
-from martwright.sources.sinks import as_view, store_failures, write_report, write_table
+from martwright.sources.sinks import as_view, store_failures, store_suite_failures, write_report, write_table
 from martwright.sources.scans import read_contract
 
 
@@ -356,3 +358,51 @@ def test_sessions_without_ansi_are_refused(spark):
             Domain(spark, "nowhere")
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_suite_failures_hold_what_the_suite_counts(frame, spark, tmp_path):
+    child = frame(
+        [(1, "a", 1.0, 1), (1, "b", 2.0, 2), (2, None, -0.0, 9), (None, None, 0.0, 9), (3, "z", None, None), (3, "z", None, None)],
+        "k int, letter string, amount double, ref int",
+    )
+    parent = frame([(D("1.00"),), (D("2.50"),), (None,)], "id decimal(9,2)")
+    checks = [
+        Check("not_null", "child", "letter"),
+        Check("unique", "child", "k"),
+        Check("unique", "child", "amount"),
+        Check("accepted_values", "child", "letter", values=("a", "b")),
+        Check("relationships", "child", "ref", parent="parent", parent_column="id"),
+        Check("relationships", "child", "k", parent="child", parent_column="k"),
+        Check("not_null", "child", "nowhere"),
+    ]
+    tables = {"child": child, "parent": parent}
+    found = suite_failures(tables, checks)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    store_suite_failures(found, str(tmp_path / "failures"))
+    rows = spark.read.parquet(str(tmp_path / "failures")).collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r["check_name"], {})[r["row"] or r["value"]] = r["n_records"]
+    assert got == {
+        "not_null_child_letter": {'{"k":2,"amount":-0.0,"ref":9}': 1, '{"amount":0.0,"ref":9}': 1},
+        "unique_child_k": {"1": 2, "3": 2},
+        "unique_child_amount": {"0.0": 2},
+        "accepted_values_child_letter": {"z": 2},
+        "relationships_child_ref": {"2.000000000000": 1, "9.000000000000": 2},
+    }
+    counted = {r["check_name"]: r["failures"] for r in run_checks(tables, checks).collect()}
+    assert counted == {
+        "not_null_child_letter": 2, "unique_child_k": 2, "unique_child_amount": 1, "accepted_values_child_letter": 1,
+        "relationships_child_ref": 3, "relationships_child_k": 0, "not_null_child_nowhere": None,
+    }
+
+
+def test_a_suite_reads_each_table_once(spark):
+    from martwright.plans.suites import checks_of
+    from martwright.registry.base import Domain
+    from martwright.registry.checks import run_suite
+
+    plan = run_suite(Domain(spark, TINY), checks_of("commercial_staging"))._jdf.queryExecution().executedPlan().toString()
+    tables = {c.table for c in checks_of("commercial_staging")} | {c.parent for c in checks_of("commercial_staging") if c.parent}
+    assert plan.count("FileScan parquet") <= len(tables) and "Join" not in plan

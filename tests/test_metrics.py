@@ -181,3 +181,18 @@ def test_where_takes_grains_and_leaves_texts_alone(spark):
     ):
         got = query_metrics(mart, ["order_count"], where=where).first()
         assert got["order_count"] == n, where
+
+
+def test_gaps_are_filled_within_each_group(frame):
+    import datetime as dt
+
+    from martwright.operators.metrics import fill_gaps_by_group
+
+    day = lambda m, d=1: dt.date(2020, m, d)
+    rows = [("a", day(1), 1), ("a", day(4), 2), (None, day(2), 3), (None, day(3), 4), ("b", None, 5), ("b", day(6), 6)]
+    df = frame(rows, "g string, month date, n int")
+    got = {(r["g"], r["month"]): r["n"] for r in fill_gaps_by_group(df, "month", ["g"], "month").collect()}
+    assert got == {(g, m): n for g, m, n in rows} | {("a", day(2)): None, ("a", day(3)): None}
+    plan = fill_gaps_by_group(df, "month", ["g"], "month")._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    assert fill_gaps_by_group(df.where("false"), "month", ["g"], "month").isEmpty()
