@@ -5,7 +5,9 @@ its leading comment and the whole text; comment marks are no terms, and lines wi
 paragraphs but not runs. Units are term vectors weighted by inverse document frequency over all
 files and the templates. The terms that a unit needs at least one of to reach the threshold follow from
 the weights (``needed``), and a bound on the cosine drops most units before their norms are computed; both
-drop only units that cannot match. A file takes the best template at or above the threshold. Files named like
+drop only units that cannot match. A file takes the best template at or above the threshold; versions and
+families of one licence have templates of their own, whose differing words decide. A licence named by its
+standard identifier is taken at its word. Files named like
 licence files speak for their directory; a file without a licence of its own inherits from the nearest
 ancestor directory that has one, found by joining directory paths.
 
@@ -45,8 +47,28 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
         "General Public License as published by the Free Software Foundation, either version 3 of the License",
     ),
     ("GPL-2.0", "Licensed under the GNU General Public License, version 2."),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+        "General Public License as published by the Free Software Foundation; either version 2 of the License",
+    ),
     ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
+    (
+        "LGPL-3.0",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License",
+    ),
+    (
+        "LGPL-2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License",
+    ),
     ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License",
+    ),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
@@ -54,18 +76,26 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"),
     ("CC0-1.0", "CC0 1.0 Universal Public Domain Dedication"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose is hereby granted"),
 )
+# The clause that makes a two-clause licence a three-clause one, and identifiers by their
+# usual spelling without what tells later versions.
+THIRD_CLAUSE = (r"(?s)\bneither the names?\W+of\b", "BSD-2-Clause", "BSD-3-Clause")
+IDENTIFIERS = (
+    "MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "BSD-2-Clause", "BSD-3-Clause",
+    "MPL-2.0", "ISC", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0",
+)
+IDENTIFIED = r"spdx-license-identifier:[ \t]*\(?([a-z0-9.-]+)"
 TERM = r"[a-z0-9]+(\.[0-9]+)*"
 THRESHOLD = 0.7
 #: Comment marks that would read as terms, and lines that belong to a leading comment.
 WORD_MARK = r"(?m)^[ \t]*(?:rem|dnl)\b"
 COMMENT = r"^\s*(?:$|//|/\*|\*|#|--|;|%|!|\"|'|<!--|\(\*|\{-|\.\.|rem\b|dnl\b)"
 BLOCK_COMMENT = r"(?s)\A\s*(?:/\*.*?\*/|<!--.*?-->|\"{3}.*?\"{3}|'{3}.*?'{3}|\(\*.*?\*\)|\{-.*?-\})"
-LICENCE_FILE = r"(^|/)(LICEN[CS]E|COPYING|NOTICE|index)[^/]*$"
+LICENCE_FILE = r"(?i)(^|/)(?:un)?(licen[cs]e|copying|notice)([._-][^/]*)?$"
 
 
 def terms(text: str) -> list[str]:
@@ -121,14 +151,28 @@ def all_terms(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
 
 
+def identified(texts: DataFrame) -> DataFrame:
+    """(path, license, score, whole) of the files of lower-case ``texts`` whose lines name a known licence by
+    its identifier; the first name, if several."""
+    tag = F.regexp_extract("text", IDENTIFIED, 1)
+    tag = F.regexp_replace(tag, r"(-only|-or-later|\+)$|\.$", "")
+    names = F.create_map(*[F.lit(x) for name in IDENTIFIERS for x in (name.lower(), name)])
+    named = texts.where(F.contains("text", F.lit("spdx-license-identifier:"))).select("path", names[tag].alias("license"))
+    return named.where("license is not null").groupBy("path").agg(
+        F.min("license").alias("license"), F.lit(1.0).alias("score"), F.lit(False).alias("whole")
+    )
+
+
 def units(texts: DataFrame, anchors: Column) -> DataFrame:
-    """(path, whole, terms): units of lower-case ``texts`` (path, text) that hold one of ``anchors``.
+    """(path, third, whole, terms): units of lower-case ``texts`` (path, text) that hold one of ``anchors``.
 
     Split texts are columns of their own, so that no step cuts a text again for each line of it.
     """
     holds = lambda ts: F.arrays_overlap(ts, anchors)
     bare = F.regexp_replace(F.regexp_replace("text", r"\r\n?", "\n"), WORD_MARK, "")
-    texts = texts.withColumn("bare", F.regexp_replace(bare, r"(?m)^[^a-z0-9\n]+$", ""))
+    texts = texts.withColumns(
+        {"bare": F.regexp_replace(bare, r"(?m)^[^a-z0-9\n]+$", ""), "third": F.col("text").rlike(THIRD_CLAUSE[0])}
+    )
     lines = F.filter(F.transform(F.split("bare", "\n"), all_terms), lambda ts: F.size(ts) > 0)
     texts = texts.withColumns({"lines": lines, "raw": F.split("text", r"\r\n?|\n")})
     code = F.array_position(F.transform("raw", lambda x: ~x.rlike(COMMENT)), True)
@@ -141,7 +185,7 @@ def units(texts: DataFrame, anchors: Column) -> DataFrame:
     near = F.when(F.size("held") > 0, near).otherwise(F.expr("CAST(array() AS array<int>)"))
     # shorter lines and paragraphs are runs
     given = F.concat(F.filter(F.concat("lines", paragraphs), lambda ts: F.size(ts) > RUN), lead)
-    texts = texts.select("path", "text", "lines", near.alias("near"), given.alias("given"))
+    texts = texts.select("path", "text", "third", "lines", near.alias("near"), given.alias("given"))
     start = F.expr("named_struct('now', CAST(array() AS array<string>), 'out', CAST(array() AS array<array<string>>), 'open', true)")
 
     def longer(state: Column, line: Column) -> Column:
@@ -153,8 +197,8 @@ def units(texts: DataFrame, anchors: Column) -> DataFrame:
 
     grow = lambda k: F.aggregate(F.slice("lines", k, RUN), start, longer, lambda s: F.filter(s["out"], holds))
     every = F.concat(F.array(all_terms(F.col("text"))), "given", F.flatten(F.transform("near", grow)))
-    found = texts.select("path", F.posexplode(every).alias("at", "terms"))
-    return found.where(holds(F.col("terms"))).select("path", (F.col("at") == 0).alias("whole"), "terms")
+    found = texts.select("path", "third", F.posexplode(every).alias("at", "terms"))
+    return found.where(holds(F.col("terms"))).select("path", "third", (F.col("at") == 0).alias("whole"), "terms")
 
 
 def likely(ts: Column, threshold: float, templates: Column) -> Column:
@@ -203,21 +247,25 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     some = texts.where(F.col("text").rlike(any_of(must)))
     maybe = likely(F.col("terms"), threshold, template_vectors(idf)).alias("likely")
     # the number beside it keeps the filter from computing the matches twice
-    each = units(some, anchors).select("path", "whole", "terms", maybe, F.monotonically_increasing_id().alias("unit"))
+    each = units(some, anchors).select("path", "third", "whole", "terms", maybe, F.monotonically_increasing_id().alias("unit"))
     each = stored(each.where(F.size("likely") > 0), "units")
     tf = each.select("unit", F.explode("terms").alias("term")).groupBy("unit", "term").agg(F.count(F.lit(1)).alias("f"))
     wanted = stored(each.select(F.explode("terms").alias("term")).distinct(), "terms")
-    words = texts.select(F.explode(F.array_distinct(all_terms(F.col("text")))).alias("term")).join(wanted, "term")
+    # counted before the join: a task sends each of its terms once, and no plan depends on the number wanted
+    words = texts.select(F.explode(F.array_distinct(all_terms(F.col("text")))).alias("term"))
+    words = words.groupBy("term").agg(F.count(F.lit(1)).alias("k")).hint("merge").join(wanted, "term")
     given = files.sparkSession.sql(values_sql(sorted(inside.items()), "term, inside"))
-    df = words.groupBy("term").agg(F.count(F.lit(1)).alias("k")).join(given, "term", "left")
+    df = words.join(given, "term", "left")
     weighed = df.select("term", inverse(F.lit(n), F.col("k") + F.coalesce("inside", F.lit(0)), F.log).alias("idf"))
     square = F.pow(F.col("f") * F.col("idf"), F.lit(2.0))
     norms = tf.join(weighed, "term").groupBy("unit").agg(F.sqrt(F.sum(square)).alias("norm"))
-    matches = each.select("unit", "path", "whole", F.inline("likely")).join(norms, "unit")
-    scored = matches.select("path", "whole", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
+    matches = each.select("unit", "path", "third", "whole", F.inline("likely")).join(norms, "unit")
+    license = F.when(F.col("third") & (F.col("license") == THIRD_CLAUSE[1]), THIRD_CLAUSE[2]).otherwise(F.col("license"))
+    scored = matches.select("path", "whole", license.alias("license"), F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
     scored = scored.where(F.col("score") >= threshold)
     # highest score first, then the first name
     first = F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("first")
+    scored = scored.unionByName(identified(texts))
     return scored.groupBy("path").agg(first, F.max("whole").alias("whole")).select(
         "path", "first.license", (-F.col("first.minus")).alias("score"), "whole"
     )
@@ -245,27 +293,27 @@ def inherit(files: DataFrame, threshold: float = THRESHOLD, licence_file: str =
     added = ["own_license", "own_score", "license", "inherited_from"]
     files = files.drop(*added)
     own = scan(files.select("path", "text"), threshold).select(
-        F.col("path").alias("own_path"), F.col("license").alias("own_license"), F.col("score").alias("own_score")
+        F.col("path").alias("scan__own_path"), F.col("license").alias("own_license"), F.col("score").alias("own_score")
     )
-    speaking = own.where(F.col("own_path").rlike(licence_file)).withColumn("speaks", directory(F.col("own_path")))
-    order = Window.partitionBy("speaks").orderBy(F.desc("own_score"), "own_license")
+    speaking = own.where(F.col("scan__own_path").rlike(licence_file)).withColumn("scan__speaks", directory(F.col("scan__own_path")))
+    order = Window.partitionBy("scan__speaks").orderBy(F.desc("own_score"), "own_license")
     speaking = speaking.withColumn("k", F.row_number().over(order)).where("k = 1")
-    speaking = speaking.select("speaks", F.col("own_license").alias("given"))
+    speaking = speaking.select("scan__speaks", F.col("own_license").alias("scan__given"))
     rest = files.drop("text")
     dirs = rest.select(directory(F.col("path")).alias("dir")).where("dir is not null").distinct()
     parts = F.split("dir", "/")
     above = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))
-    ancestors = dirs.select("dir", F.posexplode(F.array_distinct(above)).alias("level", "ancestor"))
-    met = ancestors.join(speaking, F.col("ancestor") == F.col("speaks"))
-    nearest = met.groupBy("dir").agg(F.max(F.struct("level", "ancestor", "given")).alias("n"))
-    nearest = nearest.select(F.col("dir").alias("of_dir"), F.col("n.ancestor").alias("ancestor"), "n.given")
-    rows = rest.join(own, F.col("path").eqNullSafe(F.col("own_path")), "left").drop("own_path")
-    rows = rows.join(nearest, directory(F.col("path")) == F.col("of_dir"), "left")
+    ancestors = dirs.select("dir", F.posexplode(F.array_distinct(above)).alias("level", "scan__ancestor"))
+    met = ancestors.join(speaking, F.col("scan__ancestor") == F.col("scan__speaks"))
+    nearest = met.groupBy("dir").agg(F.max(F.struct("level", "scan__ancestor", "scan__given")).alias("n"))
+    nearest = nearest.select(F.col("dir").alias("scan__of_dir"), F.col("n.scan__ancestor").alias("scan__ancestor"), "n.scan__given")
+    rows = rest.join(own, F.col("path").eqNullSafe(F.col("scan__own_path")), "left").drop("scan__own_path")
+    rows = rows.join(nearest, directory(F.col("path")) == F.col("scan__of_dir"), "left")
     lacks = F.col("own_license").isNull()
     return rows.select(
         *rest.columns,
         "own_license",
         "own_score",
-        F.coalesce("own_license", "given").alias("license"),
-        F.when(lacks, F.col("ancestor")).alias("inherited_from"),
+        F.coalesce("own_license", "scan__given").alias("license"),
+        F.when(lacks, F.col("scan__ancestor")).alias("inherited_from"),
     )

@@ -97,7 +97,7 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     digits = F.regexp_replace(F.col("doc_id").cast("string"), "(.)", "/$1")
     path = F.concat(F.coalesce("source", F.lit("none")), digits, F.lit("/index.txt"))
     files = documents(spark, folder).select("doc_id", path.alias("path"), "text")
-    return licences.inherit(files)
+    return licences.inherit(files, licence_file=r"(^|/)index[^/]*$")
 
 
 @query

@@ -2,7 +2,8 @@
 
 Byte-level and word BPE never join characters across a blank that follows a non-blank, so a text is
 cut there and each distinct piece is encoded once per worker by the tokenizers library; a bounded
-table remembers its ids. A text in which a piece ends in white space goes to the library whole.
+table remembers its ids. A text in which a piece ends in white space, or one that may hold the string of
+a special token, goes to the library whole.
 """
 
 from __future__ import annotations
@@ -14,6 +15,9 @@ from types import ModuleType
 
 import numpy as np
 
+#: All special tokens of the vocabularies begin so.
+SPECIAL = "<|"
+
 #: Pieces remembered by a worker before it starts anew; bounds its memory, not the result.
 REMEMBER = 500_000
 
@@ -58,7 +62,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.glued = glued
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4")
         self.known: dict[str, bytes | None] = {}
@@ -86,47 +89,55 @@ class Encoder:
         # a mark after a letter is a token sequence of its own, so the word before it is learned alone
         marked = {p for p in pieces - bad if p[-1:] in self.marks and _stays_letter(p[-2:-1])}
         todo = list(((pieces - bad - marked) | {p[:-1] for p in marked}).difference(self.known))
-        if not self.glued:
-            todo = self._learn_plain(todo)
-        texts = [" " + p if self.glued and p[0] != "\n" else p for p in todo]
-        done = self.tokenizer.encode(texts, is_pretokenized=True, add_special_tokens=False)
-        of = np.array(done.word_ids, np.int64)
-        self._keep(todo, done.ids, np.searchsorted(of, np.arange(len(todo)), "right"))
+        todo = self._learn_together(todo)
+        if todo:
+            done = self.tokenizer.encode([self._spaced(p) for p in todo], is_pretokenized=True, add_special_tokens=False)
+            of = np.array(done.word_ids, np.int64)
+            self._keep(todo, done.ids, np.searchsorted(of, np.arange(len(todo)), "right"))
         self.known.update((p, self.known[p[:-1]] + self.marks[p[-1]]) for p in marked)
         self.known.update(dict.fromkeys(bad))
 
+    def _spaced(self, piece: str) -> str:
+        """A piece with the blank that it carries."""
+        return " " + piece if self.glued and piece[0] != "\n" else piece
+
     def _keep(self, pieces: list[str], ids: list[int], ends: np.ndarray) -> None:
         packed = np.array(ids, self.dtype).tobytes()
         cuts = (ends * self.dtype.itemsize).tolist()
         self.known.update(zip(pieces, (packed[a:b] for a, b in zip([0, *cuts], cuts))))
 
-    def _learn_plain(self, pieces: list[str]) -> list[str]:
-        """Learn the pieces that the normalizer leaves as they are from one text of them all: the
-        library's fast call tells no offsets, but the tokens' bytes do. Returns the other pieces."""
-        plain = {p for p in pieces if _unchanged(p)}
-        if not plain:
+    def _learn_together(self, pieces: list[str]) -> list[str]:
+        """Learn pieces from one text of them all: the library's fast call tells no offsets, but the
+        tokens' bytes do, where no normalizer changes the piece. Returns the pieces still to be learned."""
+        texts = pieces if self.glued else [p for p in pieces if _unchanged(p)]
+        if not texts:
             return pieces
-        texts = list(plain)
-        fast = self.tokenizer.encode_batch_fast([" ".join(texts)], add_special_tokens=False)
-        ids = fast[0].ids
+        whole = ("" if self.glued else " ").join(map(self._spaced, texts))
+        ids = self.tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids
         reached = np.cumsum(self.n_bytes[ids])
-        wanted = np.cumsum([len(p.encode()) for p in texts])
+        wanted = np.cumsum([len(self._spaced(p).encode()) for p in texts])
         ends = np.searchsorted(reached, wanted, "right")
         if not np.array_equal(np.r_[0, reached][ends], wanted):
             return pieces  # some token is no plain stretch of text
         self._keep(texts, ids, ends)
-        return [p for p in pieces if p not in plain]
+        return [] if self.glued else list(set(pieces).difference(texts))
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        cut = [self._pieces(t or "") for t in texts]
-        fresh = set().union(*(p[1:-1] if self.glued else p for p in cut)).difference(self.known)
+        cut = [None if t and SPECIAL in t else self._pieces(t or "") for t in texts]
+        fresh = self._inner(cut).difference(self.known)
         if fresh:
             if len(self.known) + len(fresh) > REMEMBER:
-                fresh = set().union(*(p[1:-1] if self.glued else p for p in cut))
+                fresh = self._inner(cut)
             self._learn(fresh)
         return [np.frombuffer(self._joined(t or "", p), self.dtype) for t, p in zip(texts, cut)]
 
-    def _joined(self, text: str, pieces: list[str]) -> bytes:
+    def _inner(self, cut: list[list[str] | None]) -> set[str]:
+        """The distinct pieces; the first and last that carry blanks are encoded where they stand."""
+        return set().union(*(p[1:-1] if self.glued else p for p in cut if p is not None))
+
+    def _joined(self, text: str, pieces: list[str] | None) -> bytes:
+        if pieces is None:
+            return self._whole(text)
         if not self.glued:
             return b"".join(map(self.known.__getitem__, pieces))
         first, last = pieces[0], pieces[-1]

@@ -76,7 +76,7 @@ class WaveletMatrix:
         self.zeros, self.before, self.planes = [], [], []
         for _ in range(self.bits):
             self.zeros.append(int(take("<u8", 1)[0]))
-            self.before.append(take("<u4", blocks + 1))
+            self.before.append(take("<u4", blocks + 1).astype(np.int64))
             self.planes.append(take("u1", blocks * BLOCK // 8))
 
     def _ones(self, level: int, at: int) -> int:
@@ -120,26 +120,32 @@ class WaveletMatrix:
         """Position of occurrence ``k`` (from 0) of ``symbol``; IndexError if there are fewer."""
         if not 0 <= k < self.count(symbol):
             raise IndexError(k)
-        at = self._walk(symbol, 0)[0] + k
-        for level in range(self.bits - 1, -1, -1):
-            if symbol >> (self.bits - 1 - level) & 1:
-                at = self._select_bit(level, at - self.zeros[level], True)
-            else:
-                at = self._select_bit(level, at, False)
-        return at
+        return self._climb(symbol, np.array([self._walk(symbol, 0)[0] + k]))[0]
 
-    def _select_bit(self, level: int, k: int, one: bool) -> int:
-        """Position of bit ``k`` (from 0) that is set, or not set, in a plane."""
-        before = self.before[level].astype(np.int64)
+    def _select_bits(self, level: int, wanted: np.ndarray, one: bool) -> np.ndarray:
+        """Positions of the bits numbered ``wanted`` (from 0) that are set, or not set, in a plane."""
+        before = self.before[level]
         if not one:
             before = np.arange(len(before)) * BLOCK - before
-        block = int(np.searchsorted(before, k, "right")) - 1
-        low = block * BLOCK // 8
-        bits = np.unpackbits(self.planes[level][low : low + BLOCK // 8], bitorder="little")
-        return block * BLOCK + int(np.flatnonzero(bits == one)[k - before[block]])
+        block = np.searchsorted(before, wanted, "right") - 1
+        cells = block[:, None] * (BLOCK // 8) + np.arange(BLOCK // 8)
+        bits = np.unpackbits(self.planes[level][cells], axis=1, bitorder="little") == one
+        inside = (np.cumsum(bits, axis=1) == (wanted - before[block] + 1)[:, None]) & bits
+        return block * BLOCK + inside.argmax(axis=1)
 
     def occurrences(self, symbol: int) -> list[int]:
-        return [self.select(symbol, k) for k in range(self.count(symbol))]
+        """Positions of ``symbol``, in order; 1,000 at a time climb the planes together."""
+        low, n = self._walk(symbol, 0)[0], self.count(symbol)
+        out: list[int] = []
+        for first in range(0, n, 1000):
+            out += self._climb(symbol, np.arange(low + first, low + min(n, first + 1000)))
+        return out
+
+    def _climb(self, symbol: int, at: np.ndarray) -> list[int]:
+        for level in range(self.bits - 1, -1, -1):
+            one = bool(symbol >> (self.bits - 1 - level) & 1)
+            at = self._select_bits(level, at - self.zeros[level] if one else at, one)
+        return at.tolist()
 
     def decode(self) -> np.ndarray:
         """All ids at once, from the last plane up."""
