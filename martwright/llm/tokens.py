@@ -44,7 +44,8 @@ def _stays_letter(char: str) -> bool:
 
 
 def _unchanged(piece: str) -> bool:
-    """A piece, already lower-case in A-Z, without white space that NFC and lower case leave as it is."""
+    """A piece, or several with blanks between, already lower-case in A-Z, that NFC and lower case leave as
+    it is; without other white space."""
     return piece.isprintable() and (
         piece.isascii() or (unicodedata.is_normalized("NFC", piece) and piece.lower() == piece)
     )
@@ -109,18 +110,30 @@ class Encoder:
     def _learn_together(self, pieces: list[str]) -> list[str]:
         """Learn pieces from one text of them all: the library's fast call tells no offsets, but the
         tokens' bytes do, where no normalizer changes the piece. Returns the pieces still to be learned."""
-        texts = pieces if self.glued else [p for p in pieces if _unchanged(p)]
+        texts, whole = pieces, ""
+        if not self.glued:
+            pieces = texts = [p for p in pieces if p]  # empty ones have no ids
+            self.known[""] = b""
+            whole = " ".join(texts)
+            if not _unchanged(whole):
+                texts = [p for p in pieces if _unchanged(p)]
+                whole = " ".join(texts)
         if not texts:
             return pieces
-        whole = ("" if self.glued else " ").join(map(self._spaced, texts))
+        if self.glued:
+            spaced = list(map(self._spaced, texts))
+            whole = "".join(spaced)
+            wanted = np.cumsum([len(p.encode()) for p in spaced])
+        else:  # a piece ends where a blank stands, which has no token
+            blanks = np.flatnonzero(np.frombuffer(whole.encode() + b" ", np.uint8) == 32)
+            wanted = blanks - np.arange(len(blanks))
         ids = self.tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids
         reached = np.cumsum(self.n_bytes[ids])
-        wanted = np.cumsum([len(self._spaced(p).encode()) for p in texts])
         ends = np.searchsorted(reached, wanted, "right")
         if not np.array_equal(np.r_[0, reached][ends], wanted):
             return pieces  # some token is no plain stretch of text
         self._keep(texts, ids, ends)
-        return [] if self.glued else list(set(pieces).difference(texts))
+        return [] if texts is pieces else list(set(pieces).difference(texts))
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         cut = [None if t and SPECIAL in t else self._pieces(t or "") for t in texts]

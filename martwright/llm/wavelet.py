@@ -42,7 +42,7 @@ def build(ids: np.ndarray, doc_ids: list[int | None], ends: np.ndarray, bits: in
     ]
     now = np.asarray(ids)
     for level in range(bits - 1, -1, -1):
-        bit = (now >> level) & 1 == 1
+        bit = (now & now.dtype.type(1 << level)).astype(bool)
         packed = np.packbits(bit, bitorder="little")
         padded = np.zeros(-(-len(bit) // BLOCK) * BLOCK // 8, np.uint8)
         padded[: len(packed)] = packed
@@ -149,12 +149,15 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """All ids at once, from the last plane up."""
-        now = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if self.bits <= 16 else np.uint32
+        now = np.zeros(self.n, kind)
         for level in range(self.bits - 1, -1, -1):
-            bit = np.unpackbits(self.planes[level], count=self.n, bitorder="little").astype(bool)
+            bit = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
+            now[self.zeros[level] :] |= kind(1 << (self.bits - 1 - level))
             up = np.empty_like(now)
-            up[~bit] = now[: self.zeros[level]]
-            up[bit] = now[self.zeros[level] :] | np.uint32(1 << (self.bits - 1 - level))
+            up[bit] = now[self.zeros[level] :]
+            np.logical_not(bit, out=bit)
+            up[bit] = now[: self.zeros[level]]
             now = up
         return now
 
