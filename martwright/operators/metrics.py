@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -198,17 +199,17 @@ def _ratio(numerator: str, denominator: str, name: str) -> Column:
 def side_by_side(parts: list[DataFrame], keys: list[str]) -> DataFrame:
     """Aggregates of the same keys joined into one: every group that any of them has, NULL keys
     included, with NULL where a part lacks the group. Each part holds a group once."""
-    out, whole = parts[0], not keys
-    if whole:  # one row each: join on a constant
-        keys, parts = ["one_group"], [p.withColumn("one_group", F.lit(1)) for p in parts]
-        out = parts[0]
+    if not keys:  # one row each: put together without a join, as each column has one value at most
+        stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+    out = parts[0]
     for n, part in enumerate(parts[1:]):
         right = part.withColumnsRenamed({k: f"{k}__{n}" for k in keys})
         same = [F.col(k).eqNullSafe(F.col(f"{k}__{n}")) for k in keys]
         both = [F.coalesce(k, f"{k}__{n}").alias(k) for k in keys]
         rest = [c for c in (*out.columns, *part.columns) if c not in keys]
         out = out.join(right, same, "full").select(*both, *rest)
-    return out.drop("one_group") if whole else out
+    return out
 
 
 def _grouped(
