@@ -12,10 +12,14 @@ each edge out would cost many times the text, so edges leave a document already
 3. A minimizer with several contexts branches (a passage starts or ends there, or copies differ).
    Inside a context again the first coordinate stands for the rest; only these first occurrences are
    joined back to their text and opened into edges, and each edge's first coordinate is found.
-4. Covered words become spans per document, which a join brings back to the texts.
-
-Keys are two independent 64-bit hashes (minimizer, and context or edge); spans carry the coordinate
-that they repeat, and ``verify_spans`` compares the words at both coordinates.
+4. The spans of a document that follow one source at one distance are put together and covered by
+   windows. Each window's words are looked up at the source's coordinates: a BLAKE2b digest of them goes
+   to the later document, and only windows whose own words have that digest are removed.
+
+Keys before that are two 64-bit hashes (minimizer, and context or edge), so a chance agreement of
+hashes removes nothing. A document is a doc_id together with a text: rows that repeat an id with
+different texts are documents of their own, the one of smaller text hash being the earlier; rows
+that repeat both are one document, and each of them keeps what that document keeps.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martwright.llm.common import stored
@@ -104,22 +108,37 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def paths(docs: DataFrame) -> DataFrame:
-    """Compacted paths (m, c, doc_id, at, size) of ``docs``: windows at .. at + size - 1."""
+def _texts(docs: DataFrame) -> tuple[Column, DataFrame]:
+    """What tells texts of one doc_id apart, and the documents (doc_id, row, text in bytes), each once.
+
+    ``row`` is 0 if no id repeats, else the hash of the text.
+    """
+    ids = docs.where("doc_id IS NOT NULL")
+    texts = ids.select("doc_id", F.lit(0).cast("long").alias("row"), F.col("text").cast("binary").alias("text"))
+    if ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return F.lit(0).cast("long"), texts
+    row = F.xxhash64("text")
+    texts = texts.withColumn("row", row).dropDuplicates(["doc_id", "row"])
+    return row, stored(texts, "texts")
+
+
+def paths(texts: DataFrame) -> DataFrame:
+    """Compacted paths (m, c, doc_id, row, at, size) of ``texts``: windows at .. at + size - 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            ids, pending, rows = batch.column(0).to_pylist(), 0, []
-            for doc_id, text in zip(ids, batch.column(1)):
+            ids, marks, pending, rows = batch.column(0).to_pylist(), batch.column(1).to_pylist(), 0, []
+            for doc_id, row, text in zip(ids, marks, batch.column(2)):
                 words = (text.as_py() or b"").split()
-                if doc_id is None or len(words) < WINDOW:
+                if len(words) < WINDOW:
                     continue
                 h = Hashed(known.of(words))
                 m, place, first, last = h.paths()
                 # where the minimizer lies is part of what must agree
                 c = h.span(first, last + WINDOW) + _mix((place - first).astype(_U))
-                rows.append((_signed(m), _signed(c), np.full(len(m), doc_id), first, last - first + 1))
+                keys = np.full(len(m), doc_id), np.full(len(m), row)
+                rows.append((_signed(m), _signed(c), *keys, first, last - first + 1))
                 pending += len(m)
                 if pending > 200_000:
                     yield out(rows)
@@ -128,139 +147,219 @@ def paths(docs: DataFrame) -> DataFrame:
                 yield out(rows)
 
     def out(rows: list[tuple]) -> pa.RecordBatch:
-        m, c, doc_id, at, size = (np.concatenate(x) for x in zip(*rows))
-        return _columns(m=m, c=c, doc_id=doc_id, at=at.astype(np.int32), size=size.astype(np.int16))
+        m, c, doc_id, row, at, size = (np.concatenate(x) for x in zip(*rows))
+        return _columns(m=m, c=c, doc_id=doc_id, row=row, at=at.astype(np.int32), size=size.astype(np.int16))
 
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    return texts.mapInArrow(run, "m long, c long, doc_id long, at int, size short")
+    return texts.mapInArrow(run, "m long, c long, doc_id long, row long, at int, size short")
 
 
-def edges_of(firsts: DataFrame, docs: DataFrame) -> DataFrame:
-    """Edges (m, e, doc_id, at) of the paths ``firsts`` (m, doc_id, at, size), from their texts."""
+def edges_of(firsts: DataFrame, texts: DataFrame) -> DataFrame:
+    """Edges (m, e, doc_id, row, at) of the paths ``firsts`` (m, doc_id, row, at, size), from their texts."""
     cut = F.collect_list(F.struct("at", "size", "m")).alias("cut")
-    wanted = firsts.groupBy("doc_id").agg(cut)
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    wanted = firsts.groupBy("doc_id", "row").agg(cut)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            for doc_id, text, cut in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            pending, rows = 0, []
+            ids, marks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for doc_id, row, text, cut in zip(ids, marks, batch.column(2), batch.column(3)):
                 h = Hashed(known.of((text.as_py() or b"").split()))
                 fields = cut.values
                 at, size, m = (fields.field(k).to_numpy() for k in range(3))
-                ok = at + size + WINDOW - 1 <= h.n  # of rows that repeat an id, the text with the path
-                at, size, m = at[ok], size[ok], m[ok]
                 inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
                 start = (np.repeat(at, size) + inside).astype(np.int64)
                 e = _signed(h.span(start, start + WINDOW))
-                yield _columns(
-                    m=np.repeat(m, size), e=e, doc_id=np.full(len(e), doc_id), at=start.astype(np.int32)
-                )
+                keys = np.full(len(e), doc_id), np.full(len(e), row)
+                rows.append((np.repeat(m, size), e, *keys, start.astype(np.int32)))
+                pending += len(e)
+                if pending > 200_000:
+                    yield out(rows)
+                    pending, rows = 0, []
+            if rows:
+                yield out(rows)
 
-    joined = texts.join(wanted, "doc_id").select("doc_id", "text", "cut")
-    return joined.mapInArrow(run, "m long, e long, doc_id long, at int")
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        m, e, doc_id, row, at = (np.concatenate(x) for x in zip(*rows))
+        return _columns(m=m, e=e, doc_id=doc_id, row=row, at=at)
 
+    joined = texts.join(wanted, ["doc_id", "row"]).select("doc_id", "row", "text", "cut")
+    return joined.mapInArrow(run, "m long, e long, doc_id long, row long, at int")
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """Spans (doc_id, at, end, from_doc, from_at) of words whose windows start earlier elsewhere.
 
-    ``at`` to ``end`` (exclusive) are word positions; from_doc and from_at say where the first of the
-    windows starts for the first time. Documents with NULL doc_id have no coordinate and no spans.
+def _repeats(texts: DataFrame) -> DataFrame:
+    """Spans (doc_id, row, at, end, from_doc, from_row, from_at) of ``texts``, found by hashes.
+
+    The paths are stored once, as counting and joining read them; what joins them is stored first, so
+    that both sides are plain shuffles and adaptive execution can split a hot minimizer.
     """
-    rows = paths(docs)
-    twice = rows.groupBy("m").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("m")
-    rows = stored(rows.join(twice, "m"), "paths")
-    first = F.min(F.struct("doc_id", "at")).alias("first")
+    everything = stored(paths(texts), "all_paths")
+    twice = everything.groupBy("m").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("m")
+    rows = stored(everything.join(stored(twice, "twice"), "m"), "paths")
+    place = F.struct("doc_id", "row", "at")
+    first = F.min(place).alias("first")
     classes = rows.groupBy("m", "c").agg(first, F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
     classes = stored(classes, "classes")
     ways = classes.groupBy("m").agg(F.count(F.lit(1)).alias("ways")).where("ways > 1").select("m")
 
-    repeats = classes.where("n > 1").select("m", "c", "first")
-    later = rows.join(repeats, ["m", "c"]).where(F.struct("doc_id", "at") > F.col("first"))
-    whole = later.select(
-        "doc_id",
-        "at",
-        (F.col("at") + F.col("size") + F.lit(WINDOW - 1)).alias("end"),
-        F.col("first.doc_id").alias("from_doc"),
-        F.col("first.at").alias("from_at"),
+    def later(found: DataFrame, firsts: DataFrame, keys: list[str], size: Column) -> DataFrame:
+        again = found.join(firsts, keys).where(place > F.col("first"))
+        return again.select(
+            "doc_id",
+            "row",
+            "at",
+            (F.col("at") + size).alias("end"),
+            F.col("first.doc_id").alias("from_doc"),
+            F.col("first.row").alias("from_row"),
+            F.col("first.at").alias("from_at"),
+        )
+
+    whole = later(
+        rows, classes.where("n > 1").select("m", "c", "first"), ["m", "c"], F.col("size") + F.lit(WINDOW - 1)
     )
     branching = classes.join(ways, "m").select("m", "first.*", "size")
-    edges = stored(edges_of(branching, docs), "edges")
-    firsts = edges.groupBy("m", "e").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count(F.lit(1)).alias("n"))
-    again = edges.join(firsts.where("n > 1").drop("n"), ["m", "e"]).where(
-        F.struct("doc_id", "at") > F.col("first")
-    )
-    single = again.select(
-        "doc_id",
-        "at",
-        (F.col("at") + F.lit(WINDOW)).alias("end"),
-        F.col("first.doc_id").alias("from_doc"),
-        F.col("first.at").alias("from_at"),
-    )
-    return whole.union(single)
+    edges = stored(edges_of(branching, texts), "edges")
+    firsts = edges.groupBy("m", "e").agg(first, F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    return whole.union(later(edges, stored(firsts, "first_edges"), ["m", "e"], F.lit(WINDOW)))
 
 
-def _merged(spans: DataFrame) -> DataFrame:
-    return spans.groupBy("doc_id").agg(F.collect_list(F.struct("at", "end")).alias("spans"))
+def repeated_spans(docs: DataFrame) -> DataFrame:
+    """Spans (doc_id, at, end, from_doc, from_at) of words whose windows start earlier elsewhere.
 
+    ``at`` to ``end`` (exclusive) are word positions; from_doc and from_at say where the first of the
+    windows starts for the first time. Documents with NULL doc_id have no coordinate and no spans.
+    """
+    return _repeats(_texts(docs)[1]).drop("row", "from_row")
 
-def removed_mask(n: int, spans: list | None) -> np.ndarray:
-    edges = np.zeros(n + 1, np.int64)
-    for s in spans or ():
-        edges[s["at"]] += 1
-        edges[min(s["end"], n)] -= 1
-    return np.cumsum(edges[:-1]) > 0
+
+def _covers(spans: DataFrame) -> DataFrame:
+    """Windows (doc_id, row, at, from_doc, from_row, from_at) that cover ``spans`` and no other words.
+
+    Spans of a document that repeat one source at one distance and touch are one stretch; a stretch
+    takes a window every ``WINDOW`` words and one at its end. A list is as long as its document at most.
+    """
+    fields = "at", "end", "from_doc", "from_row", "from_at"
+    grouped = spans.groupBy("doc_id", "row").agg(F.collect_list(F.struct(*fields)).alias("spans"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            size = lists.value_lengths().to_numpy()
+            which = np.repeat(np.arange(len(lists)), size)
+            flat = lists.flatten()
+            at, end, doc, row, source = (flat.field(k).to_numpy().astype(np.int64) for k in range(5))
+            order = np.lexsort((at, source - at, row, doc, which))
+            which, at, end, doc, row, source = (x[order] for x in (which, at, end, doc, row, source))
+            keys = np.stack([which, doc, row, source - at])
+            group = np.cumsum(np.r_[0, (keys[:, 1:] != keys[:, :-1]).any(axis=0)]) << 32
+            reach = np.maximum.accumulate(group + end)
+            first = np.flatnonzero(np.r_[True, (group + at)[1:] > reach[:-1]])
+            length = np.r_[reach[first[1:] - 1], reach[-1:]] - group[first] - at[first]
+            windows = -(-length // WINDOW)
+            turn = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+            shift = np.minimum(turn * WINDOW, np.repeat(length - WINDOW, windows))
+            first = np.repeat(first, windows)
+            here = pa.array(which[first])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(here),
+                    batch.column(1).take(here),
+                    pa.array((at[first] + shift).astype(np.int32)),
+                    pa.array(doc[first]),
+                    pa.array(row[first]),
+                    pa.array((source[first] + shift).astype(np.int32)),
+                ],
+                names=["doc_id", "row", "at", "from_doc", "from_row", "from_at"],
+            )
+
+    schema = "doc_id long, row long, at int, from_doc long, from_row long, from_at int"
+    return grouped.mapInArrow(run, schema)
+
+
+def _digest(words: list[bytes], at: int) -> bytes:
+    return hashlib.blake2b(b" ".join(words[at : at + WINDOW]), digest_size=16).digest()
+
+
+def _source_digests(windows: DataFrame, texts: DataFrame) -> DataFrame:
+    """(from_doc, from_row, from_at, digest) of the words at the coordinates that ``windows`` repeat.
+
+    Each coordinate is read once; a document has at most one for each of its words.
+    """
+    wanted = windows.groupBy(F.col("from_doc").alias("doc_id"), F.col("from_row").alias("row"))
+    wanted = wanted.agg(F.collect_set("from_at").alias("places"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(3)
+            digests: list[bytes] = []
+            for text, places in zip(batch.column(2), lists):
+                words = (text.as_py() or b"").split()
+                digests += [_digest(words, at) for at in places.values.to_numpy().tolist()]
+            here = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+            here = pa.array(here)
+            keys = [batch.column(0).take(here), batch.column(1).take(here), lists.flatten()]
+            yield pa.RecordBatch.from_arrays(
+                [*keys, pa.array(digests, pa.binary())], names=["from_doc", "from_row", "from_at", "digest"]
+            )
+
+    joined = texts.join(wanted, ["doc_id", "row"]).select("doc_id", "row", "text", "places")
+    return joined.mapInArrow(run, "from_doc long, from_row long, from_at int, digest binary")
+
+
+def kept_words(words: list[bytes], repeats: list | None) -> list[bytes]:
+    """``words`` without those of the windows ``repeats`` (at, digest) whose words have that digest."""
+    edges = np.zeros(len(words) + 1, np.int64)
+    for window in repeats or ():
+        at = window["at"]
+        if _digest(words, at) == window["digest"]:
+            edges[at] += 1
+            edges[at + WINDOW] -= 1
+    gone = np.cumsum(edges[:-1]) > 0
+    return [w for w, g in zip(words, gone.tolist()) if not g] if gone.any() else words
 
 
 def without_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
     """``docs`` without the words that repeat an earlier window of 20 words.
 
     A word goes if a window that covers it starts earlier too: in a document of smaller doc_id, or
-    earlier in its own. Windows are judged on the input. Texts that lose words become their kept words
-    joined by one space (n_chars, if there, follows); all other rows stay as they are. No row is dropped:
-    a text that loses all becomes empty. NULL texts and rows with NULL doc_id stay; a doc_id must name
-    one row (of rows that repeat one, each is treated as the document of that id). With ``digest`` the
-    result is (doc_id, n_words, n_removed, kept_sha256) instead.
+    earlier in its own. Windows are judged on the input, and the words at both places are compared.
+    Texts that lose words become their kept words joined by one space (n_chars, if there, follows); all
+    other rows stay as they are. No row is dropped: a text that loses all becomes empty. NULL texts and
+    rows with NULL doc_id stay. Rows that repeat a doc_id: see the module. Columns of any name pass
+    through. With ``digest`` the result is (doc_id, n_words, n_removed, kept_sha256) instead.
     """
-    spans = stored(_merged(repeated_spans(docs).select("doc_id", "at", "end")), "spans")
-    if digest:
-        docs = docs.select("doc_id", "text")
-    names = docs.columns
-    joined = docs.join(spans.select(F.col("doc_id").alias("of_doc"), "spans"), F.col("doc_id") == F.col("of_doc"), "left")
-    joined = joined.drop("of_doc")
-    chars = "n_chars" in names
+    mark, texts = _texts(docs)
+    windows = stored(_covers(_repeats(texts)), "windows")
+    digests = stored(_source_digests(windows, texts), "digests")
+    pairs = windows.join(digests, ["from_doc", "from_row", "from_at"])
+    repeats = pairs.groupBy("doc_id", "row").agg(F.collect_list(F.struct("at", "digest")).alias("repeats"))
+    whole = docs.select("doc_id", "text") if digest else docs
+    names = whole.columns
+    # the row itself is one column, so that no name of it can clash
+    rows = whole.select("doc_id", mark.alias("row"), F.struct(*map(whole.__getitem__, names)).alias("doc"))
+    joined = rows.join(stored(repeats, "repeats"), ["doc_id", "row"], "left").select("doc", "repeats")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            k = batch.schema.get_field_index("text")
-            texts = batch.column(k).cast(pa.binary()).to_pylist()
-            cuts = batch.column(batch.schema.get_field_index("spans"))
-            rows: list[tuple] = []
-            for i, text in enumerate(texts):
-                cut = cuts[i]
-                if digest:
-                    words = (text or b"").split()
-                    gone = removed_mask(len(words), cut.as_py())
-                    kept = [w for w, g in zip(words, gone.tolist()) if not g]
-                    sha = hashlib.sha256(b" ".join(kept)).hexdigest()
-                    rows.append((len(words), len(words) - len(kept), sha))
-                elif cut.is_valid:
-                    words = (text or b"").split()
-                    gone = removed_mask(len(words), cut.as_py())
-                    texts[i] = b" ".join([w for w, g in zip(words, gone.tolist()) if not g])
+            columns = dict(zip(names, batch.column(0).flatten()))
+            texts, repeats = columns["text"].cast(pa.binary()).to_pylist(), batch.column(1)
+            split = [(text or b"").split() if digest or found.is_valid else None for text, found in zip(texts, repeats)]
+            kept = [None if words is None else kept_words(words, r.as_py()) for words, r in zip(split, repeats)]
             if digest:
-                n, m, sha = zip(*rows) if rows else ((), (), ())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(n, pa.int64()), pa.array(m, pa.int64()), pa.array(sha, pa.string())],
-                    names=["doc_id", "n_words", "n_removed", "kept_sha256"],
-                )
-                continue
-            columns = {name: batch.column(batch.schema.get_field_index(name)) for name in names}
-            columns["text"] = pa.array(texts, pa.binary()).cast(pa.string())
-            if chars:
-                size = pa.compute.utf8_length(columns["text"]).cast(pa.int64())
-                columns["n_chars"] = pa.compute.if_else(cuts.is_valid(), size, columns["n_chars"].cast(pa.int64()))
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names=names)
+                columns = {
+                    "doc_id": columns["doc_id"],
+                    "n_words": pa.array([len(x) for x in split], pa.int64()),
+                    "n_removed": pa.array([len(x) - len(y) for x, y in zip(split, kept)], pa.int64()),
+                    "kept_sha256": pa.array([hashlib.sha256(b" ".join(x)).hexdigest() for x in kept], pa.string()),
+                }
+            else:
+                fewer = [k is not None and len(k) < len(x) for x, k in zip(split, kept)]
+                texts = [b" ".join(k) if less else text for text, k, less in zip(texts, kept, fewer)]
+                columns["text"] = pa.array(texts, pa.binary()).cast(pa.string())
+                if "n_chars" in columns:
+                    size = pa.compute.utf8_length(columns["text"]).cast(columns["n_chars"].type)
+                    columns["n_chars"] = pa.compute.if_else(pa.array(fewer, pa.bool_()), size, columns["n_chars"])
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     if digest:
         return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")

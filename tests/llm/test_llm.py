@@ -223,6 +223,34 @@ def test_substrings(docs, texts, empty):
     assert substrings.without_repeats(empty, digest=True).isEmpty()
 
 
+def test_substrings_of_repeated_ids_and_clashing_names(spark):
+    first, second, other = (" ".join(f"{x}{i}" for i in range(n)) for x, n in (("p", 40), ("q", 30), ("r", 60)))
+    rows = [(1, first), (2, first), (2, other), (2, other), (3, f"{other} {second}"), (None, first), (4, None), (4, second)]
+    clash = "row int, at int, spans string, repeats string, doc string, of_doc string, n_chars int"
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df = df.selectExpr("*", *(f"CAST(7 AS {x.split()[1]}) AS {x.split()[0]}" for x in clash.split(", ")))
+    got = substrings.without_repeats(df)
+    assert got.schema == df.schema
+    kept = sorted(((r["doc_id"] or -1, r["text"] or "") for r in got.collect()))
+    assert {tuple(r)[2:8] for r in got.collect()} == {(7, 7, "7", "7", "7", "7")}
+    # the two rows of id 2 that agree are one document and keep its text; second is first met in document 3
+    assert kept == sorted([(1, first), (2, ""), (2, other), (2, other), (3, second), (-1, first), (4, ""), (4, "")])
+    assert {r["n_chars"] for r in got.where("doc_id IS NULL OR doc_id = 1").collect()} == {7}
+    digests = substrings.without_repeats(df, digest=True).where("doc_id = 2").collect()
+    assert sorted((r["n_words"], r["n_removed"]) for r in digests) == [(40, 40), (60, 0), (60, 0)]
+
+
+def test_substrings_removes_only_words_that_agree(spark, monkeypatch):
+    """A span that hashes alone would give stays, if its words differ."""
+    a, b = (" ".join(f"{x}{i}" for i in range(50)) for x in "ab")
+    spans = spark.createDataFrame([(2, 0, 0, 50, 1, 0, 0)], "doc_id long, row long, at int, end int, from_doc long, from_row long, from_at int")
+    monkeypatch.setattr(substrings, "_repeats", lambda texts: spans)
+    df = spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")
+    assert {tuple(r) for r in substrings.without_repeats(df).collect()} == {(1, a), (2, b)}
+    df = spark.createDataFrame([(1, a), (2, a)], "doc_id long, text string")
+    assert {tuple(r) for r in substrings.without_repeats(df).collect()} == {(1, a), (2, "")}
+
+
 def _ids(texts, name, end):
     from tokenizers import Tokenizer
 
