@@ -15,19 +15,26 @@ from martwright.llm.common import stored, word_count
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
-    return quality.score(docs).where("kept").select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("doc"), "text")
+    return quality.score(rows).where("kept").select("doc.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component: the one of smallest doc_id.
 
-    Rows with NULL doc_id belong to no component and stay. Of rows that repeat a doc_id, the one whose
-    text sorts first stays.
+    Rows with NULL doc_id belong to no component and stay. If rows repeat a doc_id, each row is judged by
+    its own text: rows are numbered by doc_id and text, and the first of each component stays.
     """
-    found = simhash.near_duplicates(docs.select("doc_id", "text"))
-    dropped = found.where("component_id <> doc_id").select("doc_id").distinct()
-    rest = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
-    return simhash.one_row_per_id(rest)
+    ids = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("key"), "text")
+    if not ids.where("n > 1").isEmpty():
+        # the last key of the order only spreads rows that are alike
+        ordered = rows.orderBy("key", "text", F.monotonically_increasing_id())
+        number = F.when(F.col("key").isNotNull(), F.monotonically_increasing_id())
+        rows = stored(ordered.withColumn("key", number), "keyed")
+    found = simhash.near_duplicates(rows.select(F.col("key").alias("doc_id"), "text"))
+    dropped = found.where("component_id <> doc_id").select(F.col("doc_id").alias("key"))
+    return rows.select("doc", "key").join(dropped, "key", "left_anti").select("doc.*")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,9 +44,10 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: not at all, once or twice."""
-    mixed = mixing.mix(docs.withColumn("size", word_count(F.col("text"))))
-    times = F.explode(F.expr("sequence(1L, copies)"))
-    return mixed.where("copies > 0").select(*docs.columns, times.alias("copy")).drop("copy")
+    size = word_count(F.col("text")).alias("size")
+    mixed = mixing.mix(docs.select(F.struct("*").alias("doc"), "doc_id", "source", size))
+    times = F.explode(F.expr("sequence(1L, copies)")).alias("copy")
+    return mixed.where("copies > 0").select("doc", times).select("doc.*")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
