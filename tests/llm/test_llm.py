@@ -478,3 +478,26 @@ def test_pipeline_stages_keep_columns_and_clean_documents(spark, docs, texts, tm
     assert set(taken) <= left and max(map(taken.count, taken)) <= 2
     rows = [tuple(r) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
     assert sum(r[1] == 0 for r in rows) == len(taken)
+
+
+def test_pipeline_stages_keep_clashing_columns_and_repeated_ids(spark, tmp_path):
+    import corpus_pipeline
+
+    plain = [" ".join(f"{x}{i}word" for i in range(40)) + "." for x in ("alpha", "beta", "gamma")]
+    rows = [(1, plain[0], "en", "a", 0), (1, plain[1], "en", "a", 0), (2, plain[0], "en", "b", 0), (2, plain[2], "en", "b", 0), (None, plain[0], "en", "b", 0)]
+    names = ["kept", "size", "copies", "copy", "doc", "key", "target", "source_size", "n_words", "mix_rank", "row", "spans"]
+    df = spark.createDataFrame(rows, DDL).select("*", *(F.lit(f"own {n}").alias(n) for n in names))
+    wanted = {1: {plain[0], plain[1]}, 2: {plain[2]}, None: {plain[0]}}
+    now = df
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = spark.createDataFrame(stage(spark, now, str(tmp_path)).collect(), df.schema)
+        found = now.collect()
+        assert now.columns == df.columns and all(r[n] == f"own {n}" for r in found for n in names), name
+        got = {i: {r["text"] for r in found if r["doc_id"] == i} for i in wanted}
+        if name in ("simhash_near_dedup", "substring_dedup"):
+            assert got == wanted
+        if name == "simhash_near_dedup":
+            assert len(found) == 4
+    nothing = spark.createDataFrame([], df.schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, nothing, str(tmp_path)).isEmpty(), name
