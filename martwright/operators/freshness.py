@@ -77,3 +77,21 @@ def freshness(
         "age_seconds",
         status.alias("status"),
     )
+
+
+def freshness_observed(
+    results: DataFrame,
+    table: str,
+    loaded_at: str,
+    as_of: dt.datetime,
+    sla: str = DEFAULT_SLA,
+    limits: tuple[Limit, Limit] | None = None,
+) -> DataFrame:
+    """``freshness`` of a stored mart from what was observed while it was written (``MartStore.results``).
+
+    No row of the mart is read. A column that was not observed, or holds no value, has no age: an error.
+    """
+    newest = results.where(F.col("column_name") == loaded_at).select(
+        F.col("greatest").cast("timestamp_ntz").alias(loaded_at)
+    )
+    return freshness(newest, table, loaded_at, as_of, sla, limits)

@@ -190,6 +190,31 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def null_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows and NULLs of every column, a row per column; a table is one aggregate without shuffled rows.
+
+    Tables read by ``sources.footers`` are counted from their files' footers. Those know no counts of nested
+    columns, so these are an aggregate of their own: the only columns that are read. A table without columns
+    gives no rows.
+    """
+    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+    parts = []
+    for name, df in tables.items():
+        flat = [f.name for f in df.schema if not isinstance(f.dataType, nested)]
+        for columns in (flat, [c for c in df.columns if c not in flat]):
+            if not columns:
+                continue
+            quoted = [f"`{c.replace('`', '``')}`" for c in columns]
+            counts = [F.count(F.col(q)).alias(f"n_{i}") for i, q in enumerate(quoted)]
+            one = df.agg(F.count(F.lit(1)).alias("row_count"), *counts)
+            rows = [
+                F.struct(F.lit(c).alias("column_name"), (F.col("row_count") - F.col(f"n_{i}")).alias("null_count"))
+                for i, c in enumerate(columns)
+            ]
+            parts.append(one.select(F.lit(name).alias("table_name"), "row_count", F.inline(F.array(*rows))))
+    return _union(parts)
+
+
 # -- schema --
 
 

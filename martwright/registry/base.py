@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from martwright.plans import analytics, commercial, finance, marketing, product
 from martwright.plans.staging import STAGING
 from martwright.session import require_ansi
+from martwright.sources.footers import footer_table
 from martwright.sources.proxies import ABSENT, generated_source
 from martwright.sources.store import MartStore, code_digest, snapshot_id
 from martwright.functions import strip_prefix
@@ -57,6 +58,10 @@ class Domain:
         """A table as it lies in the folder, without declared schema."""
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def footers(self, name: str) -> DataFrame:
+        """The same table, read so that counts come from its files' footers."""
+        return footer_table(self.spark, f"{self.folder}/{name}.parquet")
+
     def staged(self, name: str) -> DataFrame:
         return STAGING[name](self.raw(name))
 

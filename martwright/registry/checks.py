@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from martwright.operators.contracts import (
     contract_loss,
     exclude_pii,
 )
-from martwright.operators.freshness import NEW_SOURCE_LIMITS, SOURCE_SLA, freshness
+from martwright.operators.freshness import NEW_SOURCE_LIMITS, SOURCE_SLA, freshness, freshness_observed
 from martwright.plans.suites import checks_of
 from martwright.registry.base import Domain, case
 from martwright.registry.sqltext import part, sql
@@ -308,6 +309,30 @@ case(
     )
 )
 
+# Published marts: their newest dates were observed while they were written, so no rows are read.
+_MART_DATES = {
+    "fct_orders": ("order_date", "fact"),
+    "dim_customers": ("last_order_date", "dim"),
+    "fct_revenue": ("order_month", "revenue"),
+    "fct_usage": ("usage_month", "usage_month"),
+}
+
+
+@case(
+    "freshness_marts",
+    sql("\nunion all ".join(
+        _age_sql(view, column, mart, "daily", _O, _limits(_O, 25, 49)) for mart, (column, view) in _MART_DATES.items()
+    )),
+)
+def mart_ages(d: Domain) -> DataFrame:
+    marts = d.published()
+    parts = []
+    for mart, (column, _) in _MART_DATES.items():
+        getattr(marts, mart)()
+        parts.append(freshness_observed(marts.store.results(mart, 1), mart, column, _ORDERS_AS_OF))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # The declared sources that have a date, at their service level; events at the limits of a new source.
 _DECLARED_AS_OF = dt.datetime(2024, 2, 10, 1, 30)
 _D = str(_DECLARED_AS_OF)

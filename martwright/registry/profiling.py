@@ -10,6 +10,7 @@ from martwright.operators.contracts import type_names
 from martwright.operators.profiling import (
     TYPE_BY_NAME,
     key_index,
+    null_counts,
     profile,
     profile_tables,
     row_counts,
@@ -323,4 +324,14 @@ case(
     "\nunion all ".join(
         f"select '{t}' as table_name, count(*) as row_count from {t}" for t in _ALL_TABLES
     ),
-)(lambda d: row_counts({t: d.table(t) for t in _ALL_TABLES}))
+)(lambda d: row_counts({t: d.footers(t) for t in _ALL_TABLES}))
+
+case(
+    "null_counts",
+    "\nunion all ".join(
+        f"select '{table}' as table_name, '{column}' as column_name, count(*) as row_count,"
+        f" count(*) - count({column}) as null_count from {table}"
+        for table, columns in COLUMNS.items()
+        for column, _ in columns
+    ),
+)(lambda d: null_counts({t: d.footers(t) for t in COLUMNS}))

@@ -25,7 +25,7 @@ from martwright.operators.contracts import (
     normalise_type,
     spark_type,
 )
-from martwright.operators.freshness import freshness
+from martwright.operators.freshness import freshness, freshness_observed
 from martwright.plans.suites import SUITES, all_checks
 from martwright.schemas import CONTRACTS, Contract, ContractColumn
 from martwright.sources.sinks import as_view, store_failures, store_suite_failures, write_report, write_table
@@ -294,6 +294,22 @@ def test_freshness(frame, hours, sla, want):
     assert row["sla"] in ("realtime", "daily", "static")
 
 
+def test_freshness_from_observed_results(frame):
+    rows = [("day", "2024-03-09"), ("at", "2024-03-10 11:00:00.5"), ("name", "zebra"), ("none", None)]
+    results = frame(rows, "column_name string, greatest string")
+    ages = {c: as_dicts(freshness_observed(results, "t", c, AS_OF))[0] for c in ("day", "at", "none", "absent")}
+    assert {c: (r["age_seconds"], r["status"]) for c, r in ages.items()} == {
+        "day": (36 * 3600, "warn"), "at": (3600, "pass"), "none": (None, "error"), "absent": (None, "error")}
+
+
+def test_mart_freshness_reads_no_mart(spark):
+    from martwright.registry import CASES
+
+    df = CASES["freshness_marts"].run(spark, TINY)
+    read = [f.split("/")[-2] for f in df.inputFiles()]
+    assert read and all(name.endswith("__results") for name in read)
+
+
 def test_freshness_of_nothing_is_an_error(frame):
     assert as_dicts(freshness(frame([], "ts date"), "t", "ts", AS_OF))[0]["status"] == "error"
 

@@ -6,6 +6,7 @@ from helpers import TINY, as_dicts
 from pyspark.sql import functions as F
 
 from martwright.operators import profiling as pr
+from martwright.sources.footers import footer_table
 
 
 @pytest.fixture
@@ -148,3 +149,28 @@ def test_type_diff(spark, frame):
 def test_row_counts(frame):
     got = pr.row_counts({"a": frame([(1,), (2,)], "x int"), "b": frame([], "x int")})
     assert {tuple(r) for r in got.collect()} == {("a", 2), ("b", 0)}
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    rows = [(i if i % 3 else None, None, dt.datetime(2020, 1, 1, i % 24), "x" * i if i % 2 else None, [i] if i % 5 else None, {"a": i}) for i in range(100)]
+    path = str(tmp_path / "t")
+    schema = "`a``b c` int, none date, at timestamp_ntz, text string, list array<int>, map map<string,int>"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(path)
+    table = footer_table(spark, path)
+    plan = pr.row_counts({"t": table})._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan
+    assert as_dicts(pr.row_counts({"t": table})) == [{"table_name": "t", "row_count": 100}]
+    counts = pr.null_counts({"t": table, "same": spark.read.parquet(path)})
+    plan = pr.null_counts({"t": table})._jdf.queryExecution().executedPlan().toString()
+    assert "COUNT(none)" in plan and "COUNT(text)" in plan and "Exchange hashpartitioning" not in plan
+    want = {"a`b c": 34, "none": 100, "at": 0, "text": 50, "list": 20, "map": 0}
+    for name in ("t", "same"):
+        got = {r["column_name"]: (r["row_count"], r["null_count"]) for r in as_dicts(counts.where(f"table_name = '{name}'"))}
+        assert got == {c: (100, n) for c, n in want.items()}
+    empty = str(tmp_path / "empty")
+    spark.createDataFrame([], "a int, b string").write.parquet(empty)
+    assert [tuple(r) for r in pr.null_counts({"e": footer_table(spark, empty)}).collect()] == [("e", 0, "a", 0), ("e", 0, "b", 0)]
+    assert as_dicts(pr.row_counts({"e": footer_table(spark, empty)})) == [{"table_name": "e", "row_count": 0}]
+    mixed = spark.createDataFrame([(1, None), (None, "y"), (3, None)], "a int, b string").coalesce(1)
+    mixed.write.mode("append").parquet(empty)  # a file without rows beside one with three
+    assert [tuple(r) for r in pr.null_counts({"e": footer_table(spark, empty)}).collect()] == [("e", 3, "a", 1), ("e", 3, "b", 2)]
