@@ -215,8 +215,9 @@ def side_by_side(parts: list[DataFrame], keys: list[str]) -> DataFrame:
 def _grouped(
     mart: DataFrame, model: SemanticModel, simple: dict[str, Metric], group_by: list[str] | tuple
 ) -> DataFrame:
-    """The simple metrics per group. Several distinct counts over dense keys are counted by bitmaps,
-    each from its own two columns, as Spark would copy every row for each of them."""
+    """The simple metrics per group. Several distinct counts over dense keys are counted by bitmaps (sparse
+    ones where there are groups), each from its own two columns, as Spark would copy every row for each of
+    them."""
     keys = [dimension(model, name) for name in group_by]
     measures = {name: model.measure(m.measure) for name, m in simple.items()}
     distinct = {name: m for name, m in measures.items() if m.agg == "count_distinct"}
@@ -226,7 +227,7 @@ def _grouped(
     parts = [mart.groupBy(*keys).agg(*plain or [F.count(F.lit(1)).alias("all_rows")])]
     for name, measure in distinct.items():
         rows = mart.select(*keys, F.expr(measure.expr).cast("long").alias("key_number"))
-        states = distinct_states(rows, list(group_by), "key_number")
+        states = distinct_states(rows, list(group_by), "key_number", sparse=bool(group_by))
         parts.append(count_states(states, list(group_by), name))
     joined = side_by_side(parts, list(group_by))
     counts = {name: F.coalesce(name, F.lit(0).cast("long")) for name in distinct}  # a group without keys

@@ -356,7 +356,7 @@ def distinct_rollup(d):
     orders = d.published().enriched()
     parts = []
     for key, name in (("order_key", "order_count"), ("customer_key", "active_customers")):
-        states = distinct_states(orders, [F.col("order_date").alias("day")], key)
+        states = distinct_states(orders, [F.col("order_date").alias("day")], key, sparse=True)
         parts.append(_rolled_up(states, name))
     return side_by_side(parts, ["grain", "period"])
 
@@ -372,7 +372,7 @@ def distinct_text_keys(d):
     """Text keys are numbered once; months are merged into years."""
     usage = d.usage().select("usage_event_key", "feature_category", "usage_month")
     numbered = usage.join(number_keys(usage, "usage_event_key"), "usage_event_key")
-    months = distinct_states(numbered, ["feature_category", "usage_month"], "number")
+    months = distinct_states(numbered, ["feature_category", "usage_month"], "number", sparse=True)
     year = F.trunc("usage_month", "year").alias("usage_year")
     years = merge_states(months, ["feature_category", year])
     return count_states(years, ["feature_category", "usage_year"], "distinct_events")

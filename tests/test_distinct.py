@@ -51,6 +51,26 @@ def test_states_merge_to_exact_counts(frame):
     assert count_states(distinct_states(frame([], "k long"), [], "k"), [], "n").first()["n"] == 0
 
 
+def test_sparse_states_are_as_many_as_their_keys_at_most(frame):
+    rng = random.Random(3)
+    rows = [(rng.choice(["a", None]), d, rng.choice([None, -1, -64, 63, 64, 2**62, rng.randrange(10**9)])) for d in range(40) for _ in range(30)]
+    df = frame(rows, "g string, day int, k long")
+    states = distinct_states(df, ["g", "day"], "k", sparse=True)
+    assert states.schema["keys"].dataType.simpleString() == "bigint"
+    assert states.count() <= len({r for r in rows if r[2] is not None})
+    for groups in (["g", "day"], ["g"], []):
+        got = count_states(merge_states(states, groups), groups, "n")
+        plain = df.where("k is not null").groupBy(*groups).agg(F.count_distinct("k").alias("n"))
+        assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
+    assert count_states(distinct_states(df.where("false"), [], "k", sparse=True), [], "n").first()["n"] == 0
+
+
+def test_keys_scattered_over_groups_make_no_bitmaps(spark):
+    for name in ("metric_distinct_text_keys", "metric_distinct_rollup", "metric_by_quarter_and_priority"):
+        plan = CASES[name].run(spark, TINY)._jdf.queryExecution().executedPlan().toString()
+        assert "bit_or" in plan and "bitmap_" not in plan
+
+
 ENRICHED = "order_key long, customer_key long, order_date date, order_month date, market_segment string, gross_revenue decimal(18,2)"
 
 
