@@ -2,8 +2,8 @@
 
 Byte-level and word BPE never join characters across a blank that follows a non-blank, so a text is
 cut there and each distinct piece is encoded once per worker by the tokenizers library; a bounded
-table remembers its ids. A text in which a piece ends in white space, or one that may hold the string of
-a special token, goes to the library whole.
+table remembers its ids, and lets go of the pieces not met for longest when it is full. A text in which a
+piece ends in white space, or one that may hold the string of a special token, goes to the library whole.
 """
 
 from __future__ import annotations
@@ -18,8 +18,10 @@ import numpy as np
 #: All special tokens of the vocabularies begin so.
 SPECIAL = "<|"
 
-#: Pieces remembered by a worker before it starts anew; bounds its memory, not the result.
-REMEMBER = 500_000
+#: Pieces remembered by a worker before those not met since the last turn are let go; twice as many are held
+#: at most. Bounds its memory, not the result. Word ids go through a shuffle on the same machines, which needs
+#: memory as well, so fewer are held there.
+REMEMBER, REMEMBER_WORDS = 500_000, 250_000
 
 
 def vocabulary(name: str) -> str:
@@ -38,6 +40,11 @@ def encoder(path: str, glued: bool) -> Encoder:
     return held[path, glued]
 
 
+def forget_encoder(path: str, glued: bool) -> None:
+    """Gives back this Python process's encoder, for tasks of a later step that need the memory."""
+    sys.modules.get("_martwright_encoders", ModuleType("none")).__dict__.pop((path, glued), None)
+
+
 def _stays_letter(char: str) -> bool:
     """A letter that no normalizer turns into a letter and a mark (as lower case does with U+0130)."""
     return char.isalpha() and (char.isascii() or unicodedata.normalize("NFC", char).lower().isalpha())
@@ -65,7 +72,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.glued = glued
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4")
+        self.remember = REMEMBER if glued else REMEMBER_WORDS
         self.known: dict[str, bytes | None] = {}
+        self.older: dict[str, bytes | None] = {}  # of the last turn
         self.marks = {m: self._whole(m) for m in ".,"}
         vocab = self.tokenizer.get_vocab()
         #: Bytes of the text that each id stands for (a byte-level token has one character per byte).
@@ -83,14 +92,14 @@ class Encoder:
         return text.encode().lower().decode().replace("\n", " ").split(" ")
 
     def _learn(self, pieces: set[str]) -> None:
-        if len(self.known) + len(pieces) > REMEMBER:
-            self.known.clear()
         # a piece that is empty or ends in white space may join with what follows
         bad = {p for p in pieces if self.glued and (not p or p[-1].isspace())}
         # a mark after a letter is a token sequence of its own, so the word before it is learned alone
         marked = {p for p in pieces - bad if p[-1:] in self.marks and _stays_letter(p[-2:-1])}
-        todo = list(((pieces - bad - marked) | {p[:-1] for p in marked}).difference(self.known))
-        todo = self._learn_together(todo)
+        todo = ((pieces - bad - marked) | {p[:-1] for p in marked}).difference(self.known)
+        met = todo.intersection(self.older)
+        self.known.update(zip(met, map(self.older.__getitem__, met)))
+        todo = self._learn_together(list(todo - met))
         if todo:
             done = self.tokenizer.encode([self._spaced(p) for p in todo], is_pretokenized=True, add_special_tokens=False)
             of = np.array(done.word_ids, np.int64)
@@ -137,16 +146,17 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         cut = [None if t and SPECIAL in t else self._pieces(t or "") for t in texts]
-        fresh = self._inner(cut).difference(self.known)
+        pieces = self._inner(cut)
+        fresh = pieces.difference(self.known)
         if fresh:
-            if len(self.known) + len(fresh) > REMEMBER:
-                fresh = self._inner(cut)
+            if len(self.known) + len(fresh) > self.remember:
+                self.older, self.known, fresh = self.known, {}, pieces
             self._learn(fresh)
         return [np.frombuffer(self._joined(t or "", p), self.dtype) for t, p in zip(texts, cut)]
 
     def _inner(self, cut: list[list[str] | None]) -> set[str]:
-        """The distinct pieces; the first and last that carry blanks are encoded where they stand."""
-        return set().union(*(p[1:-1] if self.glued else p for p in cut if p is not None))
+        """The distinct pieces; one that starts a text carries no blank and is encoded where it stands."""
+        return set().union(*(p[1:] if self.glued else p for p in cut if p is not None))
 
     def _joined(self, text: str, pieces: list[str] | None) -> bytes:
         if pieces is None:
@@ -160,5 +170,7 @@ class Encoder:
             middle = b"".join(map(self.known.__getitem__, pieces[1:-1]))
         except TypeError:
             return self._whole(text)
-        last = last if last.startswith("\n") else " " + last
-        return self._whole(first) + middle + self._whole(last)
+        end = self.known[last]
+        if end is None:
+            end = self._whole(last if last.startswith("\n") else " " + last)
+        return self._whole(first) + middle + end

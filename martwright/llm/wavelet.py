@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martwright.llm.common import stored
-from martwright.llm.tokens import encoder, vocabulary
+from martwright.llm.tokens import encoder, forget_encoder, vocabulary
 
 MAGIC = b"WVM1"
 BLOCK = 512
@@ -190,6 +190,7 @@ def write_index(docs: DataFrame, path: str | None = None, end_id: int = END_ID,
                 )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoder(path, glued=False)  # all texts are encoded
         held: list[tuple] = []
         shard = file = total = 0
 

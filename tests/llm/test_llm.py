@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from martwright.llm import chat, licences, mixing, neighbours, packing, pages, quality, simhash, substrings, wavelet
 from martwright.llm.common import components, word_count
-from martwright.llm.tokens import Encoder, vocabulary
+from martwright.llm.tokens import Encoder, encoder, forget_encoder, vocabulary
 
 TINY = "/root/testdata/sf0.001"
 DDL = "doc_id long, text string, lang string, source string, n_chars long"
@@ -267,6 +267,28 @@ def test_encoder_equals_the_library(texts, name, glued):
     assert [g.tolist() for g in got] == [i[:-1] for i in _ids(wanted, name, 0).values()]
 
 
+@pytest.mark.parametrize("name, glued", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_pieces_met_again_outlast_a_full_table(name, glued, monkeypatch):
+    """A word of every text is learned once, however often the table of pieces fills up."""
+    path, learned = vocabulary(name), []
+    of = Encoder(path, glued)
+    of.remember, together = 20, of._learn_together
+    monkeypatch.setattr(of, "_learn_together", lambda pieces: learned.extend(pieces) or together(pieces))
+    texts = [f"start common {' '.join(f'w{k}x{i}' for i in range(12))} common, end" for k in range(30)]
+    got = [of.encode([t])[0].tolist() for t in texts]
+    assert got == [i[:-1] for i in _ids(dict(enumerate(texts)), name, 0).values()]
+    assert learned.count("common") == 1 and len(of.known) + len(of.older) < 60
+
+
+def test_an_encoder_is_given_back():
+    path = vocabulary("word_bpe_49k.json")
+    held = encoder(path, False)
+    assert encoder(path, False) is held
+    forget_encoder(path, False)
+    forget_encoder(path, False)
+    assert encoder(path, False) is not held
+
+
 def test_packing(docs, texts, empty):
     rows = [tuple(r) for r in packing.pack_documents(docs, task_pieces=60).collect()]
     ids = _ids(texts, "byte_bpe_50k.json", 0)
