@@ -128,7 +128,8 @@ class MartStore:
         return self.spark.table(table)
 
     def _save(self, df: DataFrame, table: str) -> None:
-        df.write.mode("overwrite").format("parquet").option("path", self.path_of(table)).saveAsTable(table)
+        writer = df.write.mode("overwrite").format("parquet").option("compression", "zstd")
+        writer.option("path", self.path_of(table)).saveAsTable(table)
 
     def results(self, name: str, version: int | None) -> DataFrame:
         """What was observed while the build was written, a row per column."""

@@ -354,6 +354,20 @@ def test_a_build_that_broke_off_is_made_again(spark, frame):
     assert one.publish("t", 1, lambda: spark.range(3).toDF("id")).count() == 3
 
 
+def test_stored_marts_are_packed_with_zstd(spark):
+    one = store.MartStore(spark, "packed")
+    files = one.publish("t", 1, lambda: spark.range(10).toDF("id")).inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_history_counts_an_order_once_per_customer(build):
+    """A header that comes twice, with another status, and an order that two customers have."""
+    orders = [order(1), order(1, status="O"), order(2), order(2, customer=9), order(3, customer=9)]
+    _, _, rollup, _ = build(orders, [line(1), line(2), line(3)])
+    got = {r["customer_key"]: r["total_orders"] for r in as_dicts(commercial.int_customer_orders(rollup))}
+    assert sorted(got.values()) == [2, 2]
+
+
 def test_rows_are_observed_while_they_are_written(spark, frame):
     one = store.MartStore(spark, "observed")
     day = dt.date(2020, 1, 2)

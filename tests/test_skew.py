@@ -14,6 +14,7 @@ from martwright.operators.checks import Check, failing_rows, run_checks
 from martwright.operators.profiling import profile
 from martwright.plans import commercial, product
 from martwright.registry import CASES
+from martwright.registry.base import Domain
 from test_models import LINES, ORDERS
 
 HOT_ORDER, HOT_CUSTOMER = 1, 1
@@ -176,6 +177,14 @@ def test_lines_are_combined_before_they_are_shuffled(spark, no_broadcast):
     assert "partial_sum" in lines.splitlines()[1]
 
 
+def test_history_of_stored_orders_takes_one_shuffle(spark, no_broadcast, tmp_path):
+    Domain(spark, TINY).rollup().write.parquet(str(tmp_path / "rollup"))
+    stored = spark.read.parquet(str(tmp_path / "rollup"))
+    history = commercial.int_customer_orders(stored)
+    plan = history._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_scan_reads_only_used_columns(spark, no_broadcast):
     plan = plan_of(spark, "dim_customers_v1")
     for unused in ("l_quantity", "l_shipmode", "l_linenumber", "c_name", "o_totalprice"):
