@@ -98,6 +98,14 @@ def _key(column: str, kind: T.DataType, other: T.DataType | None = None) -> tupl
     return (f"({value} + 0)", kind) if isinstance(kind, floating) else (value, kind)  # one zero
 
 
+def _codes(value: str, kind: T.DataType) -> tuple[str, str]:
+    """SQL of two longs that tell the values of a type apart. A whole number is its own code: neighbours
+    share most of their bytes, which the shuffle packs, where hashes share none."""
+    if isinstance(kind, T.IntegralType):
+        return f"cast({value} as bigint)", "0L"
+    return value_codes(value, kind)
+
+
 def _as_text(value: str, kind: T.DataType) -> str:
     """Text that tells the values of a type apart."""
     if isinstance(kind, T.TimestampType):
@@ -122,7 +130,7 @@ def _entries(tables: dict[str, DataFrame], checks: dict[int, Check], whole: bool
             text = _as_text(*key) if key else "cast(null as string)"
             of = f"'value', {text}, 'row', cast({row} as string)"
         else:
-            first, second = value_codes(*key) if key else ("null", "0L")
+            first, second = _codes(*key) if key else ("null", "0L")
             of = f"'x', cast({first} as bigint), 'y', {second}"
         found.setdefault(table, []).append(f"if({condition}, named_struct('i', {i}, 'n', {child}L, {of}), null)")
 

@@ -6,6 +6,7 @@ from helpers import TINY, as_dicts
 from pyspark.sql import functions as F
 
 from martwright.operators.checks import (
+    _entries,
     Check,
     contract_checks,
     failing_rows,
@@ -422,3 +423,14 @@ def test_a_suite_reads_each_table_once(spark):
     plan = run_suite(Domain(spark, TINY), checks_of("commercial_staging"))._jdf.queryExecution().executedPlan().toString()
     tables = {c.table for c in checks_of("commercial_staging")} | {c.parent for c in checks_of("commercial_staging") if c.parent}
     assert plan.count("FileScan parquet") <= len(tables) and "Join" not in plan
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint"])
+def test_whole_numbers_are_their_own_codes(frame, kind):
+    """The entries that a suite shuffles hold neighbouring keys as they are, not as hashes."""
+    df = frame([(5,), (5,), (-7,), (None,)], f"k {kind}")
+    checks = {0: Check("unique", "t", "k"), 1: Check("relationships", "t", "k", parent="p", parent_column="k")}
+    entries = _entries({"t": df, "p": frame([(5,)], "k bigint")}, checks, False)
+    assert {(r["i"], r["x"], r["y"], r["n"]) for r in entries.collect()} == {
+        (0, 5, 0, 2), (0, -7, 0, 1), (1, 5, 0, 2), (1, -7, 0, 1),
+    }
