@@ -42,9 +42,13 @@ def to_cents(amount: Column | str) -> Column:
     """Whole hundredths as a long, rounded half away from zero as a decimal of two places.
 
     Adding up longs is several times cheaper than adding up wide decimals, and as exact. A sum of
-    hundredths has room for 92 quadrillion units before it raises.
+    hundredths has room for 92 quadrillion units before it raises. Below a hundred billion a double is
+    within 0.002 of the hundredths, so rounding it gives them, without an object per wide product.
     """
-    return (_col(amount).cast("decimal(18,2)") * F.lit(100)).cast("long")
+    exact = _col(amount).cast("decimal(18,2)")
+    near = exact.cast("double")
+    cents = F.rint(near * F.lit(100.0)).cast("long")
+    return F.when(F.abs(near) < F.lit(1e11), cents).otherwise((exact * F.lit(100)).cast("long"))
 
 
 def from_cents(cents: Column | str, kind: str = "decimal(18,2)") -> Column:

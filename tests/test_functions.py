@@ -47,6 +47,13 @@ def test_cents_round_half_away_from_zero(frame, kind):
     assert got == [10013, 101, -13, 12, None]
 
 
+def test_cents_of_amounts_on_both_sides_of_a_hundred_billion(frame):
+    amounts = ["99999999999.99", "-99999999999.99", "100000000000.01", "9007199254740993.07", "-9999999999999999.99"]
+    df = frame([(a,) for a in amounts], "a string").select("a", F.col("a").cast("decimal(18,2)").alias("m"))
+    got = {r["a"]: r["c"] for r in df.select("a", fn.to_cents("m").alias("c")).collect()}
+    assert got == {a: int(a.replace(".", "")) for a in amounts}
+
+
 def test_round_cents_goes_half_away_from_zero(frame):
     df = frame([(v,) for v in (149, 150, 151, -149, -150, -151, 0)], "v long")
     got = [r[0] for r in df.select(fn.round_cents("v", 100)).collect()]
