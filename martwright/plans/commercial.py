@@ -3,7 +3,7 @@
 The order fact and the customer history both rest on ``order_rollup``, which adds up the lines of
 an order *before* joining the order header. Lines are the largest table, so they are shuffled once,
 already combined on the map side (an order with very many lines arrives as a few partial rows), and
-the join, the regrouping and the customer history's first step all reuse that partitioning.
+the join, the regrouping and the marks that count a customer's orders all reuse that partitioning.
 """
 
 from __future__ import annotations
