@@ -23,11 +23,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martwright.llm.common import stored
-from martwright.llm.tokens import vocabulary
+from martwright.llm.tokens import plain_tokenizer, vocabulary
 
 START, END = "<|im_start|>", "<|im_end|>"
 CONTROLS = (START, END, "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 LEARNED_ROLE = "assistant"
+#: Turns that a worker encodes or decodes together; bounds its memory, not the result.
+TOGETHER = 500
 _ESCAPED = re.compile(r"\\(.)", re.S)
 
 
@@ -151,17 +153,17 @@ def build_tree(conversations: DataFrame, path: str | None = None) -> tuple[DataF
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        tokenizer = plain_tokenizer(path)
         part, at = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in (b.slice(low, TOGETHER) for b in batches for low in range(0, b.num_rows, TOGETHER)):
             split = [turn_parts(r, t) for r, t in zip(*(batch.column(k).to_pylist() for k in (2, 3)))]
-            flat = tokenizer.encode_batch([x for s in split for x in s], add_special_tokens=False)
+            parts = list({x for s in split for x in s})  # of heads and tails there are few
+            coded = tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+            ids_of = dict(zip(parts, (e.ids for e in coded)))
             out: list[list] = [[] for _ in range(5)]
-            for k, role in enumerate(batch.column(2).to_pylist()):
-                head, body, tail = (e.ids for e in flat[3 * k : 3 * k + 3])
+            for role, texts in zip(batch.column(2).to_pylist(), split):
+                head, body, tail = map(ids_of.__getitem__, texts)
                 ids = np.array([*head, *body, *tail], "<u2")
                 learned = len(body) if role == LEARNED_ROLE else 0
                 row = (at, len(ids), ids.tobytes(), len(head), len(head) + learned)
@@ -240,9 +242,7 @@ def read_back(tree: DataFrame, members: DataFrame, path: str | None = None) -> D
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
+        tokenizer = plain_tokenizer(path)
         now, held, done = (), None, []
 
         def finish() -> None:
@@ -257,7 +257,7 @@ def read_back(tree: DataFrame, members: DataFrame, path: str | None = None) -> D
             done.clear()
             return pa.RecordBatch.from_arrays(columns, names=names)
 
-        for batch in batches:
+        for batch in (b.slice(low, TOGETHER) for b in batches for low in range(0, b.num_rows, TOGETHER)):
             columns = [batch.column(k).to_pylist() for k in range(8)]
             ids = [np.frombuffer(x, "<u2").tolist() for x in columns[2]]
             cut = [(i[:a], i[a:b], i[b:]) for i, a, b in zip(ids, columns[3], columns[4])]

@@ -12,9 +12,13 @@ import os
 import sys
 import unicodedata
 from types import ModuleType
+from typing import TYPE_CHECKING
 
 import numpy as np
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 #: All special tokens of the vocabularies begin so.
 SPECIAL = "<|"
 
@@ -40,6 +44,19 @@ def encoder(path: str, glued: bool) -> Encoder:
     return held[path, glued]
 
 
+def plain_tokenizer(path: str) -> Tokenizer:
+    """This Python process's tokenizer of a file, with special tokens read as text, for one task after the
+    other. It works in the task's own thread: the memory of threads is not given back."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    held = sys.modules.setdefault("_martwright_encoders", ModuleType("_martwright_encoders")).__dict__
+    if path not in held:
+        held[path] = Tokenizer.from_file(path)
+        held[path].encode_special_tokens = True
+    return held[path]
+
+
 def forget_encoder(path: str, glued: bool) -> None:
     """Gives back this Python process's encoder, for tasks of a later step that need the memory."""
     sys.modules.get("_martwright_encoders", ModuleType("none")).__dict__.pop((path, glued), None)

@@ -2,10 +2,12 @@
 
 import hashlib
 import math
+import os
 import re
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -389,6 +391,25 @@ def test_chat(spark):
     assert chat.read_back(*chat.build_tree(df.where("false"))).isEmpty()
 
 
+def test_chat_workers_use_no_threads_of_their_own(spark, monkeypatch):
+    """Memory that the tokenizer's threads have used is not given back while the worker lives."""
+    monkeypatch.setitem(spark.sparkContext.environment, "MARTWRIGHT_TEST", "chat")  # for workers of its own
+
+    def threads(batches):
+        for _ in batches:
+            pass
+        found = [len(os.listdir("/proc/self/task"))]
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=["n"])
+
+    def most():
+        return max(r["n"] for r in spark.range(0, 64, 1, 16).mapInArrow(threads, "n long").collect())
+
+    before = most()
+    df = spark.range(4000).selectExpr("id div 4 AS conv_id", "id % 4 AS turn", "'user' AS role", "repeat(hash(id), 9) AS text")
+    assert chat.read_back(*chat.build_tree(df)).count() == 1000
+    assert most() == before
+
+
 def test_escaping_leaves_no_control_string():
     for text in ("", "\\", *chat.CONTROLS, "".join(chat.CONTROLS) * 2, "[\\INST]", "<<s>", "\\<s>\\\\"):
         assert chat.unescape(chat.escape(text)) == text
