@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import sys
 import unicodedata
+from functools import lru_cache
 from types import ModuleType
 from typing import TYPE_CHECKING
 
@@ -21,6 +22,8 @@ if TYPE_CHECKING:
 
 #: All special tokens of the vocabularies begin so.
 SPECIAL = "<|"
+#: Marks that are a token sequence of their own after a letter, at the end of a piece.
+MARKS = (".", ",")
 
 #: Pieces remembered by a worker before those not met since the last turn are let go; twice as many are held
 #: at most. Bounds its memory, not the result. Word ids go through a shuffle on the same machines, which needs
@@ -62,6 +65,7 @@ def forget_encoder(path: str, glued: bool) -> None:
     sys.modules.get("_martwright_encoders", ModuleType("none")).__dict__.pop((path, glued), None)
 
 
+@lru_cache(10_000)
 def _stays_letter(char: str) -> bool:
     """A letter that no normalizer turns into a letter and a mark (as lower case does with U+0130)."""
     return char.isalpha() and (char.isascii() or unicodedata.normalize("NFC", char).lower().isalpha())
@@ -92,7 +96,7 @@ class Encoder:
         self.remember = REMEMBER if glued else REMEMBER_WORDS
         self.known: dict[str, bytes | None] = {}
         self.older: dict[str, bytes | None] = {}  # of the last turn
-        self.marks = {m: self._whole(m) for m in ".,"}
+        self.marks = {m: self._whole(m) for m in MARKS}
         vocab = self.tokenizer.get_vocab()
         #: Bytes of the text that each id stands for (a byte-level token has one character per byte).
         self.n_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
@@ -109,20 +113,31 @@ class Encoder:
         return text.encode().lower().decode().replace("\n", " ").split(" ")
 
     def _learn(self, pieces: set[str]) -> None:
-        # a piece that is empty or ends in white space may join with what follows
-        bad = {p for p in pieces if self.glued and (not p or p[-1].isspace())}
+        known, older, marks = self.known, self.older, self.marks
+        todo, marked = [], []
+        for p in pieces:
+            if self.glued and (not p or p[-1].isspace()):
+                known[p] = None  # it may join with what follows
+            elif p in older:
+                known[p] = older[p]
+            elif p.endswith(MARKS) and _stays_letter(p[-2:-1]):
+                marked.append(p)
+            else:
+                todo.append(p)
         # a mark after a letter is a token sequence of its own, so the word before it is learned alone
-        marked = {p for p in pieces - bad if p[-1:] in self.marks and _stays_letter(p[-2:-1])}
-        todo = ((pieces - bad - marked) | {p[:-1] for p in marked}).difference(self.known)
-        met = todo.intersection(self.older)
-        self.known.update(zip(met, map(self.older.__getitem__, met)))
-        todo = self._learn_together(list(todo - met))
+        words = {p[:-1] for p in marked}.difference(known, todo)
+        for p in words:
+            if p in older:
+                known[p] = older[p]
+            else:
+                todo.append(p)
+        todo = self._learn_together(todo)
         if todo:
             done = self.tokenizer.encode([self._spaced(p) for p in todo], is_pretokenized=True, add_special_tokens=False)
             of = np.array(done.word_ids, np.int64)
             self._keep(todo, done.ids, np.searchsorted(of, np.arange(len(todo)), "right"))
-        self.known.update((p, self.known[p[:-1]] + self.marks[p[-1]]) for p in marked)
-        self.known.update(dict.fromkeys(bad))
+        for p in marked:
+            known[p] = known[p[:-1]] + marks[p[-1]]
 
     def _spaced(self, piece: str) -> str:
         """A piece with the blank that it carries."""
@@ -131,7 +146,7 @@ class Encoder:
     def _keep(self, pieces: list[str], ids: list[int], ends: np.ndarray) -> None:
         packed = np.array(ids, self.dtype).tobytes()
         cuts = (ends * self.dtype.itemsize).tolist()
-        self.known.update(zip(pieces, (packed[a:b] for a, b in zip([0, *cuts], cuts))))
+        self.known.update(zip(pieces, map(packed.__getitem__, map(slice, [0, *cuts], cuts))))
 
     def _learn_together(self, pieces: list[str]) -> list[str]:
         """Learn pieces from one text of them all: the library's fast call tells no offsets, but the
@@ -147,9 +162,12 @@ class Encoder:
         if not texts:
             return pieces
         if self.glued:
-            spaced = list(map(self._spaced, texts))
+            spaced = [" " + p if p[0] != "\n" else p for p in texts]
             whole = "".join(spaced)
-            wanted = np.cumsum([len(p.encode()) for p in spaced])
+            wanted = np.cumsum(np.fromiter(map(len, spaced), np.int64, len(spaced)))
+            if not whole.isascii():  # characters begin at bytes that continue none
+                data = np.frombuffer(whole.encode(), np.uint8)
+                wanted = np.append(np.flatnonzero(data & 0xC0 != 0x80), len(data))[wanted]
         else:  # a piece ends where a blank stands, which has no token
             blanks = np.flatnonzero(np.frombuffer(whole.encode() + b" ", np.uint8) == 32)
             wanted = blanks - np.arange(len(blanks))
@@ -169,13 +187,16 @@ class Encoder:
             if len(self.known) + len(fresh) > self.remember:
                 self.older, self.known, fresh = self.known, {}, pieces
             self._learn(fresh)
-        return [np.frombuffer(self._joined(t or "", p), self.dtype) for t, p in zip(texts, cut)]
+        firsts = list({p[0] for p in cut if p and len(p) > 1}) if self.glued else []
+        coded = self.tokenizer.encode_batch_fast(firsts, add_special_tokens=False) if firsts else []
+        first_ids = {p: np.array(e.ids, self.dtype).tobytes() for p, e in zip(firsts, coded)}
+        return [np.frombuffer(self._joined(t or "", p, first_ids), self.dtype) for t, p in zip(texts, cut)]
 
     def _inner(self, cut: list[list[str] | None]) -> set[str]:
         """The distinct pieces; one that starts a text carries no blank and is encoded where it stands."""
         return set().union(*(p[1:] if self.glued else p for p in cut if p is not None))
 
-    def _joined(self, text: str, pieces: list[str] | None) -> bytes:
+    def _joined(self, text: str, pieces: list[str] | None, first_ids: dict[str, bytes]) -> bytes:
         if pieces is None:
             return self._whole(text)
         if not self.glued:
@@ -190,4 +211,4 @@ class Encoder:
         end = self.known[last]
         if end is None:
             end = self._whole(last if last.startswith("\n") else " " + last)
-        return self._whole(first) + middle + end
+        return first_ids[first] + middle + end

@@ -28,6 +28,19 @@ END_ID = 2
 BITS = 16
 #: Ids after which a file is closed; a document is never divided, so a longer one makes a longer file.
 FILE_IDS = 1 << 19
+#: Ids of a plane that are moved together; their places take 8 bytes each.
+MOVED = 1 << 16
+
+
+def _places(bit: np.ndarray) -> Iterator[tuple[slice, np.ndarray, slice, np.ndarray]]:
+    """Where the bits that are not set, and those that are, come from and go to in a stable partition: the
+    stretch of the partition and the places in the plane, for both, a stretch of the plane after the other."""
+    low, high = 0, len(bit) - np.count_nonzero(bit)
+    for at in range(0, len(bit), MOVED):
+        part = bit[at : at + MOVED]
+        ones, zeros = np.flatnonzero(part) + at, np.flatnonzero(~part) + at
+        yield slice(low, low + len(zeros)), zeros, slice(high, high + len(ones)), ones
+        low, high = low + len(zeros), high + len(ones)
 
 
 def build(ids: np.ndarray, doc_ids: list[int | None], ends: np.ndarray, bits: int = BITS) -> bytes:
@@ -42,15 +55,17 @@ def build(ids: np.ndarray, doc_ids: list[int | None], ends: np.ndarray, bits: in
     ]
     now = np.asarray(ids)
     for level in range(bits - 1, -1, -1):
-        bit = (now & now.dtype.type(1 << level)).astype(bool)
+        bit = (now & now.dtype.type(1 << level)) != 0
         packed = np.packbits(bit, bitorder="little")
         padded = np.zeros(-(-len(bit) // BLOCK) * BLOCK // 8, np.uint8)
         padded[: len(packed)] = packed
         ones = np.bitwise_count(padded.view("<u8")).astype(np.int64).reshape(-1, BLOCK // 64).sum(1)
         before = np.r_[0, np.cumsum(ones)].astype("<u4")
-        zeros = now[~bit]
-        out += [struct.pack("<Q", len(zeros)), before.tobytes(), padded.tobytes()]
-        now = np.concatenate([zeros, now[bit]])
+        out += [struct.pack("<Q", len(bit) - int(ones.sum())), before.tobytes(), padded.tobytes()]
+        parted = np.empty_like(now)
+        for low, zeros_at, high, ones_at in _places(bit):
+            parted[low], parted[high] = now[zeros_at], now[ones_at]
+        now = parted
     return b"".join(out)
 
 
@@ -155,9 +170,8 @@ class WaveletMatrix:
             bit = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
             now[self.zeros[level] :] |= kind(1 << (self.bits - 1 - level))
             up = np.empty_like(now)
-            up[bit] = now[self.zeros[level] :]
-            np.logical_not(bit, out=bit)
-            up[bit] = now[: self.zeros[level]]
+            for low, zeros_at, high, ones_at in _places(bit):
+                up[zeros_at], up[ones_at] = now[low], now[high]
             now = up
         return now
 

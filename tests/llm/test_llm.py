@@ -282,6 +282,20 @@ def test_pieces_met_again_outlast_a_full_table(name, glued, monkeypatch):
     assert learned.count("common") == 1 and len(of.known) + len(of.older) < 60
 
 
+@pytest.mark.parametrize(("name", "glued"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_learning_looks_older_pieces_up_and_does_not_walk_them(name, glued):
+    class Unwalked(dict):
+        def __iter__(self):
+            raise AssertionError("all older pieces were read")
+
+    of = Encoder(vocabulary(name), glued)
+    of.encode(["a one two, three. é"])
+    of.older, of.known = Unwalked(of.known), {}
+    texts = ["a two three. \n\t four, four. ß. one!! é, x"]
+    whole = of.tokenizer.encode(texts[0], add_special_tokens=False).ids
+    assert [x.tolist() for x in of.encode(texts)] == [whole]
+
+
 def test_an_encoder_is_given_back():
     path = vocabulary("word_bpe_49k.json")
     held = encoder(path, False)
@@ -337,6 +351,19 @@ def test_wavelet_index(docs, texts, empty):
     assert wavelet.read_index(wavelet.write_index(empty)).isEmpty()
 
 
+def test_planes_are_parted_in_blocks(monkeypatch):
+    monkeypatch.setattr(wavelet, "MOVED", 7)
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 6, 7, 8, 700):
+        ids = rng.integers(0, 49_408, n).astype("<u2")
+        now, matrix = ids, wavelet.WaveletMatrix(wavelet.build(ids, [1], np.array([n])))
+        for level, (zeros, plane) in enumerate(zip(matrix.zeros, matrix.planes)):
+            bit = (now >> (15 - level) & 1).astype(bool)
+            assert zeros == n - bit.sum() and (np.unpackbits(plane, count=n, bitorder="little") == bit).all()
+            now = np.concatenate([now[~bit], now[bit]])
+        assert (matrix.decode() == ids).all()
+
+
 def test_wavelet_matrix_answers():
     rng = np.random.default_rng(4)
     for n in (0, 1, 511, 512, 513, 3000):
