@@ -17,7 +17,7 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """Write a frame to a new table below ``spark.checkpoint.dir`` and read it back.
 
     Cuts the lineage and survives lost executors; every executor can read the folder. The table stays
@@ -26,7 +26,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 

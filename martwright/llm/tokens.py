@@ -4,6 +4,8 @@ Byte-level and word BPE never join characters across a blank that follows a non-
 cut there and each distinct piece is encoded once per worker by the tokenizers library; a bounded
 table remembers its ids, and lets go of the pieces not met for longest when it is full. A text in which a
 piece ends in white space, or one that may hold the string of a special token, goes to the library whole.
+Word BPE joins no letter with what is none after it either; its pieces are cut there too, and found, told
+apart and put together as Arrow columns, so that only distinct ones pass through Python.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from types import ModuleType
 from typing import TYPE_CHECKING
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 if TYPE_CHECKING:
     from tokenizers import Tokenizer
@@ -26,9 +30,11 @@ SPECIAL = "<|"
 MARKS = (".", ",")
 
 #: Pieces remembered by a worker before those not met since the last turn are let go; twice as many are held
-#: at most. Bounds its memory, not the result. Word ids go through a shuffle on the same machines, which needs
-#: memory as well, so fewer are held there.
+#: at most, of words those of one ``encode_words`` more. Bounds its memory, not the result. Word ids go through
+#: a shuffle on the same machines, which needs memory as well, so fewer are held there.
 REMEMBER, REMEMBER_WORDS = 500_000, 250_000
+#: Words learned from one text of them all.
+TOGETHER = 4096
 
 
 def vocabulary(name: str) -> str:
@@ -94,9 +100,15 @@ class Encoder:
         self.glued = glued
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4")
         self.remember = REMEMBER if glued else REMEMBER_WORDS
-        self.known: dict[str, bytes | None] = {}
+        self.known: dict[str, bytes | None] = {}  # for word BPE, those of the call
         self.older: dict[str, bytes | None] = {}  # of the last turn
         self.marks = {m: self._whole(m) for m in MARKS}
+        self.letters: dict[str, bool] = {}
+        #: The table for word BPE: words, their ids' bytes, and whether each was met since the last turn.
+        self.all_words = pa.array([], pa.string())
+        self.ids_of_words = pa.array([], pa.binary())
+        self.met = np.zeros(0, bool)
+        self.words = None if glued else self._tokenizer_of_words()
         vocab = self.tokenizer.get_vocab()
         #: Bytes of the text that each id stands for (a byte-level token has one character per byte).
         self.n_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
@@ -106,11 +118,95 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
+    def _tokenizer_of_words(self) -> Tokenizer:
+        """The same model for words that the normalizers leave as they are and that are not split, without
+        the work of finding that out."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        words = Tokenizer(self.tokenizer.model)
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), as_bytes])
+        return words
+
+    def _is_letter(self, char: str) -> bool:
+        """Whether the library takes a character that Python calls a letter for one."""
+        if char not in self.letters:
+            self.letters[char] = len(self.tokenizer.pre_tokenizer.pre_tokenize_str(f"a{char}a")) == 1
+        return self.letters[char]
+
     def _pieces(self, text: str) -> list[str]:
-        if self.glued:
-            return text.replace("\n", " \n").split(" ")
-        # the word tokenizer lower-cases; A-Z can go first, which makes more pieces alike
-        return text.encode().lower().decode().replace("\n", " ").split(" ")
+        return text.replace("\n", " \n").split(" ")
+
+    @staticmethod
+    def _columns(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Pieces of all texts in one column, lower-case in A-Z, and the number of them up to the end of each
+        text. They are cut at blanks, which are left out, and between a-z and another ASCII character."""
+        empty, end = (pa.scalar(x, texts.type) for x in ("", "\n"))
+        joined = pc.binary_join_element_wise(texts, empty, end)  # so a piece ends where a text does
+        stops = np.frombuffer(joined.buffers()[1], np.int32)[joined.offset :][: len(joined) + 1]
+        data = np.frombuffer(joined.buffers()[2], np.uint8)[stops[0] : stops[-1]]
+        data = data | ((data - np.uint8(65) < 26).view(np.uint8) << 5)
+        blank = (data == 32) | (data == 10)
+        letter = data - np.uint8(97) < 26
+        end = blank.copy()
+        end[1:] |= letter[:-1] & ~(letter | blank | (data > 127))[1:]
+        at = np.flatnonzero(end)
+        left_out = blank[at]
+        cuts = np.append(0, at - np.cumsum(left_out) + left_out).astype(np.int32)
+        pieces = pa.StringArray.from_buffers(len(at), pa.py_buffer(cuts), pa.py_buffer(data[~blank]))
+        return pieces, np.searchsorted(at, stops[1:] - stops[0])
+
+    def encode_words(self, texts: pa.Array) -> pa.Array:
+        """``encode`` for word BPE: a column of the ids' bytes for a column of texts."""
+        if not len(texts):
+            return pa.array([], pa.binary())
+        empty = pa.scalar("", pa.string())
+        texts = texts.cast(pa.string()).fill_null(empty)
+        whole = pc.match_substring(texts, SPECIAL)
+        pieces, stops = self._columns(pc.if_else(whole, empty, texts))
+        coded = pieces.dictionary_encode()
+        rows = self._rows(coded.dictionary)
+        ids = self.ids_of_words.take(rows.take(coded.indices))
+        cuts = np.frombuffer(ids.buffers()[1], np.int32)[np.append(0, stops)]
+        ids = pa.BinaryArray.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(cuts), ids.buffers()[2]])
+        if not pc.any(whole).as_py():
+            return ids
+        apart = [self._whole(t) for t in texts.filter(whole).to_pylist()]
+        return pc.replace_with_mask(ids, whole, pa.array(apart, pa.binary()))
+
+    def _rows(self, words: pa.Array) -> pa.Array:
+        """Rows of the table where distinct words stand, once those not in it are learned. As many met since the
+        last turn as may be remembered make the next one, which lets go of those not met."""
+        at = pc.index_in(words, value_set=self.all_words).fill_null(-1).to_numpy().copy()
+        self.met[at[at >= 0]] = True
+        fresh = np.flatnonzero(at < 0)
+        if not len(fresh):
+            return pa.array(at)
+        if np.count_nonzero(self.met) + len(fresh) > self.remember:
+            kept = np.flatnonzero(self.met)
+            self.all_words, self.ids_of_words = self.all_words.take(kept), self.ids_of_words.take(kept)
+            at = np.append(np.cumsum(self.met) - 1, -1)[at]  # the last place stands for -1
+            self.met = np.zeros(len(kept), bool)
+            self.met[at[at >= 0]] = True
+        column = words.take(fresh)
+        together = pa.ListArray.from_arrays([0, len(column)], column)  # no word holds a blank
+        pieces = pc.binary_join(together, pa.scalar(" ", pa.string()))[0].as_py().split(" ")
+        self._learn(set(pieces))
+        ids = pa.array(list(map(self.known.__getitem__, pieces)), pa.binary())
+        self.known = {}
+        at[fresh] = np.arange(len(self.met), len(self.met) + len(fresh))
+        self.all_words = pa.concat_arrays([self.all_words, column])
+        self.ids_of_words = pa.concat_arrays([self.ids_of_words, ids])
+        self.met = np.append(self.met, np.ones(len(fresh), bool))
+        return pa.array(at)
+
+    def _meet(self, pieces: set[str]) -> None:
+        """Have all of these pieces in the table."""
+        fresh = pieces.difference(self.known)
+        if fresh:
+            if len(self.known) + len(fresh) > self.remember:
+                self.older, self.known, fresh = self.known, {}, pieces
+            self._learn(fresh)
 
     def _learn(self, pieces: set[str]) -> None:
         known, older, marks = self.known, self.older, self.marks
@@ -135,7 +231,7 @@ class Encoder:
         if todo:
             done = self.tokenizer.encode([self._spaced(p) for p in todo], is_pretokenized=True, add_special_tokens=False)
             of = np.array(done.word_ids, np.int64)
-            self._keep(todo, done.ids, np.searchsorted(of, np.arange(len(todo)), "right"))
+            self._keep(todo, np.array(done.ids, self.dtype), np.searchsorted(of, np.arange(len(todo)), "right"))
         for p in marked:
             known[p] = known[p[:-1]] + marks[p[-1]]
 
@@ -143,24 +239,30 @@ class Encoder:
         """A piece with the blank that it carries."""
         return " " + piece if self.glued and piece[0] != "\n" else piece
 
-    def _keep(self, pieces: list[str], ids: list[int], ends: np.ndarray) -> None:
-        packed = np.array(ids, self.dtype).tobytes()
+    def _keep(self, pieces: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        packed = ids.tobytes()
         cuts = (ends * self.dtype.itemsize).tolist()
         self.known.update(zip(pieces, map(packed.__getitem__, map(slice, [0, *cuts], cuts))))
 
     def _learn_together(self, pieces: list[str]) -> list[str]:
         """Learn pieces from one text of them all: the library's fast call tells no offsets, but the
         tokens' bytes do, where no normalizer changes the piece. Returns the pieces still to be learned."""
-        texts, whole = pieces, ""
-        if not self.glued:
-            pieces = texts = [p for p in pieces if p]  # empty ones have no ids
-            self.known[""] = b""
-            whole = " ".join(texts)
-            if not _unchanged(whole):
-                texts = [p for p in pieces if _unchanged(p)]
-                whole = " ".join(texts)
-        if not texts:
-            return pieces
+        if self.glued:
+            return pieces if pieces and not self._learn_text(self.tokenizer, pieces) else []
+        self.known[""] = b""  # empty ones have no ids
+        left = set(filter(None, pieces))
+        strange = {c for c in set("".join(left)) if not c.isascii() and c.isalpha() and not self._is_letter(c)}
+        words = [p for p in left if p.isalpha() and (p.isascii() or (strange.isdisjoint(p) and _unchanged(p)))]
+        others = [p for p in left.difference(words) if _unchanged(p)]
+        for tokenizer, texts in ((self.words, words), (self.tokenizer, others)):
+            for at in range(0, len(texts), TOGETHER):  # the library needs some hundred bytes for a token
+                part = texts[at : at + TOGETHER]
+                if self._learn_text(tokenizer, part):
+                    left.difference_update(part)
+        return list(left)
+
+    def _learn_text(self, tokenizer: Tokenizer, texts: list[str]) -> bool:
+        """Learn pieces from one text of them all; False if that does not tell their ends."""
         if self.glued:
             spaced = [" " + p if p[0] != "\n" else p for p in texts]
             whole = "".join(spaced)
@@ -169,38 +271,32 @@ class Encoder:
                 data = np.frombuffer(whole.encode(), np.uint8)
                 wanted = np.append(np.flatnonzero(data & 0xC0 != 0x80), len(data))[wanted]
         else:  # a piece ends where a blank stands, which has no token
+            whole = " ".join(texts)
             blanks = np.flatnonzero(np.frombuffer(whole.encode() + b" ", np.uint8) == 32)
             wanted = blanks - np.arange(len(blanks))
-        ids = self.tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids
+        ids = np.array(tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids, self.dtype)
         reached = np.cumsum(self.n_bytes[ids])
         ends = np.searchsorted(reached, wanted, "right")
         if not np.array_equal(np.r_[0, reached][ends], wanted):
-            return pieces  # some token is no plain stretch of text
+            return False  # some token is no plain stretch of text
         self._keep(texts, ids, ends)
-        return [] if texts is pieces else list(set(pieces).difference(texts))
+        return True
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        if not self.glued:
+            found = self.encode_words(pa.array(texts, pa.string()))
+            return [np.frombuffer(x, self.dtype) for x in found.to_pylist()]
         cut = [None if t and SPECIAL in t else self._pieces(t or "") for t in texts]
-        pieces = self._inner(cut)
-        fresh = pieces.difference(self.known)
-        if fresh:
-            if len(self.known) + len(fresh) > self.remember:
-                self.older, self.known, fresh = self.known, {}, pieces
-            self._learn(fresh)
-        firsts = list({p[0] for p in cut if p and len(p) > 1}) if self.glued else []
+        # a piece that starts a text carries no blank and is encoded where it stands
+        self._meet(set().union(*(p[1:] for p in cut if p is not None)))
+        firsts = list({p[0] for p in cut if p and len(p) > 1})
         coded = self.tokenizer.encode_batch_fast(firsts, add_special_tokens=False) if firsts else []
         first_ids = {p: np.array(e.ids, self.dtype).tobytes() for p, e in zip(firsts, coded)}
         return [np.frombuffer(self._joined(t or "", p, first_ids), self.dtype) for t, p in zip(texts, cut)]
 
-    def _inner(self, cut: list[list[str] | None]) -> set[str]:
-        """The distinct pieces; one that starts a text carries no blank and is encoded where it stands."""
-        return set().union(*(p[1:] if self.glued else p for p in cut if p is not None))
-
     def _joined(self, text: str, pieces: list[str] | None, first_ids: dict[str, bytes]) -> bytes:
         if pieces is None:
             return self._whole(text)
-        if not self.glued:
-            return b"".join(map(self.known.__getitem__, pieces))
         first, last = pieces[0], pieces[-1]
         if len(pieces) < 2 or not first or first[-1].isspace():
             return self._whole(text)

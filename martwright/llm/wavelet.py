@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +31,11 @@ BITS = 16
 FILE_IDS = 1 << 19
 #: Ids of a plane that are moved together; their places take 8 bytes each.
 MOVED = 1 << 16
+#: About as many bytes of text are encoded together; documents are not divided.
+ENCODED = 1 << 22
+#: A row of the index is a file of about a megabyte: a page for each, where a hundred of them would be held, and
+#: compressed at once, before Parquet looks at their size; and no dictionary of them.
+FILE_PAGES = {"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1", "parquet.enable.dictionary": "false"}
 
 
 def _places(bit: np.ndarray) -> Iterator[tuple[slice, np.ndarray, slice, np.ndarray]]:
@@ -193,15 +199,15 @@ def write_index(docs: DataFrame, path: str | None = None, end_id: int = END_ID,
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens_of = encoder(path, glued=False)
         for batch in batches:
-            for low in range(0, batch.num_rows, 500):
-                part = batch.slice(low, 500)
-                ids = part.column(0).to_pylist()
-                shard = [0 if d is None else int(np.searchsorted(edges, d)) for d in ids]
-                data = [x.tobytes() for x in tokens_of.encode(part.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard, pa.int32()), part.column(0), pa.array(data, pa.binary())],
-                    names=["shard", "doc_id", "ids"],
-                )
+            sizes = pc.binary_length(batch.column(1)).fill_null(0).to_numpy().astype(np.int64)
+            cuts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // ENCODED)) + 1
+            for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):
+                part = batch.slice(low, high - low)
+                ids = part.column(0)
+                shard = np.searchsorted(edges, ids.fill_null(0).to_numpy()).astype(np.int32)
+                shard[ids.is_null().to_numpy(zero_copy_only=False)] = 0
+                data = tokens_of.encode_words(part.column(1))
+                yield pa.RecordBatch.from_arrays([pa.array(shard), ids, data], names=["shard", "doc_id", "ids"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_encoder(path, glued=False)  # all texts are encoded
@@ -209,9 +215,10 @@ def write_index(docs: DataFrame, path: str | None = None, end_id: int = END_ID,
         shard = file = total = 0
 
         def close() -> pa.RecordBatch:
-            arrays = [np.append(np.frombuffer(x, "<u2"), np.uint16(end_id)) for _, x in held]
-            ends = np.cumsum([len(a) for a in arrays])
-            data = build(np.concatenate(arrays), [d for d, _ in held], ends)
+            end = np.uint16(end_id).tobytes()
+            ends = np.cumsum([len(x) // 2 + 1 for _, x in held])
+            ids = np.frombuffer(end.join([x for _, x in held]) + end, "<u2")
+            data = build(ids, [d for d, _ in held], ends)
             kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary())
             columns = [pa.array([v], k) for v, k in zip((shard, file, int(ends[-1]), data), kinds)]
             return pa.RecordBatch.from_arrays(columns, names=["shard", "file", "n_ids", "data"])
@@ -231,7 +238,8 @@ def write_index(docs: DataFrame, path: str | None = None, end_id: int = END_ID,
         encode, "shard int, doc_id long, ids binary"
     )
     sorted_ids = tokens.repartition(shards, "shard").sortWithinPartitions("shard", "doc_id", "ids")
-    return stored(sorted_ids.mapInArrow(write, "shard int, file int, n_ids long, data binary"), "index")
+    files = sorted_ids.mapInArrow(write, "shard int, file int, n_ids long, data binary")
+    return stored(files, "index", FILE_PAGES)
 
 
 def read_index(files: DataFrame) -> DataFrame:

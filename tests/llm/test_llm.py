@@ -341,6 +341,43 @@ def test_word_encoder_on_odd_characters(seed):
         assert ids.tolist() == library.encode(text or "", add_special_tokens=False).ids, repr(text)
 
 
+def test_words_are_learned_without_what_stands_around_them(monkeypatch):
+    """A word is learned once, whatever signs and digits follow it, also in a later call; in parts, as in one."""
+    from tokenizers import Tokenizer
+
+    from martwright.llm import tokens
+
+    path, learned = vocabulary("word_bpe_49k.json"), []
+    monkeypatch.setattr(tokens, "TOGETHER", 3)
+    of = Encoder(path, False)
+    together = of._learn_together
+    monkeypatch.setattr(of, "_learn_together", lambda pieces: learned.extend(pieces) or together(pieces))
+    texts = ["zebrine zebrine, zebrine. Zebrine### zebrine'll zebrine7 (zebrine)", None, "", "z\u00e9brine ZEBRINE!? <|endoftext|>"]
+    texts += ["zebrine&&& it's na\u00efve, \u00c9t\u00e9 \u5b57 \ua7dca\ua7dc x\u0301,", "\n \n", "zebrine;\tzebrine"]
+    library = Tokenizer.from_file(path)
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for calls in ([texts], [[t] for t in texts]):
+        assert [x.tolist() for part in calls for x in of.encode(part)] == want
+    assert learned.count("zebrine") == 1 and not any("zebrine" in p and p[-1] in ".,#&7!" for p in learned)
+    column = pa.array(["left out", *texts, "left out"]).slice(1, len(texts))
+    assert [np.frombuffer(x, "<u2").tolist() for x in of.encode_words(column).to_pylist()] == want
+
+
+def test_each_index_file_is_a_page(spark):
+    """Parquet looks at the size of a page once in a hundred rows, unless told not to; each row holds a file."""
+    docs = spark.createDataFrame([(1, "the " * 600_000)] * 3, "doc_id long, text string")
+    files = wavelet.write_index(docs)
+    hadoop, parquet = spark._jvm.org.apache.hadoop.fs, spark._jvm.org.apache.parquet.hadoop
+    pages = 0
+    for path in files.inputFiles():
+        file = parquet.util.HadoopInputFile.fromPath(hadoop.Path(path), spark._jsc.hadoopConfiguration())
+        reader = parquet.ParquetFileReader.open(file)
+        for block in reader.getFooter().getBlocks():
+            pages += reader.readOffsetIndex(block.getColumns()[3]).getPageCount()
+        reader.close()
+    assert pages == files.count() == 3
+
+
 def test_wavelet_index(docs, texts, empty):
     ids, at = _ids(texts, "word_bpe_49k.json", 2), 0
     got = {r["doc_id"]: tuple(r)[1:] for r in wavelet.read_index(wavelet.write_index(docs, file_ids=5000)).collect()}
